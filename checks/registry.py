@@ -181,23 +181,21 @@ def q21_open_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shortages.find_extensions(
+def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shortages.match_baseline(
         shapes.shortage_news(spark, sf_dir), q21_open_baseline(spark, sf_dir)
     )
 
 
 @query
 def q22_extensions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _extensions(spark, sf_dir)
+    return shortages.find_extensions(_matched(spark, sf_dir))
 
 
 @query
 def q23_inserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shortages.find_inserts(
-        shapes.shortage_news(spark, sf_dir),
-        _extensions(spark, sf_dir),
-        shapes.shortage_history(spark, sf_dir),
+        _matched(spark, sf_dir), shapes.shortage_history(spark, sf_dir)
     )
 
 

@@ -202,9 +202,9 @@ def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {
         "src_branch": F.concat(F.lit("B"), customer % 10),
         "src_hist_id": F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
-        "src_order_id": F.col("l_orderkey"),
+        "src_order_id": F.concat(F.lit("O"), F.col("l_orderkey")),
         "src_cust_id": customer.cast("string"),
-        "src_delivery_id": F.col("l_orderkey"),
+        "src_delivery_id": F.concat(F.lit("D"), F.col("l_orderkey")),
         "src_line_id": F.col("l_linenumber"),
         "is_fulfilled": F.col("l_linestatus") == "F",
         "src_prod_id": F.concat(F.lit("P"), F.col("l_partkey") % 5),
@@ -305,9 +305,9 @@ def _order_keys() -> list[Column]:
     return [
         F.concat(F.lit("B"), customer % 10).alias("branch_code"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("history_prog_id"),
-        F.col("o_orderkey").alias("order_prog_id"),
+        F.concat(F.lit("O"), F.col("o_orderkey")).alias("order_prog_id"),
         customer.cast("string").alias("customer_code"),
-        F.col("o_orderkey").alias("delivery_note_id"),
+        F.concat(F.lit("D"), F.col("o_orderkey")).alias("delivery_note_id"),
     ]
 
 

@@ -168,9 +168,9 @@ ORACLES["s02_late_reload_stream"] = """
 _FEED = """feed AS (
     SELECT 'B' || (o_custkey % 10) AS branch_code,
            CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS history_prog_id,
-           l_orderkey AS order_prog_id,
+           'O' || l_orderkey AS order_prog_id,
            CAST(o_custkey AS VARCHAR) AS customer_code,
-           l_orderkey AS delivery_note_id,
+           'D' || l_orderkey AS delivery_note_id,
            l_linenumber AS order_line_id,
            l_linestatus = 'F' AS is_fulfilled,
            'P' || (l_partkey % 5) AS product_code,
@@ -344,8 +344,8 @@ ORACLES["q24_consolidated"] = _with(
 
 _ORDER_KEYS = """'B' || (o_custkey % 10) AS branch_code,
     CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS history_prog_id,
-    o_orderkey AS order_prog_id, CAST(o_custkey AS VARCHAR) AS customer_code,
-    o_orderkey AS delivery_note_id"""
+    'O' || o_orderkey AS order_prog_id, CAST(o_custkey AS VARCHAR) AS customer_code,
+    'D' || o_orderkey AS delivery_note_id"""
 _KEY_NAMES = _columns(fixed.ORDER_KEYS)
 
 # Which lines count for a channel.

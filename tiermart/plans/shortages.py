@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiermart.functions import fixed
@@ -44,43 +44,46 @@ def open_baseline(
     return latest_by_key(recent.select(*columns), keys, newest("end_date", "start_date"))
 
 
-def find_extensions(
+def match_baseline(
     periods: DataFrame,
     baseline: DataFrame,
     gap: dt.timedelta = GAP,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
-    """Open intervals that the first new period of their key touches.
+    """Periods with the open interval of their key, if the first of them touches it.
 
-    The new end replaces the old one even if it is earlier.
+    ``extends`` marks that first period, ``history_start_date`` names the interval
+    and ``new_end_date`` its end from now on, on every period of the key.
     """
-    first = latest_by_key(periods, keys, oldest("start_date", "end_date"))
+    in_key = Window.partitionBy(*keys)
+    first = F.row_number().over(in_key.orderBy(*oldest("start_date", "end_date"))) == 1
     opened = baseline.withColumnsRenamed(
         {"start_date": "history_start_date", "end_date": "history_end_date"}
     )
-    pairs = first.join(opened, list(keys))
+    paired = periods.withColumn("_first", first).join(opened, list(keys), "left")
     too_late = is_after(
         periods, "start_date", F.col("start_date"), F.col("history_end_date"), gap
     )
     touches = ~too_late & (F.col("end_date") >= F.col("history_start_date"))
-    return pairs.where(touches).select(
-        *keys, "history_start_date", F.col("end_date").alias("new_end_date")
-    )
+    marked = paired.withColumn("extends", F.coalesce(F.col("_first") & touches, F.lit(False)))
+    new_end = F.max(F.when(F.col("extends"), F.col("end_date"))).over(in_key)
+    return marked.withColumn("new_end_date", new_end).drop("_first", "history_end_date")
+
+
+def find_extensions(matched: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Open intervals that get a new end, even if it is earlier than the old one."""
+    return matched.where("extends").select(*keys, "history_start_date", "new_end_date")
 
 
 def find_inserts(
-    periods: DataFrame,
-    extensions: DataFrame,
-    history: DataFrame,
-    keys: Sequence[str] = KEYS,
+    matched: DataFrame, history: DataFrame, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """New valid periods that neither extended an interval nor lie inside one.
 
     Containment is judged against the history before it is extended.
     """
-    used = extensions.select(*keys, F.col("new_end_date").alias("end_date"))
-    fresh = _valid(periods).join(used, [*keys, "end_date"], "left_anti")
-    return not_contained(fresh, history, keys)
+    used = F.coalesce(F.col("end_date") == F.col("new_end_date"), F.lit(False))
+    return not_contained(_valid(matched).where(~used), history, keys)
 
 
 def consolidate(
@@ -93,7 +96,7 @@ def consolidate(
 ) -> DataFrame:
     """Next history: extended intervals plus the new stand-alone ones."""
     baseline = open_baseline(history, as_of, lookback, keys)
-    extensions = find_extensions(periods, baseline, gap, keys)
-    inserts = find_inserts(periods, extensions, history, keys)
-    updated = set_end_dates(history, extensions, keys)
+    matched = match_baseline(periods, baseline, gap, keys)
+    updated = set_end_dates(history, find_extensions(matched, keys), keys)
+    inserts = find_inserts(matched, history, keys)
     return updated.unionByName(inserts, allowMissingColumns=True)
