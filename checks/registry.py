@@ -87,9 +87,11 @@ def q08_pallets_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q09_rolling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = shapes.table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
-    recent = events.where(bronze.in_window(F.to_date("ts"), shapes.BRONZE_AS_OF))
-    return recent.withColumns(bronze.day_parts(F.col("ts")))
+    """Archive all payloads as JSON by day, then read the seven days back."""
+    root = tables.shared_folder(spark, "bronze")
+    payloads = shapes.event_payloads(spark, sf_dir)
+    bronze.archive_payloads(payloads.select("items", "ts"), "ts", root)
+    return bronze.read_bronze(spark, root, shapes.EVENT_RECORD, shapes.BRONZE_AS_OF)
 
 
 # Telemetry

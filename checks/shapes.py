@@ -7,9 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.functions import fixed
 from tiermart.plans import sales_lines, shortages
-from tiermart.sources.bronze import parse_records
 
 RUN_TS = "2024-02-01 06:00:00"
 SHORTAGES_AS_OF = dt.date(2024, 1, 31)
@@ -88,7 +86,7 @@ def _order_lines(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
 
 
 def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested document per order line, through JSON text and back.
+    """One nested document per order line.
 
     Every package is listed twice, the second time without an outcome. Orders
     without lines have no packages, and each tenth order is sent again a day
@@ -133,24 +131,33 @@ def shipment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         header(F.date_add("o_orderdate", 1), F.lit("R")).alias("header"),
         F.when(F.col("l_orderkey").isNotNull(), both).alias("packages"),
     )
-    text = first.unionByName(again).select(F.to_json(F.struct("header", "packages")).alias("t"))
-    return text.select(parse_records(F.col("t"), fixed.SHIPMENT_RECORD).alias("r")).select("r.*")
+    return first.unionByName(again)
 
 
 def pallet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested document per order line; a pallet recurs for each of its lines."""
-    package = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("packageId"),
-        F.col("l_orderkey").cast("string").alias("transactionId"),
-        F.col("l_linenumber").cast("bigint").alias("packageNumber"),
-        F.lpad(F.col("l_partkey").cast("string"), 9, "0").alias("operatorId"),
-        F.col("l_returnflag").alias("sortingLine"),
-        F.col("l_linestatus").alias("gridPosition"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("scannedAt"),
-        (F.col("l_discount") > 0.05).alias("hasAmbiguousMatch"),
-    )
+    """One nested document per order line; a pallet recurs for each of its lines.
+
+    Each document also lists a package without an id.
+    """
+    fields = {
+        "transactionId": F.col("l_orderkey").cast("string"),
+        "packageNumber": F.col("l_linenumber").cast("bigint"),
+        "operatorId": F.lpad(F.col("l_partkey").cast("string"), 9, "0"),
+        "sortingLine": F.col("l_returnflag"),
+        "gridPosition": F.col("l_linestatus"),
+        "scannedAt": F.date_format("l_shipdate", "yyyy-MM-dd"),
+        "hasAmbiguousMatch": F.col("l_discount") > 0.05,
+    }
+    known = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    packages = [
+        F.struct(
+            package_id.alias("packageId"),
+            *[column.alias(name) for name, column in fields.items()],
+        )
+        for package_id in (known, F.lit(None).cast("string"))
+    ]
     supplier = F.col("l_suppkey")
-    document = F.struct(
+    return table(spark, sf_dir, "lineitem").select(
         supplier.cast("string").alias("palletId"),
         F.concat(F.lit("PAL"), supplier).alias("palletCode"),
         F.col("l_linestatus").alias("status"),
@@ -159,14 +166,23 @@ def pallet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (supplier % 11).alias("packagesCount"),
         F.lit("dock").alias("createdBy"),
         F.lit(None).cast("string").alias("createdAt"),
-        F.array(package, F.struct(F.lit(None).cast("string").alias("packageId"),
-                                  *[package[f].alias(f) for f in (
-                                      "transactionId", "packageNumber", "operatorId",
-                                      "sortingLine", "gridPosition", "scannedAt",
-                                      "hasAmbiguousMatch")])).alias("packages"),
+        F.array(*packages).alias("packages"),
+    )
+
+
+EVENT_RECORD = "event_id bigint, event_type string, seen_at string"
+
+
+def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per event with two items; signups have none."""
+    item = F.struct(
+        "event_id", "event_type", F.date_format("ts", "HH:mm:ss").alias("seen_at")
+    )
+    again = item.withField("event_type", F.lit("again"))
+    none = F.array().cast(f"array<struct<{EVENT_RECORD}>>")
+    return table(spark, sf_dir, "events").select(
+        "ts", F.when(F.col("event_type") == "signup", none).otherwise(F.array(item, again)).alias("items")
     )
-    text = table(spark, sf_dir, "lineitem").select(F.to_json(document).alias("t"))
-    return text.select(parse_records(F.col("t"), fixed.PALLET_RECORD).alias("r")).select("r.*")
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:

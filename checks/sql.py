@@ -132,10 +132,11 @@ ORACLES["q08_pallets_details"] = _with(
                      grid_position DESC, has_ambiguous_match DESC)""",
 )
 ORACLES["q09_rolling_window"] = """
-    SELECT event_id, event_type, ts, strftime(ts, '%Y') AS "year",
-           strftime(ts, '%m') AS "month", strftime(ts, '%d') AS "day"
+    SELECT event_id, unnest([event_type, 'again']) AS event_type,
+           strftime(ts, '%H:%M:%S') AS seen_at
     FROM events
-    WHERE ts >= TIMESTAMP '2024-01-24' AND ts < TIMESTAMP '2024-01-31'"""
+    WHERE event_type <> 'signup'
+      AND ts >= TIMESTAMP '2024-01-24' AND ts < TIMESTAMP '2024-01-31'"""
 
 # Telemetry
 

@@ -11,7 +11,17 @@ from tiermart.functions import fixed
 from tiermart.operators.changes import drop_where, is_active, missing_rows, swap_active
 from tiermart.operators.latest import latest_by_key, newest
 
-TARGET_KEYS = [fixed.SALES_LINE_NAMES[key] for key in fixed.HISTORY_KEYS]
+
+
+def _selective_first(keys: Sequence[str]) -> list[str]:
+    """Same keys, led by those that tell most rows apart.
+
+    Sorting decides by the leading bytes of the first key where it can.
+    """
+    return sorted(keys, key=lambda key: key not in ("src_order_id", "src_line_id"))
+
+
+TARGET_KEYS = [fixed.SALES_LINE_NAMES[key] for key in _selective_first(fixed.HISTORY_KEYS)]
 
 KEPT = "kept"
 ACTIVE_DELETED = "active_deleted"
@@ -30,7 +40,7 @@ def conform_lines(
     """
     rest = [c for c in fixed.SALES_LINE_NAMES if c not in (*keys, "record_timestamp")]
     order = [*newest("record_timestamp"), *tie_breaks, *newest(*rest)]
-    kept = latest_by_key(feed, keys, order)
+    kept = latest_by_key(feed, _selective_first(keys), order)
     return kept.select(
         *[F.col(src).alias(name) for src, name in fixed.SALES_LINE_NAMES.items()]
     )

@@ -43,10 +43,18 @@ def read_payloads(
     return unwrap(files.json(path))
 
 
-def archive_payloads(payloads: DataFrame, day: Column, path: str) -> None:
-    """Append the payloads that hold items to ``year=/month=/day=`` folders."""
-    held = payloads.where(F.size("items") > 0).withColumns(day_parts(day))
-    held.write.mode("append").partitionBy("year", "month", "day").json(path)
+def archive_payloads(payloads: DataFrame, day: str, path: str) -> None:
+    """Append the payloads that hold items to ``year=/month=/day=`` folders.
+
+    Rows are gathered by day first, so that a run does not leave one file per
+    task and day; days too large for one task are split again.
+    """
+    held = payloads.where(F.size("items") > 0).select(
+        *[c for c in payloads.columns if c != day],
+        *[part.alias(name) for name, part in day_parts(F.col(day)).items()],
+    )
+    by_day = held.hint("rebalance", "year", "month", "day")
+    by_day.write.mode("append").partitionBy("year", "month", "day").json(path)
 
 
 def in_window(day: Column, as_of: dt.date, days: int = fixed.RELOAD_DAYS) -> Column:
