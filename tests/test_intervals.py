@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiermart.operators.intervals import island_rows, islands, not_contained
+from checks import shapes
 from tiermart.plans import shortages
+from tiermart.sinks import shortages as stored
 
 KEYS = shortages.KEYS
 GAP = shortages.GAP
@@ -213,3 +215,59 @@ def test_recent_history_is_pushed_to_the_scan(spark, plan_of, tmp_path):
     intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")).write.parquet(path)
     plan = plan_of(shortages.open_baseline(spark.read.parquet(path), dt.date(2024, 1, 10)))
     assert "GreaterThanOrEqual(end_date,2024-01-03T00:00)" in plan
+
+
+def stored_rows(spark, root):
+    return order(map(tuple, stored.open_history(spark, root).drop(stored.MONTH).collect()))
+
+
+def test_stored_history_follows_the_plan(spark, tmp_path):
+    """Three runs over the events, month by month, against the one-table plan."""
+    root = str(tmp_path)
+    seen = shapes.snapshots(spark, "/root/testdata/sf0.001").withColumn(
+        "snapshot_timestamp", F.col("snapshot_timestamp") + F.lit(dt.timedelta(days=12))
+    )
+
+    def until(first, last):
+        return seen.where(F.col("snapshot_timestamp").between(F.lit(first), F.lit(last)))
+
+    expected = shortages.shortage_periods(until("2024-01-01", "2024-01-25"))
+    stored.create_history(expected, root)
+    for day in (28, 31, 34):
+        as_of = dt.date(2024, 1, 1) + dt.timedelta(days=day)
+        new = until(str(as_of - dt.timedelta(days=7)), str(as_of))
+        before = expected.count()
+        expected = shortages.consolidate(expected, shortages.shortage_periods(new), as_of)
+        path = str(tmp_path / f"expected{day}")
+        expected.write.parquet(path)
+        expected = spark.read.parquet(path)
+        assert stored.run_consolidation(new, root, as_of) == expected.count() - before
+        assert stored_rows(spark, root) == order(map(tuple, expected.collect()))
+
+
+def test_run_cut_short_is_finished(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    stored.create_history(intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")), root)
+    new = spark.createDataFrame(
+        [(1, "F1", "P1", at("2024-01-10 01:00")), (2, "F1", "P1", at("2024-01-10 02:00"))],
+        SNAPSHOT.format("timestamp_ntz"),
+    )
+    untouched = stored_rows(spark, root)
+    finish = stored.finish_last_run
+    monkeypatch.setattr(stored, "finish_last_run", lambda *_: None)
+    assert stored.run_consolidation(new, root, dt.date(2024, 1, 10)) == 1
+    assert stored_rows(spark, root) == untouched
+    for _ in range(2):
+        finish(spark, root)
+        assert stored_rows(spark, root) == order([
+            (1, "F1", "P1", at("2024-01-08"), at("2024-01-10 01:00")),
+            (2, "F1", "P1", at("2024-01-10 02:00"), at("2024-01-10 02:00")),
+        ])
+
+
+def test_run_without_changes_writes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    stored.create_history(intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")), root)
+    none = spark.createDataFrame([], SNAPSHOT.format("timestamp_ntz"))
+    assert stored.run_consolidation(none, root, dt.date(2024, 1, 10)) == 0
+    assert not (tmp_path / stored.CHANGES).exists()

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiermart.functions import fixed, names, typing
-from tiermart.plans import catalog, shipments, suppliers, telemetry
+from tiermart.plans import catalog, loads, shipments, suppliers, telemetry
 from tiermart.sinks import ledger
 from tiermart.sources import bronze, delimited, incremental
 
@@ -175,7 +175,9 @@ def test_delta_against_a_stored_target(spark, tmp_path):
     spark.createDataFrame([(1, "2024-01-01", "10:00:00")], "id long, date string, time string") \
         .write.parquet(path)
     assert telemetry.load_telemetry(spark, source, path) == 2
+    files = sorted((tmp_path / "target").iterdir())
     assert telemetry.load_telemetry(spark, source, path) == 0
+    assert sorted((tmp_path / "target").iterdir()) == files
     rows = spark.read.parquet(path).collect()
     assert sorted((r.id or 0, r.time) for r in rows) == [
         (0, "09:00:00"), (1, "10:00:00"), (2, "10:00:01")
@@ -234,3 +236,43 @@ def test_split_types(spark):
     found = typing.split_types(spark.createDataFrame([("7",), ("x",), (None,)], "c string"), "c")
     assert found.columns == ["c_long", "c_string"]
     assert sorted(map(str, map(tuple, found.collect()))) == ["(7, None)", "(None, 'x')", "(None, None)"]
+
+
+def test_file_load_runs_once_per_file(spark, tmp_path):
+    inbox, target, book = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "l")
+    inbox.mkdir()
+    row = "1,ring,a,b,c,d,e,F,adult,30"
+    write(inbox, "20240305_product_masterdata.csv", CATALOG_HEADER, row)
+    assert loads.load_catalog(spark, str(inbox), target, book) == 1
+    write(inbox, "20240306_product_masterdata.csv", CATALOG_HEADER, row, row)
+    write(inbox, "20240307_product_masterdata.csv", CATALOG_HEADER)
+    assert loads.load_catalog(spark, str(inbox), target, book) == 2
+    assert loads.load_catalog(spark, str(inbox), target, book) == 0
+    assert spark.read.parquet(target).count() == 3
+    assert spark.read.parquet(book).count() == 3
+
+
+def test_supplier_loads(spark, tmp_path):
+    write(tmp_path, "missing_products_20240101_010203.csv", "id_deposito;minsan", "D1;12")
+    write(tmp_path, "supplier_a_depot_masterdata_20240101_010203.csv",
+          "cod_ministeriale;id_deposito_principale", "M1;D1", "M2;D2")
+    folder, out = str(tmp_path), str(tmp_path / "out")
+    assert loads.load_missing_products(spark, folder, f"{out}/m", f"{out}/ml") == 1
+    assert loads.load_depots(spark, folder, f"{out}/d", f"{out}/dl") == 2
+
+
+def test_shipment_load(spark, tmp_path):
+    day = dt.date(2024, 1, 5)
+    for name, record, value in [
+        ("s", fixed.SHIPMENT_RECORD, {"items": [SHIPMENT]}),
+        ("p", fixed.PALLET_RECORD, {"items": [{"palletId": "L1", "packages": []}]}),
+    ]:
+        text = spark.createDataFrame([(json.dumps(value), day)], "t string, seen date")
+        payload = text.select(F.from_json("t", bronze.envelope(record)).alias("p"), "seen")
+        bronze.archive_payloads(payload.select("p.*", "seen"), "seen", str(tmp_path / name))
+    done = loads.load_shipments(
+        spark, str(tmp_path / "s"), str(tmp_path / "p"), str(tmp_path / "out"), day
+    )
+    assert {name: result.n_rows for name, result in done.items()} == {
+        "shipments_master": 1, "shipments_details": 1, "pallets_master": 1, "pallets_details": 0
+    }

@@ -14,11 +14,12 @@ def left_join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     Spark splits a skewed join input only when both shuffles feed the join
     directly. The grouping of ``right`` would otherwise provide its shuffle, so a
     hash of the keys joins in: it changes no match, but gives ``right`` a shuffle
-    of its own, over the few rows left after grouping.
+    of its own, over the few rows left after grouping. It also comes first in the
+    sorts, which it decides without comparing the keys.
     """
     spread = F.xxhash64(*keys)
     joined = left.withColumn("_spread", spread).join(
-        right.withColumn("_spread", spread), [*keys, "_spread"], "left"
+        right.withColumn("_spread", spread), ["_spread", *keys], "left"
     )
     return joined.drop("_spread")
 

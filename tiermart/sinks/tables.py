@@ -61,6 +61,16 @@ def _numbered(spark: SparkSession, root: str, name: str) -> list[tuple[int, bool
     return sorted(found)
 
 
+def is_marked(spark: SparkSession, path: str, mark: str) -> bool:
+    fs, marker = _folder(spark, f"{path}/{mark}")
+    return fs.exists(marker)
+
+
+def set_mark(spark: SparkSession, path: str, mark: str) -> None:
+    fs, marker = _folder(spark, f"{path}/{mark}")
+    fs.createNewFile(marker)
+
+
 def version_path(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}/v={version}"
 
@@ -85,6 +95,7 @@ def publish(
     name: str,
     counts: Sequence = (),
     drop: Sequence[str] = (),
+    partition_by: Sequence[str] = (),
     keep_old_if_empty: bool = False,
 ) -> Published:
     """Write ``df`` as the next version of a table.
@@ -98,7 +109,7 @@ def publish(
     path = version_path(root, name, taken[-1][0] + 1 if taken else 1)
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *counts)
-    observed.drop(*drop).write.parquet(path)
+    observed.drop(*drop).write.parquet(path, partitionBy=list(partition_by) or None)
     found = dict(seen.get)
     n_rows = found.pop("n_rows")
     if n_rows == 0 and keep_old_if_empty:
@@ -115,7 +126,12 @@ def reload_staging(df: DataFrame, root: str, name: str) -> Published:
 
 
 def append_rows(df: DataFrame, path: str) -> int:
-    """Append to the parquet table at ``path``; returns how many rows were added."""
+    """Append to the parquet table at ``path``; returns how many rows were added.
+
+    Without rows nothing is written.
+    """
+    if df.isEmpty():
+        return 0
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("append").parquet(path)
     return seen.get["n_rows"]
