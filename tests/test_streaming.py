@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tiermart.operators.intervals import islands
@@ -38,11 +39,12 @@ def test_processed_files_are_archived(spark, tmp_path):
     assert {r.k for r in spark.read.parquet(out).collect()} == {"a", "b", "c"}
 
 
-def test_copies_within_seven_days_are_dropped(spark, tmp_path):
+@pytest.mark.parametrize("spread", [1, 4])
+def test_copies_within_seven_days_are_dropped(spark, tmp_path, spread):
     inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     for row in [("a", "2024-01-01 00:00:00"), ("a", "2024-01-06 00:00:00"), ("b", "2024-01-02 00:00:00")]:
         arrive(spark, inbox, row)
-        kept = flows.drop_late_copies(flows.stream_files(spark, inbox, SCHEMA), ["k"], "ts")
+        kept = flows.drop_late_copies(flows.stream_files(spark, inbox, SCHEMA), ["k"], "ts", spread=spread)
         flows.append_available(kept, out, state).awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b"]
 

@@ -143,9 +143,11 @@ def write_bucketed(
     """Catalog table hashed by ``by`` and sorted by ``sort_by`` inside each bucket.
 
     Tables bucketed alike join on ``by`` without a shuffle, and filters on the
-    leading sort column skip row groups. Rows are spread by bucket first, so
-    that each bucket is one file rather than one per task.
+    leading sort column skip row groups. Rows are gathered by bucket first, so
+    that a bucket is one file rather than one per task; a bucket too large for
+    one task is written by several. A join still reads a bucket in one task, so
+    add a column to ``by`` if one of its values holds most of the rows.
     """
-    spread = df.repartition(buckets, *by)
+    spread = df.hint("rebalance", buckets, *by)
     writer = spread.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*sort_by)
     writer.saveAsTable(table)

@@ -47,9 +47,19 @@ def drop_late_copies(
     keys: Sequence[str],
     ts: str,
     delay: dt.timedelta = dt.timedelta(days=fixed.RELOAD_DAYS),
+    spread: int = 16,
 ) -> DataFrame:
-    """First row per key, forgetting a key once ``delay`` has passed."""
+    """First row per key, forgetting a key once ``delay`` has passed.
+
+    Copies are first dropped within ``spread`` parts of each key, so that a key
+    which holds most of the stream leaves at most that many rows for one task.
+    This keeps a second, larger state; ``spread=1`` does without it.
+    """
     marked = stream.withWatermark(ts, f"{delay.total_seconds():.0f} seconds")
+    if spread > 1:
+        # Seeded, so that a repeated task deals its rows the same way.
+        dealt = marked.withColumn("_part", (F.rand(seed=1) * spread).cast("int"))
+        marked = dealt.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
