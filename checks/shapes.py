@@ -30,6 +30,7 @@ def run_ts() -> Column:
 def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw catalogue columns, one unrelated column, and the file they came from."""
     words = F.split("p_name", " ")
+    file_day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 60).cast("int"))
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("product_id"),
         F.col("p_name").alias("product_desc"),
@@ -43,13 +44,7 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("string").alias("age_range"),
         F.when(F.col("p_partkey") % 10 == 0, "product_masterdata.csv")
         .otherwise(
-            F.concat(
-                F.date_format(
-                    F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 60).cast("int")),
-                    "yyyyMMdd",
-                ),
-                F.lit("_product_masterdata.csv"),
-            )
+            F.concat(F.date_format(file_day, "yyyyMMdd"), F.lit("_product_masterdata.csv"))
         )
         .alias("filename"),
     )
@@ -181,7 +176,10 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = item.withField("event_type", F.lit("again"))
     none = F.array().cast(f"array<struct<{EVENT_RECORD}>>")
     return table(spark, sf_dir, "events").select(
-        "ts", F.when(F.col("event_type") == "signup", none).otherwise(F.array(item, again)).alias("items")
+        "ts",
+        F.when(F.col("event_type") == "signup", none)
+        .otherwise(F.array(item, again))
+        .alias("items"),
     )
 
 

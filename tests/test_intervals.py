@@ -198,7 +198,8 @@ def test_all_rows_with_the_extended_start_get_the_new_end(spark):
 
 
 def test_other_columns_of_history_survive(spark):
-    history = intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")).withColumn("note", F.lit("x"))
+    history = intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00"))
+    history = history.withColumn("note", F.lit("x"))
     new = intervals(spark, ("2024-01-12 00:00", "2024-01-12 01:00"))
     found = shortages.consolidate(history, new, dt.date(2024, 1, 12)).collect()
     assert sorted(str(r.note) for r in found) == ["None", "x"]

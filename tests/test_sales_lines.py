@@ -10,6 +10,7 @@ from tiermart.operators.latest import latest_by_key, newest, oldest
 from tiermart.operators.joins import without_matches
 from tiermart.plans import sales_lines
 from tiermart.sinks import sales_lines as stored
+from tiermart.sinks import tables
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -121,6 +122,8 @@ def test_stored_lines_follow_the_plan(spark, tmp_path):
         expected = run(expected, active, history)
         assert stored.run_upsert(active, history, root) == audit
         assert ids(stored.open_lines(spark, root)) == ids(expected)
+    tables.drop_old_versions(spark, root, stored.ACTIVE, keep=1)
+    assert ids(stored.open_lines(spark, root)) == ids(expected)
 
 
 def test_unfinished_run_is_ignored_and_redone(spark, tmp_path):

@@ -1,5 +1,7 @@
 """Versions, empty loads, appends and bucketed layout."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,21 @@ def test_counts_come_from_the_write(spark, tmp_path):
     assert spark.read.parquet(done.path).columns == ["id"]
 
 
+def test_old_versions_are_dropped(spark, tmp_path):
+    for n in range(1, 5):
+        tables.publish(spark.range(n), str(tmp_path), "t")
+    tables.drop_old_versions(spark, str(tmp_path), "t")
+    assert tables.versions(spark, str(tmp_path), "t") == [3, 4]
+    assert tables.publish(spark.range(9), str(tmp_path), "t").path.endswith("v=5")
+
+
+def test_staging_is_removed(spark):
+    with tables.staging(spark, "x") as folder:
+        spark.range(1).write.parquet(f"{folder}/t")
+        assert Path(folder).is_dir()
+    assert not Path(folder).exists()
+
+
 def test_missing_table(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         tables.open_table(spark, str(tmp_path), "nothing")

@@ -235,7 +235,9 @@ def test_event_time(spark):
 def test_split_types(spark):
     found = typing.split_types(spark.createDataFrame([("7",), ("x",), (None,)], "c string"), "c")
     assert found.columns == ["c_long", "c_string"]
-    assert sorted(map(str, map(tuple, found.collect()))) == ["(7, None)", "(None, 'x')", "(None, None)"]
+    assert sorted(map(str, map(tuple, found.collect()))) == [
+        "(7, None)", "(None, 'x')", "(None, None)"
+    ]
 
 
 def test_file_load_runs_once_per_file(spark, tmp_path):

@@ -18,14 +18,19 @@ def arrive(spark, path, *rows):
     frame.select("k", F.col("t").cast("timestamp").alias("ts")).write.mode("append").parquet(path)
 
 
+def load(spark, inbox, out, state):
+    stream = flows.stream_files(spark, inbox, SCHEMA)
+    flows.append_available(stream, out, state).awaitTermination()
+
+
 def test_only_new_files_are_loaded(spark, tmp_path):
     inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     arrive(spark, inbox, ("a", "2024-01-05 00:00:00"))
     for _ in range(2):
-        flows.append_available(flows.stream_files(spark, inbox, SCHEMA), out, state).awaitTermination()
+        load(spark, inbox, out, state)
     assert spark.read.parquet(out).count() == 1
     arrive(spark, inbox, ("late", "2024-01-01 00:00:00"))
-    flows.append_available(flows.stream_files(spark, inbox, SCHEMA), out, state).awaitTermination()
+    load(spark, inbox, out, state)
     assert {r.k for r in spark.read.parquet(out).collect()} == {"a", "late"}
 
 
@@ -42,7 +47,8 @@ def test_processed_files_are_archived(spark, tmp_path):
 @pytest.mark.parametrize("spread", [1, 4])
 def test_copies_within_seven_days_are_dropped(spark, tmp_path, spread):
     inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    for row in [("a", "2024-01-01 00:00:00"), ("a", "2024-01-06 00:00:00"), ("b", "2024-01-02 00:00:00")]:
+    times = [("a", "2024-01-01"), ("a", "2024-01-06"), ("b", "2024-01-02")]
+    for row in times:
         arrive(spark, inbox, row)
         kept = flows.drop_late_copies(flows.stream_files(spark, inbox, SCHEMA), ["k"], "ts", spread=spread)
         flows.append_available(kept, out, state).awaitTermination()

@@ -20,22 +20,26 @@ VIEW = "sales_lines"
 
 def open_lines(spark: SparkSession, root: str) -> DataFrame:
     """Active and history lines of the last complete run."""
-    runs = tables.versions(spark, root, ACTIVE)
-    if not runs:
-        raise FileNotFoundError(f"{root}/{ACTIVE} has no committed version")
-    active = tables.open_table(spark, root, ACTIVE, runs[-1])
-    lines = active.unionByName(_history(spark, root, runs))
+    active, history, _ = _parts(spark, root)
+    lines = active.unionByName(history)
     lines.createOrReplaceTempView(VIEW)
     return lines
 
 
-def _history(spark: SparkSession, root: str, runs: list[int]) -> DataFrame:
-    return spark.read.parquet(*[tables.version_path(root, HISTORY, n) for n in runs])
+def _parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, int]:
+    """Active part, history part and number of the last complete run."""
+    active = tables.open_table(spark, root, ACTIVE)
+    run = tables.versions(spark, root, ACTIVE)[-1]
+    written = [n for n in tables.versions(spark, root, HISTORY) if n <= run]
+    history = spark.read.parquet(*[tables.version_path(root, HISTORY, n) for n in written])
+    return active, history, run
 
 
-def _write(df: DataFrame, path: str) -> int:
+def _write(lines: DataFrame, path: str) -> int:
+    """Sorted inside each file, so that filters on the branch skip row groups."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    counted = lines.observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.sortWithinPartitions("branch_code").write.mode("overwrite").parquet(path)
     return seen.get["n"]
 
 
@@ -52,29 +56,30 @@ def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, in
     state before, and a history folder without it is ignored and rewritten.
     """
     spark = active.sparkSession
-    runs = tables.versions(spark, root, ACTIVE)
-    run = runs[-1] + 1
-    old_active = tables.open_table(spark, root, ACTIVE, runs[-1])
-    kept = _history(spark, root, runs)
-
-    known = kept.select(*TARGET_KEYS).unionByName(active.select(*TARGET_KEYS))
-    missing = missing_rows(history, known, TARGET_KEYS)
-    lasting = history_part(active).withColumn("_active", F.lit(True))
-    added = lasting.unionByName(missing.withColumn("_active", F.lit(False)))
-    seen = Observation()
-    counted = added.observe(
-        seen,
-        F.count_if("_active").alias("active_kept"),
-        F.count_if(~F.col("_active")).alias("history_inserted"),
-        F.count_if(F.col("_active") & (F.col("history_prog_id") != 0)).alias("with_history_id"),
-    )
-    path = tables.version_path(root, HISTORY, run)
-    counted.drop("_active").write.mode("overwrite").parquet(path)
-    swapped = _write(active_part(active), tables.version_path(root, ACTIVE, run))
+    old_active, kept, last_run = _parts(spark, root)
+    run = last_run + 1
+    with tables.staging(spark, "sales-lines") as folder:
+        # The active lines are read three times, so they are stored once.
+        active.write.parquet(f"{folder}/active")
+        active = spark.read.parquet(f"{folder}/active")
+
+        known = kept.select(*TARGET_KEYS).unionByName(active.select(*TARGET_KEYS))
+        missing = missing_rows(history, known, TARGET_KEYS)
+        lasting = history_part(active).withColumn("_active", F.lit(True))
+        added = lasting.unionByName(missing.withColumn("_active", F.lit(False)))
+        seen = Observation()
+        counted = added.observe(
+            seen,
+            F.count_if("_active").alias("lasting"),
+            F.count_if(F.col("_active") & (F.col("history_prog_id") != 0)).alias("piled_up"),
+        ).drop("_active")
+        n_added = _write(counted, tables.version_path(root, HISTORY, run))
+        n_swapped = _write(active_part(active), tables.version_path(root, ACTIVE, run))
     open_lines(spark, root)
+    counts = seen.get
     return {
         "active_deleted": old_active.count(),
-        "active_inserted": swapped + seen.get["active_kept"],
-        "history_inserted": seen.get["history_inserted"],
-        "active_with_history_id": seen.get["with_history_id"],
+        "active_inserted": n_swapped + counts["lasting"],
+        "history_inserted": n_added - counts["lasting"],
+        "active_with_history_id": counts["piled_up"],
     }

@@ -69,27 +69,27 @@ def run_consolidation(
     spark = snapshots.sparkSession
     finish_last_run(spark, root)
     history = open_history(spark, root)
-    steps = tables.shared_folder(spark, "shortages")
-
-    # Matches and inserts are read several times, so they are stored once.
-    baseline = shortages.open_baseline(history, as_of, lookback)
-    periods = shortages.shortage_periods(snapshots, gap)
-    shortages.match_baseline(periods, baseline, gap).write.parquet(f"{steps}/matched")
-    matched = spark.read.parquet(f"{steps}/matched")
-    shortages.find_inserts(matched, history).write.parquet(f"{steps}/inserts")
-    inserts = spark.read.parquet(f"{steps}/inserts")
-    extensions = shortages.find_extensions(matched)
-
-    starts = extensions.select(_month("history_start_date").alias(MONTH)).unionByName(
-        inserts.select(_month("start_date").alias(MONTH))
-    )
-    # At most one row per calendar month.
-    months = [row[MONTH] for row in starts.distinct().collect()]
-    if months:
-        before = history.where(F.col(MONTH).isin(months)).drop(MONTH)
-        after = set_end_dates(before, extensions, shortages.KEYS).unionByName(
-            inserts, allowMissingColumns=True
+
+    with tables.staging(spark, "shortages") as folder:
+        # Matches and inserts are read several times, so they are stored once.
+        baseline = shortages.open_baseline(history, as_of, lookback)
+        periods = shortages.shortage_periods(snapshots, gap)
+        shortages.match_baseline(periods, baseline, gap).write.parquet(f"{folder}/matched")
+        matched = spark.read.parquet(f"{folder}/matched")
+        shortages.find_inserts(matched, history).write.parquet(f"{folder}/inserts")
+        inserts = spark.read.parquet(f"{folder}/inserts")
+        extensions = shortages.find_extensions(matched)
+
+        starts = extensions.select(_month("history_start_date").alias(MONTH)).unionByName(
+            inserts.select(_month("start_date").alias(MONTH))
         )
-        tables.publish(_by_month(after), root, CHANGES, partition_by=[MONTH])
-        finish_last_run(spark, root)
-    return inserts.count()
+        # At most one row per calendar month.
+        months = [row[MONTH] for row in starts.distinct().collect()]
+        if months:
+            before = history.where(F.col(MONTH).isin(months)).drop(MONTH)
+            after = set_end_dates(before, extensions, shortages.KEYS).unionByName(
+                inserts, allowMissingColumns=True
+            )
+            tables.publish(_by_month(after), root, CHANGES, partition_by=[MONTH])
+            finish_last_run(spark, root)
+        return inserts.count()

@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -43,6 +44,21 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staging(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A new shared folder for intermediate tables, removed at the end."""
+    folder = shared_folder(spark, purpose)
+    try:
+        yield folder
+    finally:
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _folder(spark, path)
+    fs.delete(hadoop, True)
+
+
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     """Numbers of the committed versions, oldest first."""
     return [n for n, committed in _numbered(spark, root, name) if committed]
@@ -61,6 +77,12 @@ def _numbered(spark: SparkSession, root: str, name: str) -> list[tuple[int, bool
     return sorted(found)
 
 
+def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` committed versions of a replaced table."""
+    for version in versions(spark, root, name)[: -max(keep, 1)]:
+        _delete(spark, version_path(root, name, version))
+
+
 def is_marked(spark: SparkSession, path: str, mark: str) -> bool:
     fs, marker = _folder(spark, f"{path}/{mark}")
     return fs.exists(marker)
@@ -113,8 +135,7 @@ def publish(
     found = dict(seen.get)
     n_rows = found.pop("n_rows")
     if n_rows == 0 and keep_old_if_empty:
-        fs, written = _folder(spark, path)
-        fs.delete(written, True)
+        _delete(spark, path)
     else:
         open_table(spark, root, name)
     return Published(path, n_rows, found)
