@@ -5,9 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import shapes
 from tiermart.functions import fixed, sales
-from tiermart.operators.joins import left_join_unique
+from tiermart.operators.joins import left_join_unique, without_matches
 from tiermart.plans import sales_mart
+from tiermart.sinks import tables
 
 
 def label(spark, b2b=None, push=None, retail=None, other=None, matched=True):
@@ -75,8 +77,9 @@ def test_null_keys_do_not_match(spark):
     ]
 
 
-def test_hot_order_is_split(spark):
-    """One order with a third of all lines is read by several join tasks."""
+@pytest.mark.parametrize("join", ["left", "anti"])
+def test_hot_key_is_split(spark, join):
+    """One key with a third of all rows is read by several join tasks."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -94,10 +97,12 @@ def test_hot_order_is_split(spark):
             F.hash("id").alias("payload"),
         )
         totals = lines.groupBy("k").agg(F.count("*").alias("n"))
-        joined = left_join_unique(lines, totals, ["k"])
-        assert joined.count() == 60000
-        joined = left_join_unique(lines, totals, ["k"])
-        joined.collect()
+        if join == "left":
+            joined = left_join_unique(lines, totals, ["k"])
+        else:
+            joined = without_matches(lines, totals.where("k % 2 = 0"), ["k"], hot=True)
+        rows = joined.collect()
+        assert len(rows) == (60000 if join == "left" else 40000)
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "skew=true" in plan
     finally:
@@ -110,3 +115,16 @@ def test_date_filter_reaches_the_scan(spark, plan_of, tmp_path):
     spark.sql("select timestamp_ntz'2024-01-01' order_date").write.parquet(path)
     plan = plan_of(sales_mart.trailing_year(spark.read.parquet(path), dt.date(2024, 3, 1)))
     assert "GreaterThanOrEqual(order_date,2023-02-28T00:00)" in plan
+
+
+def test_refreshed_mart_is_stored(spark, tmp_path):
+    sf_dir, root = "/root/testdata/sf0.001", str(tmp_path)
+    orders, channels = shapes.mart_orders(spark, sf_dir), shapes.channel_rows(spark, sf_dir)
+    for as_of in (dt.date(2001, 8, 1), shapes.MART_AS_OF):
+        path = sales_mart.refresh_mart(orders, channels, as_of, root, "mart")
+    assert path.endswith("v=2")
+    expected = sales_mart.sales_orders_extended(orders, channels, shapes.MART_AS_OF)
+    stored = tables.open_table(spark, root, "mart")
+    assert stored.columns == expected.columns and len(stored.columns) == 62
+    assert stored.exceptAll(expected).isEmpty() and expected.exceptAll(stored).isEmpty()
+    assert spark.table("mart").count() == stored.count()

@@ -24,11 +24,20 @@ def left_join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
     return joined.drop("_spread")
 
 
-def without_matches(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+def without_matches(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], hot: bool = False
+) -> DataFrame:
     """Rows of ``df`` whose ``keys`` do not occur in ``other``; NULL never matches.
 
     ``other`` is reduced to its distinct keys before the shuffle. Grouping keeps
     the order of ``keys``, so the join needs no second shuffle of either side.
+    Set ``hot`` where many rows of ``df`` may share a key: both sides then get a
+    shuffle of their own, which lets Spark split that key.
     """
     known = other.groupBy(*keys).agg(F.lit(True).alias("_known"))
-    return df.join(known, list(keys), "left_anti")
+    if not hot:
+        return df.join(known, list(keys), "left_anti")
+    spread = F.xxhash64(*keys)
+    known = known.withColumn("_spread", spread)
+    apart = df.withColumn("_spread", spread).join(known, ["_spread", *keys], "left_anti")
+    return apart.drop("_spread")

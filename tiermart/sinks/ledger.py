@@ -16,7 +16,7 @@ def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def rows_of_new_files(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows read from files that the ledger does not hold."""
-    return without_matches(rows, ledger, ["filename"])
+    return without_matches(rows, ledger, ["filename"], hot=True)
 
 
 def record_files(listing: DataFrame, path: str, run_ts: Column | None = None) -> int:
