@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -204,53 +205,52 @@ def loaded_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SALES_FEED = {
+    "src_branch": "'B' || (o_custkey % 10)",
+    "src_hist_id": "if(o_orderstatus = 'F', 1, 0)",
+    "src_order_id": "'O' || l_orderkey",
+    "src_cust_id": "string(o_custkey)",
+    "src_delivery_id": "'D' || l_orderkey",
+    "src_line_id": "l_linenumber",
+    "is_fulfilled": "l_linestatus = 'F'",
+    "src_prod_id": "'P' || (l_partkey % 5)",
+    "src_prod_desc": "'item ' || (l_partkey % 5)",
+    "uom": "'PZ'",
+    "qty_requested": "l_quantity",
+    "qty_ordered": "l_quantity",
+    "qty_ordered_cev": "l_quantity * 2",
+    "qty_delivered": "if(l_linestatus = 'F', l_quantity, 0D)",
+    "qty_delivered_cev": "if(l_linestatus = 'F', l_quantity * 2, 0D)",
+    "selling_price": "l_extendedprice",
+    "retail_price": "o_totalprice",
+    "vat_rate": "l_tax",
+    "discount_pct_line": "l_discount",
+    "discount_pct_cond1": "if(l_discount > 0.05D, l_discount, NULL)",
+    "discount_pct_cond2": "0D",
+    "discount_pct_cust": "l_tax",
+    "discount_pct_cust1": "0D",
+    "discount_pct_cust2": "0D",
+    "discount_pct_prod": "l_discount",
+    "product_type": "l_returnflag",
+    "warehouse_id": "'W' || (l_suppkey % 10)",
+    "product_status": "l_linestatus",
+    "qty_reversed": "if(l_returnflag = 'R', l_quantity, 0D)",
+    "qty_reversed_cev": "if(l_returnflag = 'R', l_quantity * 2, 0D)",
+    "container_ref": (
+        "if(l_suppkey % 3 = 0, NULL, if(l_suppkey % 3 = 1, 'b', 'B') || 'ox' || l_suppkey)"
+    ),
+    "record_timestamp": "l_shipdate",
+}
+
+
+def _expressions(columns: Mapping[str, str]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in columns.items()]
+
+
 def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales-line staging rows, with ``l_partkey`` and ``l_suppkey`` to break ties."""
-    zero = F.lit(0.0)
-    quantity = F.col("l_quantity")
-    customer = F.col("o_custkey")
-    container = (
-        F.when(F.col("l_suppkey") % 3 == 1, F.concat(F.lit("box"), F.col("l_suppkey")))
-        .when(F.col("l_suppkey") % 3 == 2, F.concat(F.lit("Box"), F.col("l_suppkey")))
-    )
-    columns = {
-        "src_branch": F.concat(F.lit("B"), customer % 10),
-        "src_hist_id": F.when(F.col("o_orderstatus") == "F", 1).otherwise(0),
-        "src_order_id": F.concat(F.lit("O"), F.col("l_orderkey")),
-        "src_cust_id": customer.cast("string"),
-        "src_delivery_id": F.concat(F.lit("D"), F.col("l_orderkey")),
-        "src_line_id": F.col("l_linenumber"),
-        "is_fulfilled": F.col("l_linestatus") == "F",
-        "src_prod_id": F.concat(F.lit("P"), F.col("l_partkey") % 5),
-        "src_prod_desc": F.concat(F.lit("item "), F.col("l_partkey") % 5),
-        "uom": F.lit("PZ"),
-        "qty_requested": quantity,
-        "qty_ordered": quantity,
-        "qty_ordered_cev": quantity * 2,
-        "qty_delivered": F.when(F.col("l_linestatus") == "F", quantity).otherwise(zero),
-        "qty_delivered_cev": F.when(F.col("l_linestatus") == "F", quantity * 2).otherwise(zero),
-        "selling_price": F.col("l_extendedprice"),
-        "retail_price": F.col("o_totalprice"),
-        "vat_rate": F.col("l_tax"),
-        "discount_pct_line": F.col("l_discount"),
-        "discount_pct_cond1": F.when(F.col("l_discount") > 0.05, F.col("l_discount")),
-        "discount_pct_cond2": zero,
-        "discount_pct_cust": F.col("l_tax"),
-        "discount_pct_cust1": zero,
-        "discount_pct_cust2": zero,
-        "discount_pct_prod": F.col("l_discount"),
-        "product_type": F.col("l_returnflag"),
-        "warehouse_id": F.concat(F.lit("W"), F.col("l_suppkey") % 10),
-        "product_status": F.col("l_linestatus"),
-        "qty_reversed": F.when(F.col("l_returnflag") == "R", quantity).otherwise(zero),
-        "qty_reversed_cev": F.when(F.col("l_returnflag") == "R", quantity * 2).otherwise(zero),
-        "container_ref": container,
-        "record_timestamp": F.col("l_shipdate"),
-    }
     lines = _order_lines(spark, sf_dir, "inner")
-    return lines.select(
-        *[column.alias(name) for name, column in columns.items()], "l_partkey", "l_suppkey"
-    )
+    return lines.selectExpr(*_expressions(SALES_FEED), "l_partkey", "l_suppkey")
 
 
 def tie_breaks() -> list[Column]:
@@ -294,88 +294,84 @@ def shortage_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shortages.shortage_periods(snapshots(spark, sf_dir).where(late))
 
 
+ORDER_KEYS = {
+    "branch_code": "'B' || (o_custkey % 10)",
+    "history_prog_id": "if(o_orderstatus = 'F', 1, 0)",
+    "order_prog_id": "'O' || o_orderkey",
+    "customer_code": "string(o_custkey)",
+    "delivery_note_id": "'D' || o_orderkey",
+}
+# Which lines count for a channel.
+CHANNEL_LINES = {
+    "push": "l_returnflag = 'A'",
+    "retail": "l_returnflag = 'N' AND l_linestatus = 'O'",
+    "b2b": "l_returnflag = 'R'",
+    "other": "l_returnflag = 'N' AND l_linestatus = 'F'",
+}
+
+
 def channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantities per line, each in the channel its flags stand for."""
-    returned, status = F.col("l_returnflag"), F.col("l_linestatus")
-    member = {
-        "push": returned == "A",
-        "retail": (returned == "N") & (status == "O"),
-        "b2b": returned == "R",
-        "other": (returned == "N") & (status == "F"),
-    }
     quantities = {}
-    for channel, is_member in member.items():
-        delivered = F.when(is_member & (status == "F"), F.col("l_quantity"))
-        quantities[f"delivered_qty_{channel}"] = delivered
-        quantities[f"ordered_qty_{channel}"] = F.when(is_member, F.col("l_quantity"))
+    for channel, counts in CHANNEL_LINES.items():
+        quantities[f"delivered_qty_{channel}"] = (
+            f"if({counts} AND l_linestatus = 'F', l_quantity, NULL)"
+        )
+        quantities[f"ordered_qty_{channel}"] = f"if({counts}, l_quantity, NULL)"
     lines = _order_lines(spark, sf_dir, "inner")
-    return lines.select(
-        *_order_keys(), *[column.alias(name) for name, column in quantities.items()]
-    )
-
-
-def _order_keys() -> list[Column]:
-    customer = F.col("o_custkey")
-    return [
-        F.concat(F.lit("B"), customer % 10).alias("branch_code"),
-        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("history_prog_id"),
-        F.concat(F.lit("O"), F.col("o_orderkey")).alias("order_prog_id"),
-        customer.cast("string").alias("customer_code"),
-        F.concat(F.lit("D"), F.col("o_orderkey")).alias("delivery_note_id"),
-    ]
+    return lines.selectExpr(*_expressions({**ORDER_KEYS, **quantities}))
+
+
+_NOTE_DATE = "if(o_orderkey % 9 <> 0, o_orderdate + INTERVAL 3 DAYS, NULL)"
+_NOTHING = "double(NULL)"
+MART_ORDERS = {
+    **ORDER_KEYS,
+    "order_line_id": "o_orderkey % 7",
+    "order_type": "o_orderstatus",
+    "product_code": "'P' || (o_orderkey % 100)",
+    "product_description": "'item ' || (o_orderkey % 100)",
+    "unit_of_measure": "'PZ'",
+    "product_type": "'T'",
+    "is_bulky_item": "o_orderkey % 2 = 0",
+    "container_count": "o_custkey % 4",
+    "is_refrigerated": "o_orderkey % 5 = 0",
+    "shipping_line": "'L' || (o_custkey % 3)",
+    "shipping_address": "if(o_orderkey % 11 <> 0, 'dock ' || o_custkey, NULL)",
+    "container_reference": (
+        "if(o_orderkey % 3 = 0, NULL, if(o_orderkey % 3 = 1, 'b', 'B') || 'ox' || o_orderkey)"
+    ),
+    "order_date": "o_orderdate",
+    "delivery_note_date": _NOTE_DATE,
+    "delivery_date": _NOTE_DATE,
+    "fulfillment_closed_timestamp": "if(o_orderstatus = 'F', o_orderdate, NULL)",
+    "is_fulfillment_generated": "o_orderstatus = 'F'",
+    "is_fulfilled": "o_orderstatus = 'F'",
+    "is_order_consolidated": "o_orderkey % 4 = 0",
+    "delivery_note_number": "'N' || o_orderkey",
+    "requested_quantity": "o_totalprice",
+    "ordered_quantity": "o_totalprice",
+    "ordered_quantity_cev": "o_totalprice",
+    "delivered_quantity": "if(o_orderstatus = 'F', o_totalprice, 0D)",
+    "delivered_quantity_cev": "if(o_orderstatus = 'F', o_totalprice, NULL)",
+    "reversed_quantity": "0D",
+    "reversed_quantity_cev": "0D",
+    "selling_price": "o_totalprice",
+    "public_retail_price": "o_totalprice",
+    "vat_rate": "0.22D",
+    "line_discount_pct": _NOTHING,
+    "cond_discount_pct_1": _NOTHING,
+    "cond_discount_pct_2": _NOTHING,
+    "client_discount_pct": "0.5D",
+    "client_discount_pct_1": _NOTHING,
+    "client_discount_pct_2": _NOTHING,
+    "product_discount_pct": _NOTHING,
+    "lines_to_fulfill": "o_custkey % 6",
+    "lines_ordered": "o_custkey % 8",
+    "record_timestamp": "o_orderdate",
+    "order_channel": "o_orderpriority",
+}
 
 
 def mart_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One mart row per order."""
-    order, customer = F.col("o_orderkey"), F.col("o_custkey")
-    finished = F.col("o_orderstatus") == "F"
-    nothing = F.lit(None).cast("double")
-    note_date = F.when(order % 9 != 0, F.col("o_orderdate") + F.lit(dt.timedelta(days=3)))
-    columns = {
-        "order_line_id": order % 7,
-        "order_type": F.col("o_orderstatus"),
-        "product_code": F.concat(F.lit("P"), order % 100),
-        "product_description": F.concat(F.lit("item "), order % 100),
-        "unit_of_measure": F.lit("PZ"),
-        "product_type": F.lit("T"),
-        "is_bulky_item": order % 2 == 0,
-        "container_count": customer % 4,
-        "is_refrigerated": order % 5 == 0,
-        "shipping_line": F.concat(F.lit("L"), customer % 3),
-        "shipping_address": F.when(order % 11 != 0, F.concat(F.lit("dock "), customer)),
-        "container_reference": F.when(order % 3 == 1, F.concat(F.lit("box"), order)).when(
-            order % 3 == 2, F.concat(F.lit("Box"), order)
-        ),
-        "order_date": F.col("o_orderdate"),
-        "delivery_note_date": note_date,
-        "delivery_date": note_date,
-        "fulfillment_closed_timestamp": F.when(finished, F.col("o_orderdate")),
-        "is_fulfillment_generated": finished,
-        "is_fulfilled": finished,
-        "is_order_consolidated": order % 4 == 0,
-        "delivery_note_number": F.concat(F.lit("N"), order),
-        "requested_quantity": F.col("o_totalprice"),
-        "ordered_quantity": F.col("o_totalprice"),
-        "ordered_quantity_cev": F.col("o_totalprice"),
-        "delivered_quantity": F.when(finished, F.col("o_totalprice")).otherwise(0.0),
-        "delivered_quantity_cev": F.when(finished, F.col("o_totalprice")),
-        "reversed_quantity": F.lit(0.0),
-        "reversed_quantity_cev": F.lit(0.0),
-        "selling_price": F.col("o_totalprice"),
-        "public_retail_price": F.col("o_totalprice"),
-        "vat_rate": F.lit(0.22),
-        "line_discount_pct": nothing,
-        "cond_discount_pct_1": nothing,
-        "cond_discount_pct_2": nothing,
-        "client_discount_pct": F.lit(0.5),
-        "client_discount_pct_1": nothing,
-        "client_discount_pct_2": nothing,
-        "product_discount_pct": nothing,
-        "lines_to_fulfill": customer % 6,
-        "lines_ordered": customer % 8,
-        "record_timestamp": F.col("o_orderdate"),
-        "order_channel": F.col("o_orderpriority"),
-    }
-    return table(spark, sf_dir, "orders").select(
-        *_order_keys(), *[column.alias(name) for name, column in columns.items()]
-    )
+    return table(spark, sf_dir, "orders").selectExpr(*_expressions(MART_ORDERS))

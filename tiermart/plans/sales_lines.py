@@ -41,9 +41,7 @@ def conform_lines(
     rest = [c for c in fixed.SALES_LINE_NAMES if c not in (*keys, "record_timestamp")]
     order = [*newest("record_timestamp"), *tie_breaks, *newest(*rest)]
     kept = latest_by_key(feed, _selective_first(keys), order)
-    return kept.select(
-        *[F.col(src).alias(name) for src, name in fixed.SALES_LINE_NAMES.items()]
-    )
+    return kept.select(*fixed.SALES_LINE_NAMES).withColumnsRenamed(fixed.SALES_LINE_NAMES)
 
 
 def active_lines(feed: DataFrame, tie_breaks: Sequence[Column] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +44,18 @@ def sales_orders_extended(
 ) -> DataFrame:
     joined = with_channel_totals(trailing_year(orders, as_of), consolidated)
     delivered = F.when(F.col("delivered_quantity") > 0, 1).otherwise(0)
-    derived = {
-        **surrogate_keys(),
-        **{name: F.col(name) for name in fixed.MART_PASS_THROUGH},
-        **{name: F.col(name) for name in fixed.CHANNEL_TOTALS},
-        "order_channel": channel_of_order(),
-        **calendar_columns("delivery_note_date"),
-        "is_delivered_flag": delivered,
-    }
-    return joined.select(*[column.alias(name) for name, column in derived.items()])
+    return joined.select(
+        *_named(surrogate_keys()),
+        *fixed.MART_PASS_THROUGH,
+        *fixed.CHANNEL_TOTALS,
+        *_named({"order_channel": channel_of_order()}),
+        *_named(calendar_columns("delivery_note_date")),
+        *_named({"is_delivered_flag": delivered}),
+    )
+
+
+def _named(columns: Mapping[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def refresh_mart(
