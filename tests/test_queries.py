@@ -2,8 +2,10 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import connect, differences
+from checks.registry import QUERIES
+from checks.sql import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,12 +16,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    assert differences(queries()[name](spark, SF_DIR), duck, oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) is None
 
 
 def test_entry_has_rows(spark):
