@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiermart.llm import exact_dedup
+from tiermart.llm import byte_bpe, exact_dedup, packing
 from tiermart.llm.common import table
 
 
@@ -12,6 +13,17 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, keep_ids=False)
+
+
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op9_byte_bpe": op9_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,
 }
