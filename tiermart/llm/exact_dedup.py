@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tiermart.llm.common import stored
+
 PREFIX = 64
 OVERSAMPLE = 16
 
@@ -81,6 +83,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumn("most", F.max("id").over(run))
         .drop("key", "head")
     )
+    # Narrow rows; stored, so that the texts move once although the runs are read twice.
+    runs = stored(runs, "runs")
 
     # At most two runs of a slot touch another slot.
     border = (F.col("run") == 1) | (F.col("run") == F.col("last_run"))
