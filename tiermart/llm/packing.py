@@ -9,8 +9,11 @@ bin sizes move between rounds, never texts.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,44 +28,68 @@ CAPACITY = 2048
 SLACK = 8
 GROUP = 20_000
 LOCAL = 200_000
-WORDS_HELD = 300_000
+WORDS_HELD = 150_000
 SEPARATOR = 0
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds:
-    """Token ids of texts by a byte-level tokenizer file; words seen before are looked up."""
+    """Token ids of texts by a byte-level tokenizer file; words seen before are looked up.
+
+    Words of the last two generations are held, at most ``WORDS_HELD`` in each.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        kind = json.loads(self.tokenizer.to_str())
+        split = kind["pre_tokenizer"] or {}
+        if kind["normalizer"] or split.get("type") != "ByteLevel" or split["add_prefix_space"] or not split["use_regex"]:
+            raise ValueError("a byte-level tokenizer without a normalizer is needed")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.held: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, "<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.alphabet = _byte_alphabet()
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            tokens = self.tokenizer.model.tokenize(word.encode("utf-8", "replace").decode("latin-1").translate(self.alphabet))
+            found = array("I", [t.id for t in tokens]).tobytes()
+        self.young[word] = found
+        return found
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text. Special strings inside a text get their own ids."""
         odd = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
         cut = W.cut(["" if i in odd else t for i, t in enumerate(texts)])
-        missing = [w for w in cut.unique if w not in self.held]
-        if missing:
-            if len(self.held) + len(missing) > WORDS_HELD:
-                self.held.clear()
-                missing = cut.unique
-            self.held.update(zip(missing, (ids.tobytes() for ids in self._whole(missing)), strict=True))
-        coded = [self.held[w] for w in cut.unique]
+        if len(self.young) > WORDS_HELD:
+            self.old, self.young = self.young, {}
+        young = self.young
+        coded = [young.get(w) or self._word(w) for w in cut.unique]
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        ids, counts = W.gather(np.frombuffer(b"".join(coded), "<u4"), bounds, cut.inverse)
+        ids, counts = W.gather(np.frombuffer(b"".join(coded), np.uint32), bounds, cut.inverse)
         ends = np.concatenate([[0], np.cumsum(counts)])[cut.offsets]
         found = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
         for i in odd:
-            found[i] = self._whole([texts[i]])[0]
+            found[i] = np.asarray(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
         return found
 
 
+@cache
+def word_ids(path: str) -> WordIds:
+    """One for each Python worker, so that its words serve all its tasks."""
+    return WordIds(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Token pieces of every document: a document's ids, then the separator id.
 
@@ -74,7 +101,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(tokenizer_path)
+        encode = word_ids(tokenizer_path)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]

@@ -4,15 +4,33 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, exact_dedup, packing
-from tiermart.llm.common import table
+from tiermart.llm import byte_bpe, exact_dedup, language, packing, toxicity
+from tiermart.llm.common import fold, table
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold("doc_id", 4) == 2
+    model = language.fit(docs.filter(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 3) == 1
+    model = toxicity.fit(toxicity.sampled(labels.filter(~held_out), docs))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -23,6 +41,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_byte_bpe": op9_byte_bpe,
     "op6_exact_dedup": op6_exact_dedup,

@@ -55,11 +55,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def segment_hashes(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A hash of each run of ``values`` that begins at ``starts``; runs fill the array."""
-    size = 1 << max(16, int(len(values)).bit_length())
+@cache
+def _spread() -> np.ndarray:
+    """64 bits for every code point."""
+    return mixed(np.arange(sys.maxunicode + 1, dtype=np.uint64) + np.uint64(0x632BE59BD9B4E019))
+
+
+def segment_hashes(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A hash of each run of ``codes`` that begins at ``starts``; runs fill the array."""
+    size = 1 << max(16, int(len(codes)).bit_length())
     up, down = _powers(size)
-    weighted = mixed(values.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * up[: len(values)]
+    weighted = _spread()[codes] * up[: len(codes)]
     return mixed(np.add.reduceat(weighted, starts) * down[starts])
 
 
