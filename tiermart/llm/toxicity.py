@@ -6,7 +6,7 @@ plain one. Landmark words give a Nyström map, and a linear machine is trained o
 Labels belong to whole texts: a text is a bag of sentences and words of which only a few
 are toxic, so training picks the words that toxic texts share and clean ones lack, adds
 spoilt spellings of both kinds, and then adds the clean words that the machine gets
-wrong. A text scores by its worst word. As the kernel is a finite sum over
+wrong. A text scores by its two worst words. As the kernel is a finite sum over
 subsequences, the trained machine folds into one weight for each hashed subsequence.
 """
 
@@ -123,7 +123,7 @@ class Landmarks:
         return np.concatenate(out)
 
 
-def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.02) -> np.ndarray:
+def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.004) -> np.ndarray:
     """Linear machine with squared hinge loss by Newton steps; the last entry is the offset."""
     x = np.hstack([x, np.ones((len(x), 1))]).astype(float)
     w = np.zeros(x.shape[1])
@@ -152,12 +152,11 @@ def _spoilt(word: str, rng: np.random.Generator) -> list[str]:
 
 @dataclass
 class Model:
-    """Score of a word: weights[subsequences] / norm + offset; of a text: logistic of its worst word."""
+    """Score of a word: weights[subsequences] / norm + offset; of a text: logistic of its two worst words."""
 
     weights: np.ndarray
     offset: float
-    slope: float
-    shift: float
+    curve: tuple[float, float, float]
 
     def words(self, words: list[str]) -> np.ndarray:
         if not words:
@@ -166,49 +165,66 @@ class Model:
         return np.bincount(owner, self.weights[place] * weight, len(words)) / _norms(owner, weight, len(words)) + self.offset
 
     def worst(self, texts: list[str | None]) -> np.ndarray:
-        """The worst word of each text; the offset's floor where there is no word."""
-        out = np.full(len(texts), -2.0)
+        """The scores of the two worst words of each text; -2 where there is none."""
+        out = np.full((len(texts), 2), -2.0)
         whole = [t or "" for t in texts]
         for a, b in W.chunks(whole):
             words, picks, bounds = _spread(whole[a:b])
             if not len(picks):
                 continue
-            scores, filled = self.words(words)[picks], np.flatnonzero(np.diff(bounds))
-            out[a + filled] = np.maximum.reduceat(scores, bounds[filled])
+            filled = np.flatnonzero(np.diff(bounds))
+            scores, begin = self.words(words)[picks], bounds[filled]
+            top = np.maximum.reduceat(scores, begin)
+            row = np.repeat(np.arange(len(filled)), np.diff(bounds)[filled])
+            tied = np.flatnonzero(scores == top[row])
+            scores[tied[np.unique(row[tied], return_index=True)[1]]] = -2
+            out[a + filled] = np.stack([top, np.maximum.reduceat(scores, begin)], 1)
         return np.clip(out, -2, 2)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * self.worst(texts) + self.shift)))
+        return 1 / (1 + np.exp(-(self.worst(texts) @ np.array(self.curve[:2]) + self.curve[2])))
 
 
-def _trained(positive: list[str], negative: list[str], rng: np.random.Generator) -> Model:
-    """Machine on the Nyström map of the words and of their spoilt spellings."""
+def _trained(positive: dict[str, int], negative: dict[str, int], hard: list[str], rng: np.random.Generator) -> Model:
+    """Machine on the Nyström map of the words and of their spoilt spellings.
+
+    Both map words to the number of texts that have them; its root weighs a word. Clean
+    landmarks are words that an earlier machine found worst, the most frequent, and others.
+    """
     spoilt = [s for w in positive for s in _spoilt(w, rng)]
-    plain = [s for w in negative[::3] for s in _spoilt(w, rng)[:2]]
+    plain = [s for w in [*negative][::3] for s in _spoilt(w, rng)[:2]]
     words = [*positive, *spoilt, *negative, *plain]
     y = np.array([1.0] * (len(positive) + len(spoilt)) + [-1.0] * (len(negative) + len(plain)))
-    marks = Landmarks([*positive[:LANDMARKS], *rng.permutation(negative)[: LANDMARKS // 2].tolist()])
+    often = sorted(negative, key=lambda w: (-negative[w], w))[: LANDMARKS // 6]
+    others = [*hard[: LANDMARKS // 4], *often, *rng.permutation([*negative]).tolist()]
+    marks = Landmarks([*[*positive][:LANDMARKS], *[*dict.fromkeys(others)][: LANDMARKS // 2]])
     values, vectors = np.linalg.eigh(marks.gram())
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
     mapped = marks.kernel(words) @ root
-    share = np.where(y > 0, len(y) / (2 * (y > 0).sum()), len(y) / (2 * (y < 0).sum())) / len(y) * 1000
+    # Half of the weight for the clean words, and of the other half most for the plain insults.
+
+    def part(total: float, counts: list[int]) -> np.ndarray:
+        roots = np.sqrt(np.asarray(counts, float))
+        return total * roots / max(roots.sum(), 1e-9)
+
+    share = np.concatenate([part(800, [*positive.values()]), part(200, [1] * len(spoilt)), part(800, [*negative.values()]), part(200, [1] * len(plain))])
     w = _machine(mapped, y, share)
     weights = np.zeros(DIM, np.float32)
     weights[marks.places] = marks.rows[:-1] @ (root @ w[:-1])
-    return Model(weights, float(w[-1]), 4.0, 0.0)
+    return Model(weights, float(w[-1]), (2.0, 2.0, 0.0))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, with balanced classes and a little ridge."""
-    design = np.stack([x, np.ones(len(x))], 1)
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Two slopes and the shift of a logistic curve, with balanced classes and a little ridge."""
+    design = np.hstack([x, np.ones((len(x), 1))])
     balance = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y <= 0).sum(), 1))
-    ridge = np.array([1e-3, 1e-6])
+    ridge = np.array([1e-3, 1e-3, 1e-6])
 
     def loss(w: np.ndarray) -> float:
         z = design @ w
         return float(balance @ (np.logaddexp(0, z) - y * z) + ridge @ (w * w) / 2)
 
-    w = np.zeros(2)
+    w = np.zeros(3)
     for _ in range(60):
         p = 1 / (1 + np.exp(-design @ w))
         grad = design.T @ (balance * (p - y)) + ridge * w
@@ -217,7 +233,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
             step = step / 2
         w = w - step
-    return float(max(w[0], 0.1)), float(w[1])
+    return tuple(float(v) for v in w)
 
 
 def _word_rows(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -262,7 +278,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     chosen = stored(rows, "toxic")
     sizes = {r[0]: r[1] for r in chosen.groupBy("label").count().collect()}
     if len(sizes) < 2:
-        return Model(np.zeros(DIM, np.float32), -1.0, 4.0, 0.0)
+        return Model(np.zeros(DIM, np.float32), -1.0, (2.0, 2.0, 0.0))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,42 +301,46 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         (w for w, n in few.items() if n * ratio > 20 * also.get(w, 0) and chance**n < 1e-4), key=lambda w: (-few[w], w)
     )[:POSITIVE]
     clean = counted.join(F.broadcast(spark.createDataFrame([(w,) for w in positive], "word string")), "word", "left_anti")
-    frequent = [r[0] for r in clean.orderBy(F.desc("clean"), "word").limit(FREQUENT).select("word").collect()]
-    rare = [r[0] for r in clean.orderBy(F.xxhash64("word", F.lit(seed)), "word").limit(RARE).select("word").collect()]
-    negative = sorted(set(frequent) | set(rare))
+    frequent = clean.orderBy(F.desc("clean"), "word").limit(FREQUENT).collect()
+    rare = clean.orderBy(F.xxhash64("word", F.lit(seed)), "word").limit(RARE).collect()
+    positive = {w: few[w] for w in positive}
+    negative = {r.word: r.clean for r in sorted([*frequent, *rare])}
     if not positive or not negative:
-        return Model(np.zeros(DIM, np.float32), -1.0, 4.0, 0.0)
-    model = _trained(positive, negative, np.random.default_rng(seed))
+        return Model(np.zeros(DIM, np.float32), -1.0, (2.0, 2.0, 0.0))
+    model = _trained(positive, negative, [], np.random.default_rng(seed))
 
     # Rarer words of toxic texts that look like those found.
     others = sorted({w for words in toxic for w in words if len(w) > 2} - set(positive))
     looks = [w for w, v in zip(others, model.words(others), strict=True) if v > 0.5]
     look_rows = spark.createDataFrame([(w,) for w in looks], "word string")
     known = {r[0] for r in counted.join(look_rows, "word").select("word").collect()}
-    positive = [*positive, *[w for w in looks if w not in known]][: 2 * POSITIVE]
+    positive |= {w: shared[w] for w in looks[:POSITIVE] if shared[w] > 1 and w not in known}
 
-    for _ in range(2):
+    hard: list[str] = []
+    for _ in range(3):
         held = model
 
         def scored(batches: Iterator[pa.RecordBatch], held: Model = held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                words = batch.column("word").to_pylist()
-                yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(held.words(words), pa.float64())], ["word", "score"])
+                score = pa.array(held.words(batch.column("word").to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("clean"), score], ["word", "clean", "score"])
 
-        hard = clean.select("word").mapInArrow(scored, "word string, score double").orderBy(F.desc("score"), "word").limit(HARD)
-        negative = sorted(set(negative) | {r[0] for r in hard.collect()})
-        model = _trained(positive, negative, np.random.default_rng(seed))
+        found = clean.select("word", "clean").mapInArrow(scored, "word string, clean long, score double").orderBy(F.desc("score"), "word").limit(HARD).collect()
+        hard = list(dict.fromkeys([*[r.word for r in found], *hard]))
+        negative |= {r.word: r.clean for r in found}
+        model = _trained(positive, negative, hard, np.random.default_rng(seed))
 
     held = model
 
     def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(held.worst(batch.column("text").to_pylist())), batch.column("label")], ["worst", "label"])
+            both = held.worst(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), batch.column("label")], ["first", "second", "label"])
 
-    # Two columns of the bounded sample.
-    ends = chosen.select("text", "label").mapInArrow(worst, "worst double, label int").toPandas()
-    slope, shift = _logistic(ends["worst"].to_numpy(), ends["label"].to_numpy().astype(float))
-    return Model(model.weights, model.offset, slope, shift)
+    # Three numbers for each text of the bounded sample.
+    ends = chosen.select("text", "label").mapInArrow(worst, "first double, second double, label int").toPandas()
+    curve = _logistic(ends[["first", "second"]].to_numpy(), ends["label"].to_numpy().astype(float))
+    return Model(model.weights, model.offset, curve)
 
 
 def sampled(labels: DataFrame, docs: DataFrame, id_col: str = "doc_id", label_col: str = "toxic", sample: int = SAMPLE, seed: int = 7) -> DataFrame:
