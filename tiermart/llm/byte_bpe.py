@@ -1,11 +1,12 @@
 """Byte-level BPE encoding and decoding by a rank file.
 
-Documents are dealt to blocks of bounded size. Each block lists its distinct words;
-over the whole corpus every distinct word is then encoded once, by Spark's
+Every task cuts its documents into blocks of bounded size. A block lists its distinct
+words; over the whole corpus every distinct word is then encoded once, by Spark's
 higher-order functions: a fold merges the adjacent pieces of lowest rank until no pair
 has a rank. Ranks are a literal: an array of small maps, picked by the checksum of
 a piece, so that a look-up reads a few keys. Decoding concatenates the pieces' bytes.
 The encoded words go back to the blocks they came from, where texts are put together.
+What moves between tasks, texts and lists of words, is packed and compressed by block.
 """
 
 from __future__ import annotations
@@ -15,15 +16,19 @@ import hashlib
 import json
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm import words as W
 
 BUCKETS = 16384
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 LONG = 256  # bytes; longer words are merged with a heap, since the fold is quadratic
 
 
@@ -90,43 +95,110 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
     return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).when(n > 0, folded))
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each block among the batches; a block lies in one partition."""
-    seen: dict[int, set[str]] = {}
-    for batch in batches:
-        blocks, texts = batch.column("block").to_pylist(), batch.column("text").to_pylist()
-        for a, b in W.chunks(texts):
-            # One cut for each block in the range: a partition holds few blocks.
-            for block in set(blocks[a:b]):
-                new = set(W.cut([t for t, own in zip(texts[a:b], blocks[a:b], strict=True) if own == block]).unique)
-                held = seen.setdefault(block, set())
-                new -= held
-                held |= new
-                if new:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(new), pa.int32()), pa.array([w.encode("utf-8", "surrogatepass") for w in new], pa.binary())], ["block", "word"]
-                    )
-
-
-def _long_words(path: str):
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        encoding = None
+def _pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all()
+
+
+def _blocks(block_bytes: int):
+    """Rows (id, text) to rows (block, packed rows); a block holds about ``block_bytes`` of text."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = TaskContext.get().partitionId() << 24
+        held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
-            encoding = encoding or tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
-            ids = [encoding.encode_ordinary(w.decode()) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("blocks"), pa.array(ids, pa.list_(pa.int32()))], ["word", "blocks", "ids"])
+            begin = 0
+            for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist(), 1):
+                size += n
+                if size >= block_bytes or i == batch.num_rows:
+                    held.append(batch.slice(begin, i - begin))
+                    begin = i
+                if size >= block_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([_pack(pa.Table.from_batches(held))], pa.binary())], ["block", "packed"])
+                    name, held, size = name + 1, [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([_pack(pa.Table.from_batches(held))], pa.binary())], ["block", "packed"])
+
+    return pack
 
-    return code
+
+def _block_words(shards: int):
+    """Distinct words of each block, dealt to shards by checksum: (shard, block, packed words)."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                texts = _unpack(packed)["text"].to_pylist()
+                seen: set[str] = set()
+                for a, b in W.chunks(texts):
+                    seen.update(W.cut(texts[a:b]).unique)
+                dealt: list[list[bytes]] = [[] for _ in range(shards)]
+                for word in seen:
+                    data = word.encode("utf-8", "surrogatepass")
+                    if len(data) <= LONG:
+                        dealt[zlib.crc32(data) % shards].append(data)
+                for shard, words in enumerate(dealt):
+                    if words:
+                        part = pa.table({"word": pa.array(sorted(words), pa.binary())})
+                        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block]), pa.array([_pack(part)], pa.binary())], ["shard", "block", "packed"])
+
+    return listed
+
+
+def _merged_words(rows: pa.Table) -> pa.Table:
+    """Each distinct word of a shard with the blocks that have it."""
+    owners: dict[bytes, list[int]] = {}
+    for block, packed in zip(rows["block"].to_pylist(), rows["packed"].to_pylist(), strict=True):
+        for word in _unpack(packed)["word"].to_pylist():
+            owners.setdefault(word, []).append(block)
+    return pa.table({"word": pa.array([*owners], pa.binary()), "blocks": pa.array([*owners.values()], pa.list_(pa.int64()))})
+
+
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Encoded words, packed for each block among some batches."""
+    names = ["word", "ids", "n", "decoded"]
+
+    def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held)
+        blocks = rows["blocks"].combine_chunks()
+        owner = np.repeat(np.arange(len(blocks)), pc.list_value_length(blocks).to_numpy(zero_copy_only=False))
+        flat = blocks.flatten().to_numpy()
+        order = np.argsort(flat, kind="stable")
+        found, begin = np.unique(flat[order], return_index=True)
+        for block, part in zip(found.tolist(), np.split(owner[order], begin[1:]), strict=True):
+            packed = _pack(rows.select(names).take(pa.array(part)))
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packed], pa.binary())], ["block", "packed"])
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= 200_000:
+            yield from done(held)
+            held = []
+    if sum(b.num_rows for b in held):
+        yield from done(held)
 
 
 def encoded_words(words: DataFrame, ranks_path: str) -> DataFrame:
-    """Rows (word, blocks) with ``ids`` and the ``decoded`` bytes."""
+    """Rows with a ``word`` with its ``ids`` and the ``decoded`` bytes."""
     vocabulary = Vocabulary(read_ranks(ranks_path))
-    short = words.filter(F.length("word") <= LONG).withColumn("ids", encode_word(F.col("word"), vocabulary))
-    long = words.filter(F.length("word") > LONG).mapInArrow(_long_words(ranks_path), "word binary, blocks array<int>, ids array<int>")
-    return short.unionByName(long).withColumn("decoded", vocabulary.decode(F.col("ids")))
+    return words.withColumn("ids", encode_word(F.col("word"), vocabulary)).withColumn("decoded", vocabulary.decode(F.col("ids")))
+
+
+@cache
+def _heap_encoder(path: str):
+    """For the few words of more than ``LONG`` bytes: a word's ids, and the bytes of ids."""
+    import tiktoken
+
+    encoding = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
+    return lambda word: encoding.encode_ordinary(word.decode()), encoding.decode_bytes
 
 
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_ids: bool = True) -> DataFrame:
@@ -136,46 +208,63 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     commas), ``decoded_sha256`` and, with ``keep_ids``, ``ids`` and ``decoded``. A null text
     counts as empty and has no ids. Repeated rows and ids give a row each.
     """
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    count = max(1, -(-total // block_bytes))
+    spark = docs.sparkSession
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    blocked = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(count)).cast("int")).repartition(count, "block")
-    listed = blocked.select("block", "text").mapInArrow(_distinct_words, "block int, word binary")
-    coded = encoded_words(listed.groupBy("word").agg(F.collect_list("block").alias("blocks")), ranks_path)
-    back = coded.select(
-        F.explode("blocks").alias("block"),
+    id_type = rows.schema["id"].dataType.simpleString()
+    # Blocks are of one size; both uses below read the same shuffle.
+    even = rows.mapInArrow(_blocks(block_bytes), "block long, packed binary").repartition(shards, "block")
+    listed = even.mapInArrow(_block_words(shards), "shard int, block long, packed binary")
+    words = listed.groupBy("shard").applyInArrow(_merged_words, "word binary, blocks array<long>")
+    coded = encoded_words(words, ranks_path).select(
+        "blocks",
         "word",
         F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"),
         F.size("ids").alias("n"),
         F.when(F.col("decoded") != F.col("word"), F.col("decoded")).alias("decoded"),  # null: as the word
     )
-    id_type = rows.schema["id"].dataType.simpleString()
+    back = coded.mapInArrow(_by_block, "block long, packed binary")
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         known = {}
-        for batch in right.to_batches():
-            for word, ids, n, decoded in zip(*(batch.column(c).to_pylist() for c in ("word", "ids", "n", "decoded")), strict=True):
+        for packed in right["packed"].to_pylist():
+            part = _unpack(packed)
+            for word, ids, n, decoded in zip(*(part[c].to_pylist() for c in ("word", "ids", "n", "decoded")), strict=True):
                 known[word] = (ids, n, word if decoded is None else decoded)
-        texts = left["text"].to_pylist()
-        n_tokens, ids_digest, text_digest, all_ids, all_text = [], [], [], [], []
-        for a, b in W.chunks(texts):
-            cut = W.cut(texts[a:b])
-            found = [known[w.encode("utf-8", "surrogatepass")] for w in cut.unique]
-            inverse = cut.inverse.tolist()
-            for x, y in zip(cut.offsets[:-1].tolist(), cut.offsets[1:].tolist(), strict=True):
-                parts = [found[k] for k in inverse[x:y]]
-                ids, decoded = ",".join([p[0] for p in parts]), b"".join([p[2] for p in parts])
-                n_tokens.append(sum([p[1] for p in parts]))
-                ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_digest.append(hashlib.sha256(decoded).hexdigest())
-                if keep_ids:
-                    all_ids.append([int(i) for i in ids.split(",") if i])
-                    all_text.append(decoded)
-        columns = {id_col: left["id"], "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_digest, pa.string()), "decoded_sha256": pa.array(text_digest, pa.string())}
-        if keep_ids:
-            columns |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(all_text, pa.binary())}
-        return pa.table(columns)
+
+        def look_up(word: str) -> tuple[str, int, bytes]:
+            data = word.encode("utf-8", "surrogatepass")
+            if data not in known:  # long, or a lost block was cut anew from rows in another order
+                to_ids, to_bytes = _heap_encoder(ranks_path)
+                ids = to_ids(data)
+                return ",".join(map(str, ids)), len(ids), to_bytes(ids)
+            return known[data]
+
+        out = []
+        for block in left["packed"].to_pylist():
+            part = _unpack(block)
+            texts = part["text"].to_pylist()
+            n_tokens, ids_digest, text_digest, all_ids, all_text = [], [], [], [], []
+            for a, b in W.chunks(texts):
+                cut = W.cut(texts[a:b])
+                found = [look_up(w) for w in cut.unique]
+                inverse = cut.inverse.tolist()
+                for x, y in zip(cut.offsets[:-1].tolist(), cut.offsets[1:].tolist(), strict=True):
+                    parts = [found[k] for k in inverse[x:y]]
+                    ids, decoded = ",".join([p[0] for p in parts]), b"".join([p[2] for p in parts])
+                    n_tokens.append(sum([p[1] for p in parts]))
+                    ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
+                    text_digest.append(hashlib.sha256(decoded).hexdigest())
+                    if keep_ids:
+                        all_ids.append([int(i) for i in ids.split(",") if i])
+                        all_text.append(decoded)
+            columns = {id_col: part["id"], "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_digest, pa.string()), "decoded_sha256": pa.array(text_digest, pa.string())}
+            if keep_ids:
+                columns |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(all_text, pa.binary())}
+            out.append(pa.table(columns))
+        return pa.concat_tables(out) if out else pa.table({})
 
     schema = f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(join, schema + (", ids array<int>, decoded binary" if keep_ids else ""))
+    # Blocks are never on the right side only, so that every group has a block.
+    return even.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(join, schema + (", ids array<int>, decoded binary" if keep_ids else ""))
