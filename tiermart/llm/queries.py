@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, exact_dedup, language, packing, toxicity
+from tiermart.llm import byte_bpe, exact_dedup, language, near_dedup, packing, toxicity
 from tiermart.llm.common import fold, table
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
-    "op9_byte_bpe": op9_byte_bpe,
+    "op5_near_dedup": op5_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
 }
