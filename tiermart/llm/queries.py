@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, exact_dedup, language, near_dedup, packing, toxicity
+from tiermart.llm import byte_bpe, exact_dedup, language, mtree, near_dedup, packing, toxicity
 from tiermart.llm.common import fold, table
 
 
@@ -44,6 +44,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, keep_ids=False)
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = mtree.whole_vectors(table(spark, sf_dir, "embeddings"))
+    pages, shards, top = mtree.index(vectors)
+    return mtree.search(pages, shards, top, vectors.filter("vec_id % 100 = 0"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -51,4 +57,5 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_top_k": op10_top_k,
 }

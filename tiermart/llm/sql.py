@@ -10,6 +10,27 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP10 = """
+WITH vectors AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id,
+       (row_number() OVER best)::INTEGER AS rank,
+       vec_id,
+       score
+FROM scores
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 ORACLES = {
     "op6_exact_dedup": OP6,
+    "op10_top_k": OP10,
 }
