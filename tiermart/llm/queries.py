@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, exact_dedup, language, mtree, near_dedup, packing, toxicity
+from tiermart.llm import byte_bpe, chat, exact_dedup, language, mtree, near_dedup, packing, toxicity
 from tiermart.llm.common import fold, table
 
 
@@ -39,6 +39,14 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts imitate the template's control strings."""
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    made = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
+    return chat.chat_digests(chats.unionByName(made))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, keep_ids=False)
@@ -56,6 +64,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_near_dedup": op5_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_chat_format": op7_chat_format,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_top_k": op10_top_k,
 }

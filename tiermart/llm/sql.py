@@ -10,6 +10,30 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+# The formatted length is that of "### ", the role, ": ", the text, "</turn>" and a line feed,
+# and of a backslash for each escaped string.
+OP7 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *,
+           4 + length(role) + 2 + length(text) + 8
+             + len(regexp_extract_all(role, '\\|###|:|</turn>'))
+             + len(regexp_extract_all(text, '\\|###|:|</turn>')) AS chars
+    FROM turns
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized
+GROUP BY conv_id
+"""
+
 OP10 = """
 WITH vectors AS (
     SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
@@ -32,5 +56,6 @@ QUALIFY row_number() OVER best <= 10
 
 ORACLES = {
     "op6_exact_dedup": OP6,
+    "op7_chat_format": OP7,
     "op10_top_k": OP10,
 }
