@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, chat, exact_dedup, language, mtree, near_dedup, packing, toxicity
+from tiermart.llm import byte_bpe, chat, exact_dedup, language, mtree, near_dedup, packing, sharding, toxicity
 from tiermart.llm.common import fold, table
 
 
@@ -47,6 +47,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(chats.unionByName(made))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, keep_ids=False)
@@ -65,6 +69,7 @@ QUERIES = {
     "op5_near_dedup": op5_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_chat_format": op7_chat_format,
+    "op8_sharding": op8_sharding,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_top_k": op10_top_k,
 }

@@ -34,6 +34,32 @@ FROM sized
 GROUP BY conv_id
 """
 
+OP8 = """
+WITH hashed AS (
+    SELECT doc_id,
+           ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS h,
+           octet_length(encode(coalesce(text, ''))) AS bytes
+    FROM documents
+), levels AS (
+    SELECT doc_id, d::INTEGER AS depth, h >> (60 - d)::INTEGER AS prefix, bytes FROM hashed, range(0, 41) t(d)
+), totals AS (
+    SELECT depth, prefix, sum(bytes)::BIGINT AS bytes, count(*) AS n FROM levels GROUP BY ALL
+), fitting AS (
+    SELECT l.doc_id, min(l.depth) AS depth
+    FROM levels l JOIN totals t ON t.depth = l.depth AND t.prefix = l.prefix
+    WHERE t.bytes <= 16777216 OR t.n = 1
+    GROUP BY l.doc_id
+)
+SELECT f.doc_id,
+       CASE WHEN f.depth = 0 THEN '' ELSE lpad(bin(t.prefix), f.depth, '0') END AS shard,
+       f.depth,
+       t.bytes AS shard_bytes,
+       t.n AS shard_rows
+FROM fitting f
+JOIN levels l ON l.doc_id = f.doc_id AND l.depth = f.depth
+JOIN totals t ON t.depth = l.depth AND t.prefix = l.prefix
+"""
+
 OP10 = """
 WITH vectors AS (
     SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
@@ -57,5 +83,6 @@ QUALIFY row_number() OVER best <= 10
 ORACLES = {
     "op6_exact_dedup": OP6,
     "op7_chat_format": OP7,
+    "op8_sharding": OP8,
     "op10_top_k": OP10,
 }
