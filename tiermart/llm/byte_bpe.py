@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tiermart.llm import words as W
 
 BUCKETS = 16384
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 LONG = 256  # bytes; longer words are merged with a heap, since the fold is quadratic
 
 
@@ -158,12 +158,13 @@ def _merged_words(rows: pa.Table) -> pa.Table:
     for block, packed in zip(rows["block"].to_pylist(), rows["packed"].to_pylist(), strict=True):
         for word in _unpack(packed)["word"].to_pylist():
             owners.setdefault(word, []).append(block)
-    return pa.table({"word": pa.array([*owners], pa.binary()), "blocks": pa.array([*owners.values()], pa.list_(pa.int64()))})
+    words = sorted(owners)  # sorted words compress well
+    return pa.table({"word": pa.array(words, pa.binary()), "blocks": pa.array([owners[w] for w in words], pa.list_(pa.int64()))})
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Encoded words, packed for each block among some batches."""
-    names = ["word", "ids", "n", "decoded"]
+    names = ["word", "ids", "decoded"]
 
     def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
@@ -198,7 +199,7 @@ def _heap_encoder(path: str):
     import tiktoken
 
     encoding = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
-    return lambda word: encoding.encode_ordinary(word.decode()), encoding.decode_bytes
+    return lambda word: encoding.encode_ordinary(word.decode("utf-8")), encoding.decode_bytes
 
 
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_ids: bool = True) -> DataFrame:
@@ -221,39 +222,41 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         "blocks",
         "word",
         F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"),
-        F.size("ids").alias("n"),
         F.when(F.col("decoded") != F.col("word"), F.col("decoded")).alias("decoded"),  # null: as the word
     )
     back = coded.mapInArrow(_by_block, "block long, packed binary")
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = {}
+        known: dict[str, str] = {}
+        changed: dict[str, bytes] = {}  # words that decode to other bytes
         for packed in right["packed"].to_pylist():
             part = _unpack(packed)
-            for word, ids, n, decoded in zip(*(part[c].to_pylist() for c in ("word", "ids", "n", "decoded")), strict=True):
-                known[word] = (ids, n, word if decoded is None else decoded)
-
-        def look_up(word: str) -> tuple[str, int, bytes]:
-            data = word.encode("utf-8", "surrogatepass")
-            if data not in known:  # long, or a lost block was cut anew from rows in another order
+            words = part["word"].cast(pa.string()).to_pylist()
+            known.update(zip(words, part["ids"].to_pylist(), strict=True))
+            if part["decoded"].null_count < len(words):
+                changed.update((w, d) for w, d in zip(words, part["decoded"].to_pylist(), strict=True) if d is not None)
+
+        def look_up(word: str) -> tuple[str, bytes]:
+            ids = known.get(word)
+            if ids is None:  # long, or a lost block was cut anew from rows in another order
                 to_ids, to_bytes = _heap_encoder(ranks_path)
-                ids = to_ids(data)
-                return ",".join(map(str, ids)), len(ids), to_bytes(ids)
-            return known[data]
+                found = to_ids(word.encode())
+                return ",".join(map(str, found)), to_bytes(found)
+            return ids, changed[word] if word in changed else word.encode()
 
         out = []
         for block in left["packed"].to_pylist():
             part = _unpack(block)
             texts = part["text"].to_pylist()
             n_tokens, ids_digest, text_digest, all_ids, all_text = [], [], [], [], []
-            for a, b in W.chunks(texts):
+            for a, b in W.chunks(texts, W.CHUNK // 2):
                 cut = W.cut(texts[a:b])
                 found = [look_up(w) for w in cut.unique]
                 inverse = cut.inverse.tolist()
                 for x, y in zip(cut.offsets[:-1].tolist(), cut.offsets[1:].tolist(), strict=True):
                     parts = [found[k] for k in inverse[x:y]]
-                    ids, decoded = ",".join([p[0] for p in parts]), b"".join([p[2] for p in parts])
-                    n_tokens.append(sum([p[1] for p in parts]))
+                    ids, decoded = ",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+                    n_tokens.append(ids.count(",") + 1 if ids else 0)
                     ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
                     text_digest.append(hashlib.sha256(decoded).hexdigest())
                     if keep_ids:
