@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, chat, exact_dedup, language, mtree, near_dedup, packing, sharding, toxicity
+from tiermart.llm import byte_bpe, chat, exact_dedup, html, language, mtree, near_dedup, packing, sharding, toxicity
 from tiermart.llm.common import fold, table
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html.extract(pages, html.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), shingle=4)
 
@@ -66,6 +72,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_html_text": op4_html_text,
     "op5_near_dedup": op5_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_chat_format": op7_chat_format,
