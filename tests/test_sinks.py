@@ -76,3 +76,31 @@ def test_bucketed_tables_join_without_a_shuffle(spark, plan_of):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     spark.sql("drop table bucketed_a")
     spark.sql("drop table bucketed_b")
+
+
+def test_no_empty_version_is_ever_committed(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    tables.reload_staging(spark.range(3), root, "t")
+    seen = []
+
+    def delete(session, path, really=tables._delete):
+        seen.append(tables.versions(session, root, "t"))
+        really(session, path)
+
+    monkeypatch.setattr(tables, "_delete", delete)
+    tables.reload_staging(spark.range(0), root, "t")
+    assert seen == [[1]]
+
+
+def test_a_cluster_needs_a_named_shared_folder():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(ValueError):
+        tables.shared_folder(Cluster, "x")

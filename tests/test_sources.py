@@ -87,21 +87,87 @@ def test_file_names_are_decoded(spark, tmp_path):
 
 
 def test_ledger_lists_files_without_rows(spark, tmp_path):
-    inbox, book = tmp_path / "in", str(tmp_path / "ledger")
+    inbox, out, book = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
     inbox.mkdir()
     write(inbox, "missing_products_1.csv", "id_deposito;minsan", "D1;1")
     write(inbox, "missing_products_2.csv", "id_deposito;minsan")
     write(inbox, "other.csv", "id_deposito;minsan", "D1;1")
-    listing = delimited.list_files(spark, str(inbox), fixed.MISSING_PRODUCT_FILES)
-    assert ledger.record_files(listing, book) == 2
+    assert loads.load_missing_products(spark, str(inbox), out, book) == 1
+    assert spark.read.parquet(book).count() == 2
     write(inbox, "missing_products_3.csv", "id_deposito;minsan", "D3;3")
-    known = spark.read.parquet(book)
     listing = delimited.list_files(spark, str(inbox), fixed.MISSING_PRODUCT_FILES)
+    known = ledger.read_ledger(spark, book)
     assert [r.filename for r in ledger.new_files(listing, known).collect()] == [
         "missing_products_3.csv"
     ]
-    rows = suppliers.read_missing_products(spark, str(inbox))
-    assert [r.minsan for r in ledger.rows_of_new_files(rows, known).collect()] == ["3"]
+    assert loads.load_missing_products(spark, str(inbox), out, book) == 1
+
+
+def test_no_folder_has_no_files(spark, tmp_path):
+    assert loads.load_catalog(spark, str(tmp_path / "none"), str(tmp_path / "t"), str(tmp_path / "l")) == 0
+
+
+def test_a_file_sent_again_under_its_name_is_loaded(spark, tmp_path):
+    inbox, target, book = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "l")
+    inbox.mkdir()
+    row = "1,ring,a,b,c,d,e,F,adult,30"
+    write(inbox, "product_masterdata.csv", CATALOG_HEADER, row)
+    assert loads.load_catalog(spark, str(inbox), target, book) == 1
+    write(inbox, "product_masterdata.csv", CATALOG_HEADER, row, row)
+    assert loads.load_catalog(spark, str(inbox), target, book) == 2
+    assert ledger.open_loaded(spark, target, book).count() == 3
+
+
+def test_a_file_that_lands_during_a_load_comes_with_the_next(spark, tmp_path):
+    inbox, target, book = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "l")
+    inbox.mkdir()
+    write(inbox, "missing_products_1.csv", "id_deposito;minsan", "D1;1")
+    listing = delimited.list_files(spark, str(inbox), fixed.MISSING_PRODUCT_FILES)
+
+    def read(paths):
+        write(inbox, "missing_products_2.csv", "id_deposito;minsan", "D2;2")
+        assert len(paths) == 1
+        return suppliers.read_missing_product_files(spark, paths)
+
+    assert ledger.load_new_files(listing, read, target, book) == 1
+    assert loads.load_missing_products(spark, str(inbox), target, book) == 1
+    found = ledger.open_loaded(spark, target, book)
+    assert sorted(r.minsan for r in found.collect()) == ["1", "2"]
+
+
+def test_a_load_cut_short_before_the_ledger_is_repeated(spark, tmp_path, monkeypatch):
+    inbox, target, book = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "l")
+    inbox.mkdir()
+    write(inbox, "missing_products_1.csv", "id_deposito;minsan", "D1;1")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "append_rows", lost)
+        with pytest.raises(RuntimeError):
+            loads.load_missing_products(spark, str(inbox), target, book)
+    with pytest.raises(FileNotFoundError):
+        ledger.open_loaded(spark, target, book)
+    assert loads.load_missing_products(spark, str(inbox), target, book) == 1
+    assert ledger.open_loaded(spark, target, book).count() == 1
+    assert spark.read.parquet(target).count() == 1
+
+
+def test_old_files_are_not_read_again(spark, tmp_path):
+    inbox, target, book = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "l")
+    inbox.mkdir()
+    asked = []
+
+    def read(paths):
+        asked.append([p.rsplit("/", 1)[1] for p in paths])
+        return suppliers.read_missing_product_files(spark, paths)
+
+    for n in (1, 2):
+        write(inbox, f"missing_products_{n}.csv", "id_deposito;minsan", f"D;{n}")
+        listing = delimited.list_files(spark, str(inbox), fixed.MISSING_PRODUCT_FILES)
+        assert ledger.load_new_files(listing, read, target, book) == 1
+    assert asked == [["missing_products_1.csv"], ["missing_products_2.csv"]]
 
 
 def test_names_without_dates(spark):
@@ -172,6 +238,7 @@ def test_delta_against_a_stored_target(spark, tmp_path):
         [("1", "2024-01-01", "1970-01-01 10:00:00"), ("2", "2024-01-01", "1970-01-01 10:00:01"),
          ("abc", "2024-01-02", "09:00:00"), ("4", None, "11:00:00")], TELEMETRY)
     path = str(tmp_path / "target")
+    assert telemetry.load_telemetry(spark, source, str(tmp_path / "first")) == 4
     spark.createDataFrame([(1, "2024-01-01", "10:00:00")], "id long, date string, time string") \
         .write.parquet(path)
     assert telemetry.load_telemetry(spark, source, path) == 2
@@ -278,3 +345,14 @@ def test_shipment_load(spark, tmp_path):
     assert {name: result.n_rows for name, result in done.items()} == {
         "shipments_master": 1, "shipments_details": 1, "pallets_master": 1, "pallets_details": 0
     }
+
+
+def test_stored_mark_agrees_with_the_whole_scan(spark):
+    for rows in (
+        [("2024-01-01", "10:00:00"), ("2024-01-02", "01:00:00"), ("2024-01-02", None)],
+        [("2024-01-01", "10:00:00"), ("2024-01-02", None)],
+        [(None, "10:00:00")],
+        [],
+    ):
+        frame = spark.createDataFrame(rows, "date string, time string")
+        assert incremental.stored_mark(frame) == incremental.watermark(frame).first()[0]

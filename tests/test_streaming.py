@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiermart.operators.intervals import islands
+from tiermart.plans import shortages
 from tiermart.sinks import tables
 from tiermart.streaming import flows
 
@@ -44,15 +45,37 @@ def test_processed_files_are_archived(spark, tmp_path):
     assert {r.k for r in spark.read.parquet(out).collect()} == {"a", "b", "c"}
 
 
-@pytest.mark.parametrize("spread", [1, 4])
-def test_copies_within_seven_days_are_dropped(spark, tmp_path, spread):
+def deduplicated(spark, inbox, out, state, way):
+    stream = flows.stream_files(spark, inbox, SCHEMA, maxFilesPerTrigger="1")
+    if way == "state":
+        flows.append_available(flows.drop_late_copies(stream, ["k"], "ts"), out, state).awaitTermination()
+    else:
+        flows.append_first_copies(stream, ["k"], "ts", out, state).awaitTermination()
+    return spark.read.schema(SCHEMA).option("recursiveFileLookup", True).parquet(out)
+
+
+@pytest.mark.parametrize("way", ["state", "batches"])
+def test_keys_come_back_after_they_are_forgotten(spark, tmp_path, way):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    keys = spark.range(50).selectExpr("concat('k', id) as k")
+    for day in ("2024-01-01", "2024-01-07", "2024-01-16"):
+        keys.withColumn("ts", F.lit(day).cast("timestamp")).coalesce(1).write.mode("append").parquet(inbox)
+        deduplicated(spark, inbox, out, state, way)
+        # A row of another key moves the watermark on.
+        if day == "2024-01-07":
+            arrive(spark, inbox, ("step", "2024-01-15 12:00:00"))
+            deduplicated(spark, inbox, out, state, way)
+    assert deduplicated(spark, inbox, out, state, way).count() == 101
+
+
+@pytest.mark.parametrize("way", ["state", "batches"])
+def test_copies_within_seven_days_are_dropped(spark, tmp_path, way):
     inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     times = [("a", "2024-01-01"), ("a", "2024-01-06"), ("b", "2024-01-02")]
     for row in times:
         arrive(spark, inbox, row)
-        kept = flows.drop_late_copies(flows.stream_files(spark, inbox, SCHEMA), ["k"], "ts", spread=spread)
-        flows.append_available(kept, out, state).awaitTermination()
-    assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b"]
+        found = deduplicated(spark, inbox, out, state, way)
+    assert sorted(r.k for r in found.collect()) == ["a", "b"]
 
 
 def test_periods_equal_batch_islands(spark, tmp_path):
@@ -71,3 +94,30 @@ def test_periods_equal_batch_islands(spark, tmp_path):
     found = tables.open_table(spark, root, "p").select("k", "start_date", "end_date")
     batch = islands(spark.read.parquet(inbox), ["k"], "ts", GAP)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_closed_shortages_equal_the_batch_plan(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "supplier_id long, facility_id string, product_code string, snapshot_timestamp timestamp"
+    rows = [(1, f, "p", f"2024-01-0{d} 00:00:00") for f in ("F", " ", None) for d in (1, 2, 5)]
+    late = [(1, "F", "q", "2024-03-01 00:00:00")]
+    for part in (rows, late, late):
+        frame = spark.createDataFrame(part, "supplier_id long, facility_id string, product_code string, t string")
+        frame.select("supplier_id", "facility_id", "product_code", F.col("t").cast("timestamp").alias("snapshot_timestamp")).write.mode("append").parquet(inbox)
+        periods = flows.stream_shortages(flows.stream_files(spark, inbox, schema), dt.timedelta(days=2))
+        flows.append_available(periods, out, state).awaitTermination()
+    found = spark.read.parquet(out).select("facility_id", "product_code", "start_date", "end_date")
+    batch = shortages.shortage_periods(spark.read.parquet(inbox)).where("product_code = 'p'")
+    expected = batch.select("facility_id", "product_code", "start_date", "end_date")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert found.count() > 0
+
+
+def test_a_new_checkpoint_goes_on_after_older_versions(spark, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, state in enumerate(("s1", "s2"), 1):
+        arrive(spark, inbox, (f"k{n}", "2024-01-01 00:00:00"))
+        periods = flows.stream_periods(flows.stream_files(spark, inbox, SCHEMA), ["k"], "ts", GAP)
+        flows.replace_available(periods, root, "p", str(tmp_path / state)).awaitTermination()
+    assert tables.versions(spark, root, "p")[-1] > 1
+    assert tables.open_table(spark, root, "p").count() == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,5 +37,8 @@ def standardise_catalog(
 
 
 def read_catalog(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{folder.rstrip('/')}/{fixed.CATALOG_FILES}"
+    return read_files(spark, f"{folder.rstrip('/')}/{fixed.CATALOG_FILES}")
+
+
+def read_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_delimited(spark, path, fixed.CATALOG_COLUMNS)

@@ -3,93 +3,69 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 
 from tiermart.functions import fixed
 from tiermart.plans import catalog, shipments, suppliers
-from tiermart.sinks.ledger import new_files, record_files, rows_of_new_files
-from tiermart.sinks.tables import Published, append_rows, reload_staging
+from tiermart.sinks.ledger import load_new_files
+from tiermart.sinks.tables import Published, reload_staging, staging
 from tiermart.sources.bronze import read_bronze
 from tiermart.sources.delimited import list_files
 
 
-def _ledger(spark: SparkSession, path: str) -> DataFrame:
-    schema = "filename string, processed_at timestamp"
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def _load_files(
-    rows: DataFrame,
-    transform: Callable[[DataFrame], DataFrame],
-    folder: str,
-    pattern: str,
-    target: str,
-    ledger: str,
-) -> int:
-    """Append the rows of unseen files, then note all unseen files as processed."""
-    spark = rows.sparkSession
-    known = _ledger(spark, ledger)
-    unseen = new_files(list_files(spark, folder, pattern), known)
-    if unseen.isEmpty():
-        return 0
-    added = append_rows(transform(rows_of_new_files(rows, known)), target)
-    record_files(unseen, ledger)
-    return added
-
-
 def load_catalog(
     spark: SparkSession, folder: str, target: str, ledger: str, dedup: bool = False
 ) -> int:
-    """Append new product catalogue files to ``target``; returns the rows added."""
-    return _load_files(
-        catalog.read_catalog(spark, folder),
-        lambda rows: catalog.standardise_catalog(rows, dedup),
-        folder, fixed.CATALOG_FILES, target, ledger,
+    """Load new product catalogue files; returns the rows added."""
+    return load_new_files(
+        list_files(spark, folder, fixed.CATALOG_FILES),
+        lambda paths: catalog.standardise_catalog(catalog.read_files(spark, paths), dedup),
+        target, ledger,
     )
 
 
 def load_missing_products(
     spark: SparkSession, folder: str, target: str, ledger: str, run_ts: Column | None = None
 ) -> int:
-    return _load_files(
-        suppliers.read_missing_products(spark, folder),
-        lambda rows: suppliers.ingest_missing_products(rows, run_ts),
-        folder, fixed.MISSING_PRODUCT_FILES, target, ledger,
+    return load_new_files(
+        list_files(spark, folder, fixed.MISSING_PRODUCT_FILES),
+        lambda paths: suppliers.ingest_missing_products(
+            suppliers.read_missing_product_files(spark, paths), run_ts
+        ),
+        target, ledger,
     )
 
 
 def load_depots(
     spark: SparkSession, folder: str, target: str, ledger: str, run_ts: Column | None = None
 ) -> int:
-    return _load_files(
-        suppliers.read_depots(spark, folder),
-        lambda rows: suppliers.ingest_depots(rows, run_ts),
-        folder, fixed.DEPOT_FILES, target, ledger,
+    return load_new_files(
+        list_files(spark, folder, fixed.DEPOT_FILES),
+        lambda paths: suppliers.ingest_depots(suppliers.read_depot_files(spark, paths), run_ts),
+        target, ledger,
     )
 
 
 def load_shipments(
     spark: SparkSession, shipment_path: str, pallet_path: str, root: str, as_of: dt.date
 ) -> dict[str, Published]:
-    """Reload the four staging tables from the archived records of the last days."""
-    sent = read_bronze(spark, shipment_path, fixed.SHIPMENT_RECORD, as_of)
-    stacked = read_bronze(spark, pallet_path, fixed.PALLET_RECORD, as_of)
-    shipment_master, shipment_details = shipments.flatten_shipments(sent)
-    pallet_master, pallet_details = shipments.flatten_pallets(stacked)
-    results = {
-        "shipments_master": shipment_master,
-        "shipments_details": shipment_details,
-        "pallets_master": pallet_master,
-        "pallets_details": pallet_details,
-    }
-    return {
-        name: reload_staging(rows, root, f"{name}_staging") for name, rows in results.items()
-    }
+    """Reload the four staging tables from the archived records of the last days.
+
+    The records of the window are parsed once and stored; both tables of a feed come from there.
+    """
+    with staging(spark, "shipments") as folder:
+        read_bronze(spark, shipment_path, fixed.SHIPMENT_RECORD, as_of).write.parquet(f"{folder}/s")
+        read_bronze(spark, pallet_path, fixed.PALLET_RECORD, as_of).write.parquet(f"{folder}/p")
+        sent, stacked = spark.read.parquet(f"{folder}/s"), spark.read.parquet(f"{folder}/p")
+        shipment_master, shipment_details = shipments.flatten_shipments(sent)
+        pallet_master, pallet_details = shipments.flatten_pallets(stacked)
+        results = {
+            "shipments_master": shipment_master,
+            "shipments_details": shipment_details,
+            "pallets_master": pallet_master,
+            "pallets_details": pallet_details,
+        }
+        return {
+            name: reload_staging(rows, root, f"{name}_staging") for name, rows in results.items()
+        }

@@ -8,16 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermart.functions import fixed
-from tiermart.functions.names import name_stamp
 from tiermart.sources.delimited import read_delimited
 
 
 def _trimmed(df: DataFrame, keys: Sequence[str], run_ts: Column | None) -> DataFrame:
-    """Newest file first inside each task; a table keeps no global order."""
+    """Trimmed ``keys`` and the load time. Rows have no order: a stored table keeps none."""
     stamp = F.current_timestamp() if run_ts is None else run_ts
-    by_file = df.withColumn("_stamp", name_stamp(F.col("filename")))
-    ordered = by_file.sortWithinPartitions(F.col("_stamp").desc()).drop("_stamp")
-    trimmed = ordered.withColumns({key: F.trim(key) for key in keys})
+    trimmed = df.withColumns({key: F.trim(key) for key in keys})
     return trimmed.withColumn("record_timestamp", stamp)
 
 
@@ -32,10 +29,16 @@ def ingest_depots(df: DataFrame, run_ts: Column | None = None) -> DataFrame:
 
 
 def read_missing_products(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{folder.rstrip('/')}/{fixed.MISSING_PRODUCT_FILES}"
+    return read_missing_product_files(spark, f"{folder.rstrip('/')}/{fixed.MISSING_PRODUCT_FILES}")
+
+
+def read_missing_product_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_delimited(spark, path, fixed.MISSING_PRODUCT_COLUMNS, sep=";")
 
 
 def read_depots(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{folder.rstrip('/')}/{fixed.DEPOT_FILES}"
+    return read_depot_files(spark, f"{folder.rstrip('/')}/{fixed.DEPOT_FILES}")
+
+
+def read_depot_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return read_delimited(spark, path, fixed.DEPOT_COLUMNS, sep=";", fixed_layout=True)

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermart.sinks.tables import append_rows
-from tiermart.sources.incremental import incremental_delta
+from tiermart.sources.incremental import incremental_delta, normalise_time
 
 
 def load_telemetry(
     spark: SparkSession, source: DataFrame, target_path: str, tolerant: bool = False
 ) -> int:
-    """Append the delta to the parquet table at ``target_path``; returns its size."""
-    target = spark.read.parquet(target_path)
+    """Append the delta to the parquet table at ``target_path``; returns its size.
+
+    The first run, without a target, loads everything.
+    """
+    try:
+        target = spark.read.parquet(target_path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return append_rows(normalise_time(source, tolerant), target_path)
     return append_rows(incremental_delta(source, target, tolerant), target_path)

@@ -30,9 +30,14 @@ def _parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, int]:
     """Active part, history part and number of the last complete run."""
     active = tables.open_table(spark, root, ACTIVE)
     run = tables.versions(spark, root, ACTIVE)[-1]
-    written = [n for n in tables.versions(spark, root, HISTORY) if n <= run]
-    history = spark.read.parquet(*[tables.version_path(root, HISTORY, n) for n in written])
-    return active, history, run
+    runs = tables.numbered(spark, f"{root}/{HISTORY}", "run")
+    written = [_history_path(root, n) for n, committed in runs if committed and n <= run]
+    return active, spark.read.parquet(*written), run
+
+
+def _history_path(root: str, run: int) -> str:
+    """Runs are not versions: all of them count, and none is ever dropped as old."""
+    return f"{root.rstrip('/')}/{HISTORY}/run={run}"
 
 
 def _write(lines: DataFrame, path: str) -> int:
@@ -45,7 +50,7 @@ def _write(lines: DataFrame, path: str) -> int:
 
 def create_lines(lines: DataFrame, root: str) -> None:
     """First run of a table, from existing lines."""
-    _write(history_part(lines), tables.version_path(root, HISTORY, 1))
+    _write(history_part(lines), _history_path(root, 1))
     _write(active_part(lines), tables.version_path(root, ACTIVE, 1))
 
 
@@ -73,7 +78,7 @@ def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, in
             F.count_if("_active").alias("lasting"),
             F.count_if(F.col("_active") & (F.col("history_prog_id") != 0)).alias("piled_up"),
         ).drop("_active")
-        n_added = _write(counted, tables.version_path(root, HISTORY, run))
+        n_added = _write(counted, _history_path(root, run))
         n_swapped = _write(active_part(active), tables.version_path(root, ACTIVE, run))
     open_lines(spark, root)
     counts = seen.get

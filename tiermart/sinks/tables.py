@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 COMMITTED = "_SUCCESS"
+MARKING = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 @dataclass(frozen=True)
@@ -38,9 +39,14 @@ def _folder(spark: SparkSession, path: str):
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared one the cluster names.
 
-    Only where none is named, as in a local test, a temporary one is used.
+    Only a local master may do without one and then gets a temporary folder, since on a
+    cluster every machine would have its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -61,16 +67,17 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     """Numbers of the committed versions, oldest first."""
-    return [n for n, committed in _numbered(spark, root, name) if committed]
+    return [n for n, committed in numbered(spark, f"{root}/{name}", "v") if committed]
 
 
-def _numbered(spark: SparkSession, root: str, name: str) -> list[tuple[int, bool]]:
-    fs, path = _folder(spark, f"{root}/{name}")
+def numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, bool]]:
+    """Numbers of the folders ``prefix=N`` in ``folder`` and whether they are committed."""
+    fs, path = _folder(spark, folder)
     if not fs.exists(path):
         return []
     found = []
     for status in fs.listStatus(path):
-        match = re.fullmatch(r"v=(\d+)", status.getPath().getName())
+        match = re.fullmatch(rf"{prefix}=(\d+)", status.getPath().getName())
         if match:
             marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), COMMITTED)
             found.append((int(match[1]), fs.exists(marker)))
@@ -93,6 +100,20 @@ def set_mark(spark: SparkSession, path: str, mark: str) -> None:
     fs.createNewFile(marker)
 
 
+def first_version(spark: SparkSession, root: str, name: str, checkpoint: str) -> int:
+    """The version at which the query of ``checkpoint`` begins, fixed when it first starts."""
+    fs, path = _folder(spark, checkpoint)
+    if fs.exists(path):
+        for status in fs.listStatus(path):
+            match = re.fullmatch(r"first-version-(\d+)", status.getPath().getName())
+            if match:
+                return int(match[1])
+    taken = numbered(spark, f"{root}/{name}", "v")
+    first = taken[-1][0] + 1 if taken else 1
+    set_mark(spark, checkpoint, f"first-version-{first}")
+    return first
+
+
 def version_path(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}/v={version}"
 
@@ -127,16 +148,19 @@ def publish(
     a result without rows leaves the table as it was.
     """
     spark = df.sparkSession
-    taken = _numbered(spark, root, name)
+    taken = numbered(spark, f"{root}/{name}", "v")
     path = version_path(root, name, taken[-1][0] + 1 if taken else 1)
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *counts)
-    observed.drop(*drop).write.parquet(path, partitionBy=list(partition_by) or None)
+    # The marker is set last, when the count has decided that the version counts.
+    writer = observed.drop(*drop).write.option(MARKING, "false")
+    writer.parquet(path, partitionBy=list(partition_by) or None)
     found = dict(seen.get)
     n_rows = found.pop("n_rows")
     if n_rows == 0 and keep_old_if_empty:
         _delete(spark, path)
     else:
+        set_mark(spark, path, COMMITTED)
         open_table(spark, root, name)
     return Published(path, n_rows, found)
 

@@ -13,13 +13,13 @@ from tiermart.functions.names import source_file
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     columns: Sequence[str],
     sep: str = ",",
     fixed_layout: bool = False,
     lenient: bool = False,
 ) -> DataFrame:
-    """String ``columns`` plus ``filename`` of every file that matches ``path``.
+    """String ``columns`` plus ``filename`` of every file that ``path`` matches or lists.
 
     Columns are found by header name and others are skipped; ``fixed_layout``
     declares ``columns`` to be the whole file in this order. A file whose header
@@ -31,7 +31,7 @@ def read_delimited(
     if fixed_layout:
         reader = reader.schema(layout)
     try:
-        files = reader.csv(path)
+        files = reader.csv(path if isinstance(path, str) else list(path))
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -39,10 +39,20 @@ def read_delimited(
     return files.select(*[F.col(c) for c in columns], source_file().alias("filename"))
 
 
+LISTING = "filename string, path string, modified timestamp, size long"
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Decoded names of the files in ``folder``, whether or not they hold rows.
+    """Decoded name, path, time and size of the files in ``folder``, whether or not they hold rows.
 
-    Only ``filename`` is selected, so file contents are not read.
+    File contents are not read, nor are folders below. An absent folder has no files.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    return files.load(folder).select(source_file().alias("filename"))
+    try:
+        found = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/{pattern}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LISTING)
+    return found.select(
+        source_file().alias("filename"), "path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")
+    )

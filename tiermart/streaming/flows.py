@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tiermart.functions import fixed
-from tiermart.sinks.tables import version_path
+from tiermart.operators.latest import latest_by_key, oldest
+from tiermart.plans.shortages import known_facilities
+from tiermart.sinks.tables import first_version, numbered, version_path
 
 
 def stream_files(
@@ -29,17 +32,31 @@ def stream_files(
     return reader.load(path)
 
 
+@contextmanager
+def _sessions_merged_in_tasks(spark: SparkSession) -> Iterator[None]:
+    """Sessions of a busy key merge inside each task before they are shuffled."""
+    setting = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def append_available(
     stream: DataFrame, path: str, checkpoint: str
 ) -> StreamingQuery:
     """Append everything new since the last run to the parquet table at ``path``.
 
     The checkpoint takes the place of the queried watermark: what was loaded is
-    known by file, so late rows are not lost.
+    known by file, so late rows are not lost. Of windows and sessions only those that the
+    watermark has closed are appended, and their state goes.
     """
     writer = stream.writeStream.format("parquet").outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.start(path)
+    with _sessions_merged_in_tasks(stream.sparkSession):
+        return writer.start(path)
 
 
 def drop_late_copies(
@@ -47,22 +64,62 @@ def drop_late_copies(
     keys: Sequence[str],
     ts: str,
     delay: dt.timedelta = dt.timedelta(days=fixed.RELOAD_DAYS),
-    spread: int = 16,
 ) -> DataFrame:
     """First row per key, forgetting a key once ``delay`` has passed.
 
-    Copies are first dropped within ``spread`` parts of each key, so that a key
-    which holds most of the stream leaves at most that many rows for one task.
-    This keeps a second, larger state; ``spread=1`` does without it.
+    All rows of a key meet in one task. Where one key holds much of the stream, use
+    ``append_first_copies``.
     """
     marked = stream.withWatermark(ts, f"{delay.total_seconds():.0f} seconds")
-    if spread > 1:
-        # Seeded, so that a repeated task deals its rows the same way.
-        dealt = marked.withColumn("_part", (F.rand(seed=1) * spread).cast("int"))
-        marked = dealt.dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
+def append_first_copies(
+    stream: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    root: str,
+    checkpoint: str,
+    delay: dt.timedelta = dt.timedelta(days=fixed.RELOAD_DAYS),
+) -> StreamingQuery:
+    """Append rows whose key no stored row of the last ``delay`` before them has.
+
+    Each batch is first reduced to its earliest row per key, in every task before the
+    shuffle, and then compared with the stored rows of that time only, so a key that holds
+    most of the stream does not fill a task. The batch number names the folder a batch is
+    written to: a repeated batch writes it again and does not see itself. Rows lie
+    below ``root`` in folders ``batch=N``. NULL keys are equal to each other. As with
+    ``drop_late_copies``, a key gives at most one row in a batch.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rest = [c for c in batch.columns if c not in (*keys, ts)]
+        first = latest_by_key(batch, list(keys), oldest(ts, *rest))
+        older = [b for b in numbered(spark, root, "batch") if b[0] < number and b[1]]
+        if older:
+            paths = [f"{root}/batch={n}" for n, _ in older]
+            span = first.agg(F.min(ts), F.max(ts)).first()
+            if span[0] is not None:
+                stored = spark.read.schema(batch.schema).parquet(*paths)
+                near = stored.where(F.col(ts).between(F.lit(span[0]) - F.lit(delay), F.lit(span[1])))
+                seen = near.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(ts).alias("_seen"))
+                # Few for each key, since stored rows of a key lie further apart than ``delay``.
+                same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+                apart = F.col("_seen").between(F.col(ts) - F.lit(delay), F.col(ts))
+                first = first.join(seen, [*same, apart], "left_anti")
+        first.write.mode("overwrite").parquet(f"{root}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def stream_shortages(snapshots: DataFrame, delay: dt.timedelta | None = None) -> DataFrame:
+    """Shortage periods of a stream of snapshots, of known facilities as in the batch plan."""
+    late = {} if delay is None else {"delay": delay}
+    return stream_periods(known_facilities(snapshots), fixed.SHORTAGE_KEYS, "snapshot_timestamp", **late)
+
+
 def stream_periods(
     stream: DataFrame,
     keys: Sequence[str],
@@ -84,20 +141,18 @@ def replace_available(
 ) -> StreamingQuery:
     """Write the complete result after each batch as a version of ``name``.
 
-    The batch number names the version, so a repeated batch writes it again.
+    Complete results never forget: this is for checks and small streams, while
+    ``append_available`` keeps bounded state. Versions go on after those that exist
+    when the query starts, so a new checkpoint does not fall behind them, and within the
+    query the batch number names the version, so a repeated batch writes it again.
     """
+    spark = stream.sparkSession
+    base = first_version(spark, root, name, checkpoint)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(version_path(root, name, number + 1))
+        batch.write.mode("overwrite").parquet(version_path(root, name, base + number))
 
-    spark = stream.sparkSession
-    setting = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
-    before = spark.conf.get(setting)
-    # Sessions of a busy key merge inside each task before they are shuffled.
-    spark.conf.set(setting, "true")
-    try:
-        writer = stream.writeStream.foreachBatch(write).outputMode("complete")
-        writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer = stream.writeStream.foreachBatch(write).outputMode("complete")
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    with _sessions_merged_in_tasks(spark):
         return writer.start()
-    finally:
-        spark.conf.set(setting, before)
