@@ -10,7 +10,9 @@ order of the signatures, each starting at another hash. Rows that share a prefix
    likely links goes on. A region too large for one run is cut where the next hashes
    change, so its depth adapts; neighbouring runs share a row.
 2. Regions that still hold several components compare all rows of different
-   components, so that no link between them is lost; a large region does this in blocks.
+   components, so that no link between them is lost. Rows of a small region do so by
+   signatures, and likely pairs go on. Rows of a large region bring their sets, are
+   compared in blocks, and only the confirmed links that join components go on.
 
 All candidates are confirmed on full shingle sets, and components are taken of the
 confirmed links only.
@@ -36,6 +38,7 @@ HASHES = TREES * DEPTH
 NEAR = 0.62  # least share of equal hashes of a candidate: over four deviations below 0.8
 LIKELY = 0.78
 RUN = 1024
+DENSE = 48  # rows of a region from which on sets are compared in place
 BLOCK = 2048
 SHINGLE = 5
 SIMILAR = 80
@@ -218,19 +221,72 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield _pairs(np.full(len(near), ids[i]), ids[near])
 
 
-def _confirm(percent: int):
+def _numbers(data: bytes) -> np.ndarray:
+    """The shingle hashes of a packed set."""
+    wide = np.zeros((len(data) // ID_BYTES, 8), np.uint8)
+    wide[:, :ID_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, ID_BYTES)
+    return wide.view(">u8").ravel().astype(np.uint64)
+
+
+def _similar(both: np.ndarray | int, one: int, two: np.ndarray | int, percent: int) -> np.ndarray | bool:
+    return 100 * both >= percent * (one + two - both)
+
+
+def _dense(percent: int):
+    """Confirmed links between components in blocks of rows (region, block, id, component, major, items).
+
+    One row is held against a whole block by counting, over its shingles, the rows that have them.
+    Links that join nothing new are left out.
+    """
+
+    def links(ids: np.ndarray, comp: np.ndarray, major: np.ndarray, items: list[bytes]) -> Iterator[pa.RecordBatch]:
+        sets = [_numbers(x) for x in items]
+        sizes = np.array([len(x) for x in sets])
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        owner = np.repeat(np.arange(len(sets)), sizes)[order]
+        values, begin = np.unique(flat[order], return_index=True)
+        bounds = np.append(begin, len(flat))
+        above: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while c in above:
+                c = above[c]
+            return c
+
+        a, b = [], []
+        for i in np.flatnonzero(comp != major).tolist():
+            at = np.searchsorted(values, sets[i])
+            rows, _ = W.gather(owner, bounds, at)
+            both = np.bincount(rows, minlength=len(sets))
+            for j in np.flatnonzero(_similar(both, sizes[i], sizes, percent) & (comp != comp[i])).tolist():
+                x, y = root(int(comp[i])), root(int(comp[j]))
+                if x != y:
+                    above[x] = y
+                    a.append(ids[i])
+                    b.append(ids[j])
+        if a:
+            yield _pairs(np.array(a), np.array(b))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def as_numbers(data: bytes) -> np.ndarray:
-            wide = np.zeros((len(data) // ID_BYTES, 8), np.uint8)
-            wide[:, :ID_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, ID_BYTES)
-            return wide.view(">u8").ravel().astype(np.uint64)
+        for table in _Rows(batches, ["region", "block"]):
+            both = np.stack([table["region"].to_numpy(), table["block"].to_numpy()])
+            begin = np.flatnonzero(np.append(True, (both[:, 1:] != both[:, :-1]).any(0)))
+            for x, y in zip(begin.tolist(), [*begin[1:].tolist(), both.shape[1]], strict=True):
+                part = table.slice(x, y - x)
+                yield from links(part["id"].to_numpy(), part["component"].to_numpy(), part["major"].to_numpy(), part["items"].to_pylist())
+
+    return run
 
+
+def _confirm(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                one, two = as_numbers(x), as_numbers(y)
+                one, two = _numbers(x), _numbers(y)
                 both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
+                keep.append(_similar(both, len(one), len(two), percent))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -283,10 +339,13 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
     # The rows outside a region's largest component go to each of its blocks.
     where = F.when(F.col("component") == F.col("major"), F.array(mine)).otherwise(F.sequence(F.lit(0), blocks - 1))
-    spread = placed.join(mixed.select("region", "major", "size"), "region").select("region", "id", "component", "major", F.explode(where).alias("block")).join(nodes, "id")
-    spread = spread.repartition(parts, "region", "block").sortWithinPartitions("region", "block")
-    second = _confirmed(spread.mapInArrow(_across, "a long, b long").distinct(), sets, percent)
-    final = components(first.unionByName(second))
+    spread = placed.join(mixed.select("region", "major", "size"), "region").select("region", "size", "id", "component", "major", F.explode(where).alias("block"))
+    spread = stored(spread, "mixed")
+    few = spread.filter(F.col("size") <= DENSE).join(nodes, "id").repartition(parts, "region", "block").sortWithinPartitions("region", "block")
+    many = spread.filter(F.col("size") > DENSE).join(sets, "id").repartition(parts, "region", "block").sortWithinPartitions("region", "block")
+    second = _confirmed(few.mapInArrow(_across, "a long, b long").distinct(), sets, percent)
+    third = stored(many.mapInArrow(_dense(percent), "a long, b long"), "links")
+    final = components(first.unionByName(second).unionByName(third))
 
     resolved = classes.join(final, classes.node == final.id, "left").select("digest", F.coalesce("component", "node").alias("component"))
     smallest = resolved.select("digest", "component")
