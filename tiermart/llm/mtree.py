@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from tiermart.llm.common import stored
 
-SHARD = 4096
+SHARD = 16384
 QUERIES = 1024
-LEAF = 64
-FAN = 16
+LEAF = 512
+FAN = 32
 SLACK = 1e-6  # of a distance: bounds are compared with some room for rounding
 
 PAGES = "shard int, page int, parent int, centre array<double>, radius double, to_parent double, ids array<long>, vectors binary, to_centre array<double>"
