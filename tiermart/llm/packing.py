@@ -1,7 +1,7 @@
 """Best-fit packing of token pieces into sequences, in rounds.
 
-Every partition packs its own pieces, largest first, each into the fullest bin that
-still has room. Bins that are nearly full are done. The others go on as single items
+Pieces are dealt to groups of bounded size. Every group packs its own, largest first, each
+into the fullest bin that still has room. Bins that are nearly full are done. The others go on as single items
 into fewer, larger groups, where they are packed again, until one group is left or a
 round no longer joins anything. A round's group is bounded in items, and only
 bin sizes move between rounds, never texts.
@@ -189,7 +189,9 @@ def assign(items: DataFrame, key_col: str, length_col: str, capacity: int = CAPA
     a stored table: it is read again for the result, and its keys must not change.
     """
     level = 1
-    placed = stored(_packed(items.select(F.col(key_col).alias("key"), F.col(length_col).alias("length")), capacity, level), "pack")
+    narrow = items.select(F.col(key_col).alias("key"), F.col(length_col).alias("length"))
+    groups = max(1, -(-items.count() // group))
+    placed = stored(_packed(narrow.repartition(groups, F.xxhash64("key")), capacity, level), "pack")
     bins = placed.filter("offset = 0").select("bin", "fill")
     moves = None  # bin of the first round -> its bin now and its offset there
     under = bins.filter(F.col("fill") < capacity - slack)
