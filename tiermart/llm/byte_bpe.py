@@ -29,6 +29,7 @@ from tiermart.llm import words as W
 
 BUCKETS = 16384
 BLOCK_BYTES = 16 << 20
+ROWS = 1000  # of a block at a time
 LONG = 256  # bytes; longer words are merged with a heap, since the fold is quadratic
 
 
@@ -135,12 +136,14 @@ def _block_words(shards: int):
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist(), strict=True):
-                texts = _unpack(packed)["text"].to_pylist()
                 seen: set[str] = set()
-                for a, b in W.chunks(texts):
-                    seen.update(W.cut(texts[a:b]).unique)
+                for rows in _unpack(packed).to_batches(max_chunksize=ROWS):
+                    texts = rows.column("text").to_pylist()
+                    for a, b in W.chunks(texts):
+                        seen.update(W.cut(texts[a:b]).unique)
                 dealt: list[list[bytes]] = [[] for _ in range(shards)]
-                for word in seen:
+                while seen:
+                    word = seen.pop()
                     data = word.encode("utf-8", "surrogatepass")
                     if len(data) <= LONG:
                         dealt[zlib.crc32(data) % shards].append(data)
@@ -148,6 +151,8 @@ def _block_words(shards: int):
                     if words:
                         part = pa.table({"word": pa.array(sorted(words), pa.binary())})
                         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block]), pa.array([_pack(part)], pa.binary())], ["shard", "block", "packed"])
+                # Workers live on: what Arrow has freed goes back to the machine.
+                pa.default_memory_pool().release_unused()
 
     return listed
 
@@ -180,11 +185,12 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= 200_000:
+        if sum(b.num_rows for b in held) >= 100_000:
             yield from done(held)
             held = []
     if sum(b.num_rows for b in held):
         yield from done(held)
+    pa.default_memory_pool().release_unused()
 
 
 def encoded_words(words: DataFrame, ranks_path: str) -> DataFrame:
@@ -246,26 +252,28 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
         out = []
         for block in left["packed"].to_pylist():
-            part = _unpack(block)
-            texts = part["text"].to_pylist()
-            n_tokens, ids_digest, text_digest, all_ids, all_text = [], [], [], [], []
-            for a, b in W.chunks(texts, W.CHUNK // 2):
-                cut = W.cut(texts[a:b])
-                found = [look_up(w) for w in cut.unique]
-                inverse = cut.inverse.tolist()
-                for x, y in zip(cut.offsets[:-1].tolist(), cut.offsets[1:].tolist(), strict=True):
-                    parts = [found[k] for k in inverse[x:y]]
-                    ids, decoded = ",".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-                    n_tokens.append(ids.count(",") + 1 if ids else 0)
-                    ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
-                    text_digest.append(hashlib.sha256(decoded).hexdigest())
-                    if keep_ids:
-                        all_ids.append([int(i) for i in ids.split(",") if i])
-                        all_text.append(decoded)
-            columns = {id_col: part["id"], "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_digest, pa.string()), "decoded_sha256": pa.array(text_digest, pa.string())}
-            if keep_ids:
-                columns |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(all_text, pa.binary())}
-            out.append(pa.table(columns))
+            for part in _unpack(block).to_batches(max_chunksize=ROWS):
+                texts = part.column("text").to_pylist()
+                ids_digest, text_digest, n_tokens, all_ids, all_text = [], [], [], [], []
+                for a, b in W.chunks(texts):
+                    cut = W.cut(texts[a:b])
+                    found = [look_up(w) for w in cut.unique]
+                    inverse = cut.inverse.tolist()
+                    for x, y in zip(cut.offsets[:-1].tolist(), cut.offsets[1:].tolist(), strict=True):
+                        words = [found[k] for k in inverse[x:y]]
+                        ids, decoded = ",".join([w[0] for w in words]), b"".join([w[1] for w in words])
+                        n_tokens.append(ids.count(",") + 1 if ids else 0)
+                        ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
+                        text_digest.append(hashlib.sha256(decoded).hexdigest())
+                        if keep_ids:
+                            all_ids.append([int(i) for i in ids.split(",") if i])
+                            all_text.append(decoded)
+                columns = {id_col: part.column("id"), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_digest, pa.string()), "decoded_sha256": pa.array(text_digest, pa.string())}
+                if keep_ids:
+                    columns |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(all_text, pa.binary())}
+                out.append(pa.table(columns))
+        known.clear()
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(out) if out else pa.table({})
 
     schema = f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
