@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from checks import shapes
 from tiermart.functions import fixed, names, sales, typing
 from tiermart.operators import changes, intervals
-from tiermart.plans import catalog, sales_lines, sales_mart, shipments, shortages, suppliers
+from tiermart.plans import catalog, loads, sales_lines, sales_mart, shipments, shortages, suppliers
 from tiermart.sinks import ledger, tables
 from tiermart.sources import bronze, incremental
 from tiermart.streaming import flows
@@ -51,6 +51,22 @@ def q04_missing_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suppliers.ingest_missing_products(rows, shapes.run_ts())
 
 
+@query
+def q35_file_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as supplier files in two deliveries, each loaded; the third load finds nothing."""
+    root = tables.shared_folder(spark, "deliveries")
+    rows = shapes.missing_products(spark, sf_dir)
+    later = F.substring("filename", 18, 8) >= "20240115"
+    for name, part in (("missing_products_1", rows.where(~later)), ("missing_products_2", rows.where(later))):
+        lines = part.select(*fixed.MISSING_PRODUCT_COLUMNS)
+        tables.write_named_files(lines, f"{root}/in", name, header="true", sep=";", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+        loads.load_missing_products(spark, f"{root}/in", f"{root}/rows", f"{root}/ledger", shapes.run_ts())
+    loads.load_missing_products(spark, f"{root}/in", f"{root}/rows", f"{root}/ledger", shapes.run_ts())
+    loaded = ledger.open_loaded(spark, f"{root}/rows", f"{root}/ledger")
+    files = F.regexp_extract("filename", r"^(missing_products_\d)_\d+\.csv$", 1)
+    return loaded.select("id_deposito", "minsan", files.alias("delivery"), F.col("load_run").cast("int").alias("load_run"), "record_timestamp")
+
+
 # Nested records
 
 
@@ -150,6 +166,7 @@ def q17_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.prior_lines(spark, sf_dir),
         shapes.active_lines(spark, sf_dir),
         shapes.history_lines(spark, sf_dir),
+        tables.stage_once,
     )
 
 
@@ -207,6 +224,7 @@ def q24_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.shortage_history(spark, sf_dir),
         shapes.shortage_news(spark, sf_dir),
         shapes.SHORTAGES_AS_OF,
+        stage=tables.stage_once,
     )
 
 
@@ -288,6 +306,7 @@ def q33_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.prior_lines(spark, sf_dir),
         shapes.active_lines(spark, sf_dir),
         shapes.history_lines(spark, sf_dir),
+        tables.stage_once,
     )
 
 

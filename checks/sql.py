@@ -72,6 +72,14 @@ ORACLES["q04_missing_products"] = """
            TIMESTAMP '2024-02-01 06:00:00' AS record_timestamp
     FROM events"""
 
+ORACLES["q35_file_deliveries"] = """
+    SELECT 'D' || user_id AS id_deposito,
+           lpad(CAST(event_id AS VARCHAR), 9, '0') AS minsan,
+           CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'missing_products_1' ELSE 'missing_products_2' END AS delivery,
+           CAST(CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS INTEGER) AS load_run,
+           TIMESTAMP '2024-02-01 06:00:00' AS record_timestamp
+    FROM events"""
+
 # Nested records
 
 _PACKAGES = """packages AS (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,12 +52,19 @@ def history_lines(feed: DataFrame, tie_breaks: Sequence[Column] = ()) -> DataFra
     return conform_lines(feed, fixed.HISTORY_KEYS, tie_breaks)
 
 
-def upsert_steps(target: DataFrame, active: DataFrame, history: DataFrame) -> DataFrame:
+def upsert_steps(
+    target: DataFrame,
+    active: DataFrame,
+    history: DataFrame,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Next target with the ``_step`` every row came from.
 
     ``active`` and ``history`` are conformed lines. History is matched against
-    the target after the swap, and rows already there are never updated.
+    the target after the swap, and rows already there are never updated. Active lines are both
+    written and matched; ``stage`` may store them, so that they are reduced once.
     """
+    active = stage(active)
     swapped = swap_active(
         target.withColumn("_step", F.lit(KEPT)),
         active.withColumn("_step", F.lit(ACTIVE_INSERTED)),
@@ -67,9 +74,12 @@ def upsert_steps(target: DataFrame, active: DataFrame, history: DataFrame) -> Da
 
 
 def upsert_sales_lines(
-    target: DataFrame, active: DataFrame, history: DataFrame
+    target: DataFrame,
+    active: DataFrame,
+    history: DataFrame,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    return upsert_steps(target, active, history).drop("_step")
+    return upsert_steps(target, active, history, stage).drop("_step")
 
 
 def step_counts() -> list[Column]:
@@ -82,11 +92,16 @@ def step_counts() -> list[Column]:
     return [count.alias(name) for name, count in counts.items()]
 
 
-def upsert_audit(target: DataFrame, active: DataFrame, history: DataFrame) -> DataFrame:
+def upsert_audit(
+    target: DataFrame,
+    active: DataFrame,
+    history: DataFrame,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """``step`` and ``n_rows`` of an upsert, without writing it."""
     deleted = active_part(target).withColumn("_step", F.lit(ACTIVE_DELETED))
     columns = ["_step", "history_prog_id"]
-    steps = upsert_steps(target, active, history).select(*columns)
+    steps = upsert_steps(target, active, history, stage).select(*columns)
     counts = steps.unionByName(deleted.select(*columns)).agg(*step_counts())
     names = [ACTIVE_DELETED, ACTIVE_INSERTED, HISTORY_INSERTED, ACTIVE_WITH_HISTORY_ID]
     return counts.unpivot([], names, "step", "n_rows")

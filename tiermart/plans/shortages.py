@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,10 +93,15 @@ def consolidate(
     gap: dt.timedelta = GAP,
     lookback: dt.timedelta = LOOKBACK,
     keys: Sequence[str] = KEYS,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """Next history: extended intervals plus the new stand-alone ones."""
+    """Next history: extended intervals plus the new stand-alone ones.
+
+    The matched periods are read for both and for the oldest end that matters; ``stage`` may
+    store them, so that they are computed once.
+    """
     baseline = open_baseline(history, as_of, lookback, keys)
-    matched = match_baseline(periods, baseline, gap, keys)
+    matched = stage(match_baseline(periods, baseline, gap, keys))
     updated = set_end_dates(history, find_extensions(matched, keys), keys)
     inserts = find_inserts(matched, history, keys)
     return updated.unionByName(inserts, allowMissingColumns=True)

@@ -60,6 +60,26 @@ def staging(spark: SparkSession, purpose: str) -> Iterator[str]:
         _delete(spark, folder)
 
 
+def write_named_files(df: DataFrame, folder: str, name: str, **options: str) -> None:
+    """CSV files ``name_00000.csv``, ... in ``folder``, one for each task, as a supplier drops them."""
+    spark = df.sparkSession
+    parts = f"{folder.rstrip('/')}/_parts-{uuid.uuid4().hex}"
+    df.write.options(**options).csv(parts)
+    fs, path = _folder(spark, parts)
+    texts = sorted(s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().endswith(".csv"))
+    for i, text in enumerate(texts):
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}_{i:05d}.csv")
+        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(text), target)
+    fs.delete(path, True)
+
+
+def stage_once(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, for plans that read it several times."""
+    path = shared_folder(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     fs, hadoop = _folder(spark, path)
     fs.delete(hadoop, True)
