@@ -262,17 +262,21 @@ def fold(nodes: list[Any], filters: Mapping[str, Callable[[str], str]]) -> list[
         return node
 
     out: list[Any] = []
+
+    def add(node: Any) -> None:
+        before = out[-1] if out else None
+        if all(isinstance(n, Write) and isinstance(n.value, Const) for n in (before, node)):
+            out[-1] = Write(Const(_text(before.value.value) + _text(node.value.value)))
+        else:
+            out.append(node)
+
     for node in nodes:
         if isinstance(node, Write):
-            inner = value(node.value)
-            if isinstance(inner, Const) and out and isinstance(out[-1], Write) and isinstance(out[-1].value, Const):
-                out[-1] = Write(Const(_text(out[-1].value.value) + _text(inner.value)))
-            else:
-                out.append(Write(inner))
+            add(Write(value(node.value)))
         elif isinstance(node, Loop):
-            out.append(Loop(node.name, value(node.over), fold(node.body, filters)))
+            add(Loop(node.name, value(node.over), fold(node.body, filters)))
         elif isinstance(node, Marked):
-            out.append(Marked(fold(node.body, filters)))
+            add(Marked(fold(node.body, filters)))
         else:
             cases = []
             for test, inner in ((value(t), fold(b, filters)) for t, b in node.cases):
@@ -282,9 +286,10 @@ def fold(nodes: list[Any], filters: Mapping[str, Callable[[str], str]]) -> list[
                 if isinstance(test, Const):
                     break
             if cases and isinstance(cases[0][0], Const):
-                out.extend(cases[0][1])
+                for inner in cases[0][1]:
+                    add(inner)
             elif cases:
-                out.append(Branch(cases))
+                add(Branch(cases))
     return out
 
 
