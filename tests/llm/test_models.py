@@ -145,7 +145,7 @@ def test_templates_are_folded_and_sandboxed():
     filters = {"up": str.upper}
     tree = template.fold(template.parse("a{{ 'b' | up }}{% if 1 == 1 %}c{% else %}{{ x }}{% endif %}", filters), filters)
     assert tree == [template.Write(template.Const("aBc"))]
-    for bad in ("{% for x %}", "{{ x.", "{{ x | open }}", "{% endif %}", "{% if x %}", "{{ f() }}", "{% import os %}"):
+    for bad in ("{% for x %}", "{{ x. }}", "{{ x | open }}", "{% endif %}", "{% if x %}", "{{ f() }}", "{% import os %}"):
         with pytest.raises(template.TemplateError):
             template.parse(bad, filters)
     sink = template.Sink()

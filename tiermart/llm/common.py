@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermart.sinks.tables import shared_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,24 +17,8 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share.
-
-    It lies in ``spark.checkpoint.dir``. Where that is not set, a temporary folder
-    serves a local master; on a cluster it would be a different folder on every
-    machine, so that is an error.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tiermart-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df``, written once to a shared folder and read from there."""
-    path = scratch(df.sparkSession, name)
+    """The rows of ``df``, written once to a folder that all executors share and read from there."""
+    path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
