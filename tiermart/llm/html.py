@@ -1,7 +1,7 @@
 """Main text of web pages by a maximum-scoring stretch of words and tags.
 
 A page is a sequence of tags and text runs. Each has a score, the log odds of lying
-inside the article, learned by kind of tag and by the elements that hold a run; words inside
+inside the article, learned by kind of element and the section it lies in; words inside
 articles score positive, tags and the words of menus negative. One linear scan finds the
 contiguous stretch with the largest sum. Labelled pages are those whose markup says where
 the article is; they teach the scores for all pages. Within the stretch, elements
@@ -32,6 +32,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead title tr ul".split()
 )
+SECTIONS = frozenset("article aside body dialog footer form head header main nav section".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea noscript iframe template xmp title".split())
 NEVER = frozenset("script style textarea noscript iframe template title head nav aside footer form button select svg math object canvas audio video dialog menu search".split())
@@ -96,11 +97,14 @@ def parts(page: str) -> list[Part]:
         if until > at:
             run = html.unescape(page[at:until])
             words = len(run.split())
-            holders = [s[0] for s in stack if s[0] in BLOCKS or s[1]][-2:]
+            holder = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
             top = stack[-1] if stack else ("", False, False)
-            out.append(Part("/".join(holders) or "top", words, run, block, top[2], top[1]))
+            out.append(Part(f"{section()}/{holder}", words, run, block, top[2], top[1]))
         at = until
 
+    def section() -> str:
+        return next((s[0] for s in reversed(stack) if s[0] in SECTIONS), "")
+
     scan = 0
     while found := _TAG.search(page, scan):
         scan = found.end()
@@ -131,7 +135,7 @@ def parts(page: str) -> list[Part]:
         if not closing and name not in VOID:
             stack.append((name, above[1] or _hidden(name, found[3]), above[2] or name in LABELS))
         now = stack[-1] if stack else ("", False, False)
-        out.append(Part(("/" if closing else "") + name, 0, "", block, now[2], now[1]))
+        out.append(Part(f"{section()}/{'end ' if closing else ''}{name}", 0, "", block, now[2], now[1]))
         if name in RAW and not closing:
             end = re.compile(rf"</{re.escape(name)}[\s>/]", re.I).search(page, at)
             stop = end.start() if end else len(page)
@@ -148,19 +152,21 @@ def _odds(inside: float, outside: float, all_inside: float, all_outside: float)
 
 @dataclass
 class Model:
-    """Scores of tags by name, and of a word by the elements that hold it."""
+    """Scores of tags and of words by their section of the page and the element; of words also by section alone."""
 
     tags: dict[str, float]
     words: dict[str, float]
 
     def score(self, part: Part) -> float:
+        if part.text and not part.words:
+            return 0.0
         if not part.words:
-            return self.tags.get(part.kind, -TAG_COST) if not part.text.strip() else 0.0
+            return -TAG_COST if part.never else self.tags.get(part.kind, -TAG_COST)
         if part.never:
             return -part.words * WORD
         own = self.words.get(part.kind)
         if own is None:
-            own = self.words.get(part.kind.rpartition("/")[2], WORD)
+            own = self.words.get(part.kind.partition("/")[0], WORD)
         return part.words * own
 
     def extract(self, page: str | None) -> str:
@@ -200,7 +206,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
                     good = part.inside and not part.never
                     if part.words:
                         found["word", part.kind, good] += part.words
-                        found["word", part.kind.rpartition("/")[2], good] += part.words if "/" in part.kind else 0
+                        found["word", part.kind.partition("/")[0], good] += part.words
                     elif not part.text:
                         found["tag", part.kind, good] += 1
         rows = [(*k, v) for k, v in found.items()]
