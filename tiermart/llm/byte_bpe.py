@@ -12,6 +12,7 @@ What moves between tasks, texts and lists of words, is packed and compressed by
 from __future__ import annotations
 
 import base64
+import ctypes
 import hashlib
 import json
 import zlib
@@ -96,6 +97,14 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
     return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).when(n > 0, folded))
 
 
+def give_back() -> None:
+    """Freed memory goes back to the machine, since Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -151,8 +160,7 @@ def _block_words(shards: int):
                     if words:
                         part = pa.table({"word": pa.array(sorted(words), pa.binary())})
                         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block]), pa.array([_pack(part)], pa.binary())], ["shard", "block", "packed"])
-                # Workers live on: what Arrow has freed goes back to the machine.
-                pa.default_memory_pool().release_unused()
+                give_back()
 
     return listed
 
@@ -164,6 +172,7 @@ def _merged_words(rows: pa.Table) -> pa.Table:
         for word in _unpack(packed)["word"].to_pylist():
             owners.setdefault(word, []).append(block)
     words = sorted(owners)  # sorted words compress well
+    give_back()
     return pa.table({"word": pa.array(words, pa.binary()), "blocks": pa.array([owners[w] for w in words], pa.list_(pa.int64()))})
 
 
@@ -190,7 +199,7 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = []
     if sum(b.num_rows for b in held):
         yield from done(held)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def encoded_words(words: DataFrame, ranks_path: str) -> DataFrame:
@@ -273,7 +282,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
                     columns |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(all_text, pa.binary())}
                 out.append(pa.table(columns))
         known.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
         return pa.concat_tables(out) if out else pa.table({})
 
     schema = f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"

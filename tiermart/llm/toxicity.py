@@ -37,6 +37,7 @@ LONGEST = 64  # characters; a longer word is scored in overlapping parts
 EDGE = 1  # stands before and after each word
 MARKS = ".,;:!?\"'()[]{}<>|*#$%&+=/\\~_-"
 CUT = 0.7
+WORDS = 4096  # scored at a time
 
 
 def _spread(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -166,10 +167,13 @@ class Model:
     curve: tuple[float, float, float]
 
     def words(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros(0)
-        owner, place, weight = _features(words)
-        return np.bincount(owner, self.weights[place] * weight, len(words)) / _norms(owner, weight, len(words)) + self.offset
+        out = [np.zeros(0)]
+        for a in range(0, len(words), WORDS):  # a word has about a hundred subsequences
+            part = words[a : a + WORDS]
+            owner, place, weight = _features(part)
+            sums = np.bincount(owner, self.weights[place] * weight, len(part))
+            out.append(sums / _norms(owner, weight, len(part)) + self.offset)
+        return np.concatenate(out)
 
     def worst(self, texts: list[str | None]) -> np.ndarray:
         """The scores of the two worst words of each text; -2 where there is none."""
