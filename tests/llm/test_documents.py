@@ -142,6 +142,40 @@ def test_near_groups_in_small_runs_and_blocks(spark, monkeypatch):
     assert found == expected
 
 
+def test_large_regions_are_compared_in_bounded_tiles(spark, monkeypatch):
+    for name, value in (("BLOCK", 40), ("DENSE", 8)):
+        monkeypatch.setattr(near_dedup, name, value)
+    # 200 components of one row each and one of 60 rows.
+    rows = [(7, i, i) for i in range(200)] + [(7, 1000 + i, 1000) for i in range(60)] + [(8, 1, 1), (8, 2, 1), (9, 5, 5), (9, 6, 6)]
+    tiles = defaultdict(list)
+    for r in near_dedup._tiles(spark.createDataFrame(rows, "region long, id long, component long")).collect():
+        tiles[r.region, r.tile].append(r)
+    assert {region for region, _ in tiles} == {7, 9}
+    assert max(map(len, tiles.values())) <= 2 * 40
+    met = defaultdict(int)
+    for (region, _), group in tiles.items():
+        one_side = len({r.side for r in group}) == 1
+        for x in group:
+            for y in group:
+                if x.id < y.id and x.component != y.component and (one_side or x.side != y.side):
+                    met[region, x.id, y.id] += 1
+    expected = {(g, i, j) for g, i, c in rows for h, j, d in rows if g == h and i < j and c != d}
+    assert set(met) == expected and set(met.values()) == {1}
+
+
+def test_documents_with_a_common_passage(spark, monkeypatch):
+    for name, value in (("RUN", 16), ("BLOCK", 24), ("DENSE", 8)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng = random.Random(11)
+    passage, rows = [f"p{i}" for i in range(90)], []
+    for i in range(120):
+        rows.append((i, " ".join([*passage, *(f"w{rng.randrange(10**6)}" for _ in range(60))])))
+    rows += [(200 + i, rows[i * 7][1] + " more words") for i in range(10)]
+    expected, _ = brute_components(rows, 4)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame(spark, rows), shingle=4).collect()}
+    assert found == expected and len(set(expected.values())) == 120
+
+
 def test_near_groups_of_odd_ids(spark):
     rows = [(None, "a b c d e"), (7, "a b c d e"), (7, "x y z u v"), (9, "x y z u v")]
     found = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_dedup.near_groups(frame(spark, rows)).collect())

@@ -11,8 +11,9 @@ order of the signatures, each starting at another hash. Rows that share a prefix
    change, so its depth adapts; neighbouring runs share a row.
 2. Regions that still hold several components compare all rows of different
    components, so that no link between them is lost. Rows of a small region do so by
-   signatures, and likely pairs go on. Rows of a large region bring their sets, are
-   compared in blocks, and only the confirmed links that join components go on.
+   signatures, and likely pairs go on. Rows of a large region bring their sets and are
+   dealt to blocks; each tile of two blocks is one group, so that a task holds no more,
+   and only the confirmed links that join components go on.
 
 All candidates are confirmed on full shingle sets, and components are taken of the
 confirmed links only.
@@ -39,7 +40,7 @@ NEAR = 0.62  # least share of equal hashes of a candidate: over four deviations
 LIKELY = 0.78
 RUN = 1024
 DENSE = 48  # rows of a region from which on sets are compared in place
-BLOCK = 2048
+BLOCK = 2048  # rows of a tile, about: two blocks of half as many
 SHINGLE = 5
 SIMILAR = 80
 ID_BYTES = 5  # of each shingle hash kept for the confirmation
@@ -201,9 +202,9 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All possible links between components in each block of rows (region, block, id, component, major, sign)."""
-    for table in _Rows(batches, ["region", "block"]):
-        both = np.stack([table["region"].to_numpy(), table["block"].to_numpy()])
+    """All possible links between components in each tile of rows (region, tile, id, component, major, sign)."""
+    for table in _Rows(batches, ["region", "tile"]):
+        both = np.stack([table["region"].to_numpy(), table["tile"].to_numpy()])
         ids, comp, major, signs = table["id"].to_numpy(), table["component"].to_numpy(), table["major"].to_numpy(), _signs(table)
         begin = np.flatnonzero(np.append(True, (both[:, 1:] != both[:, :-1]).any(0)))
         end = np.append(begin[1:], both.shape[1])
@@ -233,13 +234,16 @@ def _similar(both: np.ndarray | int, one: int, two: np.ndarray | int, percent: i
 
 
 def _dense(percent: int):
-    """Confirmed links between components in blocks of rows (region, block, id, component, major, items).
+    """Confirmed links between components in tiles of rows (region, tile, id, component, major, side, items).
 
-    One row is held against a whole block by counting, over its shingles, the rows that have them.
-    Links that join nothing new are left out.
+    Rows of one side are held against those of the other, or all against all if there is one
+    side. A similar row has one of any ``n - least + 1`` shingles of a row, ``least`` being the
+    fewest they can share; the row's rarest ones find all rows that can be similar. If there are
+    any, one row is held against the whole tile by counting, over its shingles, the rows that
+    have them. Links that join nothing new are left out.
     """
 
-    def links(ids: np.ndarray, comp: np.ndarray, major: np.ndarray, items: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def links(ids: np.ndarray, comp: np.ndarray, major: np.ndarray, side: np.ndarray, items: list[bytes]) -> Iterator[pa.RecordBatch]:
         sets = [_numbers(x) for x in items]
         sizes = np.array([len(x) for x in sets])
         flat = np.concatenate(sets)
@@ -247,6 +251,9 @@ def _dense(percent: int):
         owner = np.repeat(np.arange(len(sets)), sizes)[order]
         values, begin = np.unique(flat[order], return_index=True)
         bounds = np.append(begin, len(flat))
+        spread = np.diff(bounds)
+        least = -(-percent * sizes // 100)
+        other = side == side.max()
         above: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -255,11 +262,15 @@ def _dense(percent: int):
             return c
 
         a, b = [], []
-        for i in np.flatnonzero(comp != major).tolist():
+        for i in np.flatnonzero((comp != major) & (side == side.min())).tolist():
             at = np.searchsorted(values, sets[i])
+            rare = at[np.argsort(spread[at], kind="stable")[: sizes[i] - least[i] + 1]]
+            rows, _ = W.gather(owner, bounds, rare)
+            if not (other[rows] & (comp[rows] != comp[i])).any():
+                continue
             rows, _ = W.gather(owner, bounds, at)
             both = np.bincount(rows, minlength=len(sets))
-            for j in np.flatnonzero(_similar(both, sizes[i], sizes, percent) & (comp != comp[i])).tolist():
+            for j in np.flatnonzero(_similar(both, sizes[i], sizes, percent) & other & (comp != comp[i])).tolist():
                 x, y = root(int(comp[i])), root(int(comp[j]))
                 if x != y:
                     above[x] = y
@@ -269,12 +280,12 @@ def _dense(percent: int):
             yield _pairs(np.array(a), np.array(b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _Rows(batches, ["region", "block"]):
-            both = np.stack([table["region"].to_numpy(), table["block"].to_numpy()])
+        for table in _Rows(batches, ["region", "tile"]):
+            both = np.stack([table["region"].to_numpy(), table["tile"].to_numpy()])
             begin = np.flatnonzero(np.append(True, (both[:, 1:] != both[:, :-1]).any(0)))
             for x, y in zip(begin.tolist(), [*begin[1:].tolist(), both.shape[1]], strict=True):
                 part = table.slice(x, y - x)
-                yield from links(part["id"].to_numpy(), part["component"].to_numpy(), part["major"].to_numpy(), part["items"].to_pylist())
+                yield from links(part["id"].to_numpy(), part["component"].to_numpy(), part["major"].to_numpy(), part["side"].to_numpy(), part["items"].to_pylist())
 
     return run
 
@@ -298,6 +309,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
+def _tiles(placed: DataFrame) -> DataFrame:
+    """Rows (region, id, component) of mixed regions with each ``tile`` they go to and their ``side`` there.
+
+    Any two rows of different components meet in one tile of their region, on different sides or in
+    a tile that has one side only. A region of up to ``BLOCK`` rows is one tile. In a larger one, rows of the
+    largest component and the others have blocks of their own, and no tile is for two blocks of the former.
+    """
+    counts = placed.groupBy("region", "component").agg(F.count("id").alias("n"))
+    mixed = counts.groupBy("region").agg(F.count("n").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("size")).filter("parts > 1")
+    half = max(1, BLOCK // 2)
+    minor_blocks, major_blocks = (F.ceil(n / half).cast("long") for n in (F.col("size") - F.col("most"), F.col("most")))
+    rows = placed.join(mixed.select("region", "major", "most", "size"), "region").withColumn("minor", F.col("component") != F.col("major"))
+    rows = rows.withColumn("minors", minor_blocks).withColumn("blocks", F.col("minors") + major_blocks)
+    turn = F.xxhash64("id")
+    rows = rows.withColumn("block", F.when(F.col("minor"), F.pmod(turn, F.col("minors"))).otherwise(F.col("minors") + F.pmod(turn, F.col("blocks") - F.col("minors"))))
+    met = F.sequence(F.lit(0).cast("long"), F.when(F.col("minor"), F.col("blocks")).otherwise(F.col("minors")) - 1)
+
+    def place(other):
+        tile = F.least("block", other) * F.col("blocks") + F.greatest("block", other)
+        return F.struct(tile.alias("tile"), (F.col("block") > other).cast("int").alias("side"))
+
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("tile"), F.lit(0).alias("side")))
+    where = F.when(F.col("size") <= max(BLOCK, DENSE), whole).otherwise(F.transform(met, place))
+    return rows.select("region", "size", "id", "component", "major", F.explode(where).alias("place")).select("region", "size", "id", "component", "major", "place.tile", "place.side")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = SIMILAR) -> DataFrame:
     """One row per input row: the id, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -333,16 +370,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     own = F.coalesce("component", "id").alias("component")
     placed = members.join(active, "id").join(grown, "id", "left").select("region", "id", own)
-    counts = placed.groupBy("region", "component").agg(F.count("id").alias("n"))
-    mixed = counts.groupBy("region").agg(F.count("n").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("major"), F.sum("n").alias("size")).filter("parts > 1")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    # The rows outside a region's largest component go to each of its blocks.
-    where = F.when(F.col("component") == F.col("major"), F.array(mine)).otherwise(F.sequence(F.lit(0), blocks - 1))
-    spread = placed.join(mixed.select("region", "major", "size"), "region").select("region", "size", "id", "component", "major", F.explode(where).alias("block"))
-    spread = stored(spread, "mixed")
-    few = spread.filter(F.col("size") <= DENSE).join(nodes, "id").repartition(parts, "region", "block").sortWithinPartitions("region", "block")
-    many = spread.filter(F.col("size") > DENSE).join(sets, "id").repartition(parts, "region", "block").sortWithinPartitions("region", "block")
+    spread = stored(_tiles(placed), "mixed")
+    few = spread.filter(F.col("size") <= DENSE).join(nodes, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
+    many = spread.filter(F.col("size") > DENSE).join(sets, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
     second = _confirmed(few.mapInArrow(_across, "a long, b long").distinct(), sets, percent)
     third = stored(many.mapInArrow(_dense(percent), "a long, b long"), "links")
     final = components(first.unionByName(second).unionByName(third))
