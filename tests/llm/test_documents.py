@@ -176,6 +176,13 @@ def test_documents_with_a_common_passage(spark, monkeypatch):
     assert found == expected and len(set(expected.values())) == 120
 
 
+def test_a_pair_that_shares_one_region_is_linked(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "TREES", 1)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[:-1], f"x{i}"])) for i in (1, 2)] + [(3, "quite another text of words")]
+    assert {r.doc_id: r.component_id for r in near_dedup.near_groups(frame(spark, rows), shingle=4).collect()} == {1: 1, 2: 1, 3: 3}
+
+
 def test_near_groups_of_odd_ids(spark):
     rows = [(None, "a b c d e"), (7, "a b c d e"), (7, "x y z u v"), (9, "x y z u v")]
     found = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in near_dedup.near_groups(frame(spark, rows)).collect())

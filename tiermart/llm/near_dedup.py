@@ -355,21 +355,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = nodes.withColumn("tree", tree).select(F.xxhash64("tree", prefix).alias("region"), "tree", "id")
     shared = entries.groupBy("region").agg(F.count("id").alias("size")).filter("size > 1")
     members = stored(entries.join(shared, "region").select("region", "tree", "id", "size"), "members")
-    # A class with a similar one shares regions in about ten trees, hardly ever in just one.
-    active = members.groupBy("id").agg(F.count("region").alias("trees")).filter("trees > 1").select("id")
+    active = members.select("id").distinct()
     sets = stored(rows.join(active, "id", "left_semi").mapInArrow(_packed_sets(shingle), "id long, items binary"), "sets")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     turn = F.col("tree") * 2 * DEPTH + 2 * DEPTH
     label = F.concat(F.substring("sign", turn + 1, F.lit(2 * HASHES)), F.substring("sign", F.lit(1), turn))
-    signed = members.join(active, "id").join(nodes, "id").withColumn("label", F.substring(label, 1, 24))
+    signed = members.join(nodes, "id").withColumn("label", F.substring(label, 1, 24))
     order = ["region", "label", "id"]
     lines = signed.select("region", "label", "id", "sign").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     first = _confirmed(lines.mapInArrow(_neighbours, "a long, b long").distinct(), sets, percent)
     grown = components(first)
 
     own = F.coalesce("component", "id").alias("component")
-    placed = members.join(active, "id").join(grown, "id", "left").select("region", "id", own)
+    placed = members.join(grown, "id", "left").select("region", "id", own)
     spread = stored(_tiles(placed), "mixed")
     few = spread.filter(F.col("size") <= DENSE).join(nodes, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
     many = spread.filter(F.col("size") > DENSE).join(sets, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
