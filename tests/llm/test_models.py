@@ -48,6 +48,25 @@ def test_odd_texts_have_no_language(spark, languages):
     assert 0 <= found[5].score <= 1
 
 
+def test_gibberish_and_unseen_languages_are_rejected(spark, languages):
+    rng = random.Random(1)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    latin = "abcdefghijklmnopqrstuvwxyz"
+    odd = [
+        some(latin, 1500),
+        " ".join(some(latin, rng.randrange(2, 9)) for _ in range(250)),
+        some(latin + latin.upper() + "0123456789+/", 1200),
+        " ".join(some("абвгдежзиклмнопрстуфхцчшыьэюя", 6) for _ in range(200)),
+        "Suomen kieli kuuluu uralilaisiin kieliin ja sitä puhuu noin viisi miljoonaa ihmistä pääasiassa Suomessa, mutta myös muualla maailmassa.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+    ]
+    clean = ["the of and to the", "This is the house and it was there for the other.", "der die und das ist nicht", "les des est dans que pour", "los que de la en el"]
+    _, _, rejected = languages.predict([*odd, *clean])
+    assert rejected.tolist() == [True] * len(odd) + [False] * len(clean)
+    docs = table(spark, SF_DIR, "documents").select("doc_id", "text")
+    assert language.identify(docs, languages).filter("rejected").count() == 0
+
+
 def test_no_labelled_rows(spark):
     rows = spark.createDataFrame([(1, "a", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in language.identify(rows, language.fit(rows)).collect()] == ["und"]

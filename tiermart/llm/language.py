@@ -3,7 +3,7 @@
 A text becomes a TF-IDF vector over hashed character n-grams of its letters, scaled
 to length one. Each language has several centroids, found by spherical k-means
 over a bounded sample of labelled rows; the language of the closest centroid by cosine
-wins. A row whose best cosine is far below what training rows reach is rejected.
+wins. A row whose best cosine is far below what training rows of its length reach is rejected.
 """
 
 from __future__ import annotations
@@ -24,21 +24,23 @@ GRAMS = 3
 CENTROIDS = 4
 SAMPLE = 600  # labelled rows of each language at most, in the mean
 SAMPLE_ALL = 4800  # and of all languages together
-FAR = 0.5  # of the lowest usual similarity
-USUAL = 0.001  # share of training rows below the lowest usual similarity
+FAR = 0.7  # of the lowest usual similarity
+USUAL = 0.01  # share of training rows below the lowest usual similarity
+LONG = 128  # letters from which on the similarity of a text no longer depends much on its length
+GROWTH = 0.4  # power of the number of letters with which it grows before
 TEXTS = 512
 UNKNOWN = "und"
 
 
 def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-gram counts of each text, and which texts have a letter."""
+    """Hashed n-gram counts of each text, and the number of letters of each."""
     n = len(texts)
     lowered = [t.lower() for t in texts]
     sizes = np.fromiter(map(len, lowered), np.int64, n)
     codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32)
     row = np.repeat(np.arange(n), sizes)
     letter = W.classes()[codes] == W.LETTER
-    lettered = np.bincount(row[letter], minlength=n) > 0
+    letters = np.bincount(row[letter], minlength=n)
     # Everything between two words is one blank.
     codes = np.where(letter, codes, 32)
     keep = letter.copy()
@@ -54,7 +56,12 @@ def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = row[: len(gram)] == row[k - 1 :]
         place = row[: len(gram)] * DIM + (W.mixed(gram) % np.uint64(DIM)).astype(np.int64)
         found += np.bincount(place[whole], minlength=n * DIM).astype(np.float32)
-    return found.reshape(n, DIM), lettered
+    return found.reshape(n, DIM), letters
+
+
+def _reach(letters: np.ndarray) -> np.ndarray:
+    """Share of the similarity of long texts that texts of so many letters reach."""
+    return np.minimum(1, letters / LONG) ** GROWTH
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -71,18 +78,19 @@ class Model:
     centroids: np.ndarray
     owner: np.ndarray  # language of each centroid
     languages: list[str]
-    floor: np.ndarray  # lowest similarity that is not far, by centroid
+    floor: np.ndarray  # lowest similarity of a long text that is not far, by centroid
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine with the closest centroid, and whether that is too far, of each text."""
-        counts, lettered = _counts([t or "" for t in texts])
+        counts, letters = _counts([t or "" for t in texts])
+        lettered = letters > 0
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         near = _weighted(counts, self.idf) @ self.centroids.T
         best = near.argmax(1)
         score = np.where(lettered, np.clip(near[np.arange(len(best)), best], 0, 1), 0).astype(float)
         labels = [self.languages[self.owner[b]] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
-        return labels, score, ~lettered | (score < self.floor[best])
+        return labels, score, ~lettered | (score < self.floor[best] * _reach(letters))
 
 
 def _clusters(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
@@ -94,6 +102,18 @@ def _clusters(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return centres
 
 
+def _apart(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Each row's similarity with the closest centroid, its own one taken without the row."""
+    near = rows @ centres.T
+    own = near.argmax(1)
+    sums = np.stack([rows[own == i].sum(0) for i in range(len(centres))])
+    each = np.arange(len(rows))
+    inner = (rows * sums[own]).sum(1)
+    rest = np.sqrt(np.maximum((sums[own] ** 2).sum(1) - 2 * inner + 1, 0))
+    near[each, own] = np.where(rest > 1e-3, (inner - 1) / np.maximum(rest, 1e-3), 0)
+    return near.max(1).clip(0, 1)
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, seed: int = 5) -> Model:
     """Centroids from a bounded sample of the rows with a language and a text.
 
@@ -113,12 +133,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for batch in batches:
             for a in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(a, TEXTS)
-                counts, lettered = _counts(part.column("text").to_pylist())
+                counts, letters = _counts(part.column("text").to_pylist())
+                lettered = letters > 0
                 kept = part.filter(pa.array(lettered))
-                yield pa.RecordBatch.from_arrays([kept.column("lang"), pa.array([np.minimum(c, 60_000).astype(np.float16).tobytes() for c in counts[lettered]], pa.binary())], ["lang", "counts"])
+                yield pa.RecordBatch.from_arrays([kept.column("lang"), pa.array([np.minimum(c, 60_000).astype(np.float16).tobytes() for c in counts[lettered]], pa.binary()), pa.array(letters[lettered], pa.int64())], ["lang", "counts", "letters"])
 
     chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(scale)) < bar)
-    found = chosen.mapInArrow(vectors, "lang string, counts binary").toArrow().sort_by([("lang", "ascending"), ("counts", "ascending")])
+    found = chosen.mapInArrow(vectors, "lang string, counts binary, letters long").toArrow().sort_by([("lang", "ascending"), ("counts", "ascending")])
     names = found["lang"].to_pylist()
     languages = sorted(set(names))
     if not languages:
@@ -128,7 +149,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     rows_, rng = _weighted(counts, idf), np.random.default_rng(seed)
     label = np.array([languages.index(x) for x in names])
     parts = [_clusters(rows_[label == i], CENTROIDS, rng) for i in range(len(languages))]
-    floor = [np.full(len(p), FAR * np.quantile((rows_[label == i] @ p.T).max(1), USUAL)) for i, p in enumerate(parts)]
+    reach = _reach(found["letters"].to_numpy())
+    floor = [np.full(len(p), FAR * np.quantile(_apart(rows_[label == i], p) / reach[label == i], USUAL)) for i, p in enumerate(parts)]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     return Model(idf, np.concatenate(parts).astype(np.float32), owner, languages, np.concatenate(floor))
 
