@@ -138,6 +138,15 @@ def test_pages_without_a_model(spark):
     assert model.extract("<div><p>Some words in a row of words</p></div><nav>Menu</nav>") == "Some words in a row of words"
 
 
+def test_only_the_hidden_attribute_hides():
+    model = html.Model({}, {})
+    text = "Some words in a row of words"
+    for attributes in ('style="overflow:hidden"', "style='overflow: hidden'", 'title="a hidden gem"', "href=/hidden/x", 'data-id="menu" data-role="dialog"', 'class="hidden"', "aria-hidden=false"):
+        assert model.extract(f"<div {attributes}><p>{text}</p></div>") == text
+    for attributes in ("hidden", 'hidden=""', 'class="x" HIDDEN', 'hidden="until-found" id=a', 'title="a>b" hidden'):
+        assert model.extract(f"<div {attributes}><p>Not this</p></div><p>{text}</p>") == text
+
+
 def test_broken_pages_do_no_harm():
     model = html.Model({}, {})
     for page in ("<p", "<", "</", "<!--", "<script>", "</p></p>text more", "<a b='c", "&#x0;&bogus;", "<p>" * 3000 + "x"):

@@ -55,7 +55,7 @@ CLOSED_BY = {
 }
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
-_NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w-])(hidden)(?![\w-])""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
 @dataclass
@@ -73,14 +73,14 @@ class Part:
 def _hidden(name: str, attributes: str) -> bool:
     if name in NEVER:
         return True
-    for found in _NAMED.finditer(attributes) if attributes else ():
-        if found[5]:
+    for found in _ATTRIBUTE.finditer(attributes) if attributes else ():
+        key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
+        if key == "hidden":
             return True
-        value = (found[2] or found[3] or found[4] or "").lower()
-        if found[1].lower() == "role":
+        if key == "role":
             if value.strip() in NEVER_ROLES:
                 return True
-        elif not NEVER_NAMED.isdisjoint(re.split(r"[\s_-]+", value)):
+        elif key in ("class", "id") and not NEVER_NAMED.isdisjoint(re.split(r"[\s_-]+", value)):
             return True
     return False
 
