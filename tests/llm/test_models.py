@@ -147,6 +147,25 @@ def test_only_the_hidden_attribute_hides():
         assert model.extract(f"<div {attributes}><p>Not this</p></div><p>{text}</p>") == text
 
 
+def test_names_do_not_drop_the_article(spark):
+    text = "Some words in a row of words"
+    page = '<html class="menu-closed"><body class="{0}"><div id="{1}"><{2} class="post ad-free">' + f"<p>{text}</p>" + '<div class="ad">Buy</div></{2}></div><div class="{3}"><{2}><p>Nice</p></{2}></div></body></html>'
+    pages = [page.format(*x) for x in (("single no-sidebar", "x", "article", "comments"), ("has-sidebar menu", "widget", "article", "y"), ("comments-open", "x", "main", "comments"))]
+    model = html.fit(spark.createDataFrame(list(enumerate(pages)), "page_id long, html string"))
+    for m in (model, html.Model({}, {})):
+        assert all(text in m.extract(p) and "Buy" not in m.extract(p) for p in pages)
+        assert m.extract(pages[0]) == m.extract(pages[2]) == text
+        assert m.extract('<body><div class="has-sidebar"><p>' + text + "</p></div></body>") == text
+
+
+def test_parts_of_names_are_learned(spark):
+    text, foot = "Some words in a row of words", "All the rights are reserved by us and by others too"
+    page = f'<body><article><p>{text}</p></article><div class="site-footer"><p>{foot}</p></div></body>'
+    model = html.fit(spark.createDataFrame([(i, page) for i in range(20)], "page_id long, html string"))
+    assert model.words["body.footer/p"] < 0
+    assert model.extract(page) == text
+
+
 def test_broken_pages_do_no_harm():
     model = html.Model({}, {})
     for page in ("<p", "<", "</", "<!--", "<script>", "</p></p>text more", "<a b='c", "&#x0;&bogus;", "<p>" * 3000 + "x"):

@@ -2,7 +2,8 @@
 
 A page is a sequence of tags and text runs. Each has a score, the log odds of lying
 inside the article, learned by kind of element and the section it lies in; words inside
-articles score positive, tags and the words of menus negative. One linear scan finds the
+articles score positive, tags and the words of menus negative. Parts of names such as
+``site-footer`` make sections of their own, so that their scores are learned. One linear scan finds the
 contiguous stretch with the largest sum. Labelled pages are those whose markup says where
 the article is; they teach the scores for all pages. Within the stretch, elements
 that never hold article text are left out.
@@ -43,6 +44,7 @@ NEVER_NAMED = frozenset(
 )
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar".split())
 LABELS = ("article", "main")
+WHOLE = frozenset(["html", "body", *LABELS])  # names do not matter here
 CLOSED_BY = {
     "p": BLOCKS - frozenset("body html head title option".split()),
     "li": frozenset(["li"]),
@@ -70,25 +72,46 @@ class Part:
     never: bool
 
 
-def _hidden(name: str, attributes: str) -> bool:
+def _hidden(name: str, attributes: str) -> tuple[bool, bool, str]:
+    """Whether an element never holds article text by its kind or state, or by its whole names, and a telling part of a name."""
     if name in NEVER:
-        return True
+        return True, False, ""
+    named, part = False, ""
     for found in _ATTRIBUTE.finditer(attributes) if attributes else ():
         key, value = found[1].lower(), (found[2] or found[3] or found[4] or "").lower()
         if key == "hidden":
-            return True
+            return True, False, ""
         if key == "role":
             if value.strip() in NEVER_ROLES:
-                return True
-        elif key in ("class", "id") and not NEVER_NAMED.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
-    return False
+                return True, False, ""
+        elif key in ("class", "id") and name not in WHOLE:
+            named = named or not NEVER_NAMED.isdisjoint(value.split())
+            part = part or next((x for x in re.split(r"[\s_-]+", value) if x in NEVER_NAMED), "")
+    return False, named, part
 
 
 def parts(page: str) -> list[Part]:
-    """Tags and text runs of a page in order. Unclosed and misplaced tags do no harm."""
+    """Tags and text runs of a page in order. Unclosed and misplaced tags do no harm.
+
+    Names do not drop an element around the article of most words (without any, the ``main``).
+    """
+    out, labelled = _parts(page, frozenset())
+    for label in LABELS:
+        if labelled[label]:
+            around = max(labelled[label], key=lambda x: x[1])[0]
+            return _parts(page, around)[0] if around else out
+    return out
+
+
+def _parts(page: str, spared: frozenset[int]) -> tuple[list[Part], dict[str, list[list]]]:
+    """Parts of a page, and of each labelled element the elements around it that are dropped by name and its words.
+
+    Elements are numbered by the place of their tag; names do not drop those in ``spared``.
+    """
     out: list[Part] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, never, labelled
+    stack: list[tuple] = []  # name, never, labelled, dropped by name around, part of a name, entry in labelled
+    labelled: dict[str, list[list]] = {label: [] for label in LABELS}
+    outside = ("", False, False, frozenset(), "", None)
     block = 0
     at = 0
 
@@ -98,12 +121,21 @@ def parts(page: str) -> list[Part]:
             run = html.unescape(page[at:until])
             words = len(run.split())
             holder = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-            top = stack[-1] if stack else ("", False, False)
+            top = stack[-1] if stack else outside
+            if top[2]:
+                for s in stack:
+                    if s[5]:
+                        s[5][1] += words
             out.append(Part(f"{section()}/{holder}", words, run, block, top[2], top[1]))
         at = until
 
     def section() -> str:
-        return next((s[0] for s in reversed(stack) if s[0] in SECTIONS), "")
+        part = ""
+        for s in reversed(stack):
+            part = part or s[4]
+            if s[0] in SECTIONS:
+                return f"{s[0]}.{part}" if part else s[0]
+        return f".{part}" if part else ""
 
     scan = 0
     while found := _TAG.search(page, scan):
@@ -131,10 +163,18 @@ def parts(page: str) -> list[Part]:
                     break
                 if stack[i][0] in BLOCKS and stack[i][0] not in CLOSED_BY:
                     break
-        above = stack[-1] if stack else ("", False, False)
+        above = stack[-1] if stack else outside
         if not closing and name not in VOID:
-            stack.append((name, above[1] or _hidden(name, found[3]), above[2] or name in LABELS))
-        now = stack[-1] if stack else ("", False, False)
+            gone, named, part = _hidden(name, found[3])
+            named = named and found.start() not in spared
+            around = above[3] | {found.start()} if named else above[3]
+            entry = None
+            # An element that stays dropped for another reason holds no article.
+            if name in LABELS and not gone and (not above[1] or around):
+                entry = [around, 0]
+                labelled[name].append(entry)
+            stack.append((name, above[1] or gone or named, above[2] or name in LABELS, around, part, entry))
+        now = stack[-1] if stack else outside
         out.append(Part(f"{section()}/{'end ' if closing else ''}{name}", 0, "", block, now[2], now[1]))
         if name in RAW and not closing:
             end = re.compile(rf"</{re.escape(name)}[\s>/]", re.I).search(page, at)
@@ -143,13 +183,23 @@ def parts(page: str) -> list[Part]:
                 text(stop)
             scan = at = stop
     text(len(page))
-    return out
+    return out, labelled
 
 
 def _odds(inside: float, outside: float, all_inside: float, all_outside: float) -> float:
     return math.log((inside + 1) / (all_inside + 2)) - math.log((outside + 1) / (all_outside + 2))
 
 
+def _kinds(kind: str, alone: bool = False) -> Iterator[str]:
+    """A kind and what stands for it if it was not learned: maybe its section alone, then both without the part of a name."""
+    section, slash, holder = kind.partition("/")
+    plain = section.partition(".")[0]
+    for s in (section, plain) if plain != section else (section,):
+        yield s + slash + holder
+        if alone:
+            yield s
+
+
 @dataclass
 class Model:
     """Scores of tags and of words by their section of the page and the element; of words also by section alone."""
@@ -161,13 +211,12 @@ class Model:
         if part.text and not part.words:
             return 0.0
         if not part.words:
-            return -TAG_COST if part.never else self.tags.get(part.kind, -TAG_COST)
+            if part.never:
+                return -TAG_COST
+            return next((self.tags[k] for k in _kinds(part.kind) if k in self.tags), -TAG_COST)
         if part.never:
             return -part.words * WORD
-        own = self.words.get(part.kind)
-        if own is None:
-            own = self.words.get(part.kind.partition("/")[0], WORD)
-        return part.words * own
+        return part.words * next((self.words[k] for k in _kinds(part.kind, alone=True) if k in self.words), WORD)
 
     def extract(self, page: str | None) -> str:
         """The main text: blocks in page order joined by line feeds; empty without one."""
