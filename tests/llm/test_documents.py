@@ -78,6 +78,12 @@ def test_copies_are_dropped_with_all_columns(spark):
     assert sorted(r.doc_id for r in found.collect()) == [2, 3]
 
 
+def test_copies_of_repeated_rows_and_ids_are_dropped(spark):
+    rows = [(5, "A"), (5, "B"), (9, "B"), (7, "C"), (7, "C"), (None, "D"), (None, "D"), (None, "E"), (1, "E"), (2, None), (3, "")]
+    found = exact_dedup.drop_copies(frame(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in found) == [("1", "E"), ("3", ""), ("5", "A"), ("7", "C"), ("9", "B"), ("None", "D")]
+
+
 # Near dedup
 
 

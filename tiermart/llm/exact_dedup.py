@@ -105,6 +105,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text stays in another row; ids must be unique."""
-    kept = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept_id")), "left_semi")
+    """``docs`` with one row of each text; ids may repeat.
+
+    Rows that repeat an id and a text are reduced to one in each task before they move, and
+    stay where the join needs them.
+    """
+
+    def key(sha: Column) -> Column:
+        return F.concat(sha, F.when(F.col(id_col).isNull(), "").otherwise(F.concat(F.lit("="), F.col(id_col).cast("string")))).alias("_key")
+
+    kept = exact_groups(docs, id_col, text_col).filter("kept").select(key(F.col("text_sha256")))
+    sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+    single = docs.select("*", key(sha)).dropDuplicates(["_key"])
+    return single.join(kept, "_key", "left_semi").select(*docs.columns)
