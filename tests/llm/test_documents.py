@@ -242,6 +242,14 @@ def test_packing_is_gapless_and_whole(spark):
     assert len(sequences) <= 1.1 * -(-total // 128) + 1
 
 
+def test_merging_goes_on_while_few_bins_join(spark):
+    rows = [(i, 96 if i < 990 else 50) for i in range(1010)]
+    items = spark.createDataFrame(rows, "key long, length long")
+    found = packing.assign(items, "key", "length", capacity=100, slack=3, group=40).collect()
+    assert len(found) == len(rows)
+    assert len({r.sequence_id for r in found}) == 990 + 10
+
+
 def test_packing_of_no_documents(spark):
     assert packing.pack(frame(spark, []), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 

@@ -211,11 +211,13 @@ def assign(items: DataFrame, key_col: str, length_col: str, capacity: int = CAPA
                 "bin", F.coalesce("next", "to").alias("to"), (F.col("by") + F.coalesce("more", F.lit(0))).alias("by")
             )
         moves = stored(moves, "pack")
-        under = merged.filter("offset = 0").select("bin", "fill").filter(F.col("fill") < capacity - slack)
-        now = under.count()
-        if parts == 1 or now > 0.98 * left:
+        bins_now = merged.filter("offset = 0").select("bin", "fill")
+        now, least = bins_now.agg(F.count("bin"), F.min("fill")).first()
+        if parts == 1 or now == left:
             break
-        left = now
+        # Bins that not even the emptiest one fits into are done too.
+        under = bins_now.filter((F.col("fill") < capacity - slack) & (F.col("fill") <= capacity - least))
+        left = under.count()
     if moves is None:
         return placed.select(F.col("key").alias(key_col), F.col("bin").alias("sequence_id"), "offset")
     return placed.join(moves, "bin", "left").select(
