@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.llm import byte_bpe, chat, exact_dedup, html, language, mtree, near_dedup, packing, sharding, toxicity
+from tiermart.llm import byte_bpe, chat, exact_dedup, fingerprints, hard_negatives, html, language, mtree, near_dedup, packing, resampling, sharding, toxicity
 from tiermart.llm.common import fold, table
 
 
@@ -68,6 +68,22 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.search(pages, shards, top, vectors.filter("vec_id % 100 = 0"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh row move on by one before the search."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.whole_vectors(rows.select("vec_id", "embedding", moved.alias("label")))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -79,4 +95,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_top_k": op10_top_k,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_resampling": op12_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
