@@ -56,7 +56,11 @@ CLOSED_BY = {
     "option": frozenset(["option"]),
 }
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
+#: Open elements that a new element of a name closes.
+CLOSES = {name: [k for k, by in CLOSED_BY.items() if name in by] for name in frozenset().union(*CLOSED_BY.values())}
+
+_SPECIAL = re.compile("[>\"']")
+_NAME_END = re.compile(r"[\s/>]")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -90,6 +94,102 @@ def _hidden(name: str, attributes: str) -> tuple[bool, bool, str]:
     return False, named, part
 
 
+class _Tags:
+    """Finds the tags of a page from left to right.
+
+    Every place is looked at a bounded number of times, however many tags have no end: what was found
+    behind a quote, and that nothing follows, is remembered.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[int, int] = {}  # of a tag in which a quote begins here
+        self.none = {'"': len(page), "'": len(page)}  # from here on no such quote follows
+        self.special = (0, -1)  # from the first place to the second there is no special character
+        self.name_end = (0, -1)
+
+    def _next(self, pattern: re.Pattern, known: tuple[int, int], at: int) -> tuple[int, int]:
+        if known[0] <= at <= known[1]:
+            return known
+        found = pattern.search(self.page, at)
+        return at, found.start() if found else len(self.page)
+
+    def _end(self, at: int) -> int:
+        """The place of the mark that ends a tag whose attributes begin at ``at``; -1 without one."""
+        page, seen = self.page, []
+        self.special = self._next(_SPECIAL, self.special, at)
+        at = self.special[1]
+        while True:
+            if at in self.ends:
+                end = self.ends[at]
+                break
+            if at >= len(page) or page[at] == ">":
+                end = at if at < len(page) else -1
+                break
+            seen.append(at)
+            quote = page[at]
+            close = page.find(quote, at + 1) if at < self.none[quote] else -1
+            if close < 0:
+                self.none[quote] = min(self.none[quote], at)
+                end = -1
+                break
+            at = self._next(_SPECIAL, (0, -1), close + 1)[1]
+        for place in seen:
+            self.ends[place] = end
+        return end
+
+    def find(self, scan: int) -> tuple[int, int, str, bool, str] | None:
+        """Start, end, name, whether it closes, and attributes of the next tag; comments and declarations have no name."""
+        page = self.page
+        while (begin := page.find("<", scan)) >= 0:
+            scan = begin + 1
+            if page.startswith("<!--", begin):
+                stop = page.find("-->", begin + 4)
+                return begin, stop + 3 if stop >= 0 else len(page), "", False, ""
+            closing = page.startswith("/", begin + 1)
+            at = begin + 1 + closing
+            if page[at : at + 1].isascii() and page[at : at + 1].isalpha():
+                self.name_end = self._next(_NAME_END, self.name_end, at)
+                stop = self.name_end[1]
+                end = self._end(stop)
+                if end >= 0:
+                    return begin, end + 1, page[at:stop].lower(), closing, page[stop:end]
+            if page[begin + 1 : begin + 2] in ("!", "?", "/"):
+                stop = page.find(">", begin + 2)
+                return begin, stop + 1 if stop >= 0 else len(page), "", False, ""
+        return None
+
+
+@dataclass(slots=True)
+class _Article:
+    """An element that the markup labels: the places of elements around it that names drop, linked, its words, and the next one around it."""
+
+    around: tuple | None
+    words: int
+    outer: _Article | None
+
+
+@dataclass(slots=True)
+class _Open:
+    """An open element with what its place in the page means for the text in it."""
+
+    name: str
+    never: bool
+    labelled: bool
+    around: tuple | None
+    section: str
+    part: str
+    holder: str
+    article: _Article | None
+    barrier: int  # number of the innermost open element that others do not close
+
+    def kind(self) -> str:
+        return f"{self.section}.{self.part}" if self.part else self.section
+
+
+_OUTSIDE = _Open("", False, False, None, "", "", "", None, -1)
+
+
 def parts(page: str) -> list[Part]:
     """Tags and text runs of a page in order. Unclosed and misplaced tags do no harm.
 
@@ -98,20 +198,27 @@ def parts(page: str) -> list[Part]:
     out, labelled = _parts(page, frozenset())
     for label in LABELS:
         if labelled[label]:
-            around = max(labelled[label], key=lambda x: x[1])[0]
-            return _parts(page, around)[0] if around else out
+            around, places = max(labelled[label], key=lambda x: x.words).around, set()
+            while around:
+                places.add(around[0])
+                around = around[1]
+            return _parts(page, frozenset(places))[0] if places else out
     return out
 
 
-def _parts(page: str, spared: frozenset[int]) -> tuple[list[Part], dict[str, list[list]]]:
-    """Parts of a page, and of each labelled element the elements around it that are dropped by name and its words.
+def _parts(page: str, spared: frozenset[int]) -> tuple[list[Part], dict[str, list[_Article]]]:
+    """Parts of a page, and its labelled elements by name.
 
-    Elements are numbered by the place of their tag; names do not drop those in ``spared``.
+    Elements are numbered by the place of their tag; names do not drop those in ``spared``. The time is linear in
+    the page: an element knows its section and holder, and open elements are found by name.
     """
     out: list[Part] = []
-    stack: list[tuple] = []  # name, never, labelled, dropped by name around, part of a name, entry in labelled
-    labelled: dict[str, list[list]] = {label: [] for label in LABELS}
-    outside = ("", False, False, frozenset(), "", None)
+    stack: list[_Open] = []
+    places: dict[str, list[int]] = {}  # of the open elements of a name
+    labelled: dict[str, list[_Article]] = {label: [] for label in LABELS}
+    articles: list[_Article] = []
+    tags = _Tags(page)
+    top = _OUTSIDE
     block = 0
     at = 0
 
@@ -120,62 +227,55 @@ def _parts(page: str, spared: frozenset[int]) -> tuple[list[Part], dict[str, lis
         if until > at:
             run = html.unescape(page[at:until])
             words = len(run.split())
-            holder = next((s[0] for s in reversed(stack) if s[0] in BLOCKS), "")
-            top = stack[-1] if stack else outside
-            if top[2]:
-                for s in stack:
-                    if s[5]:
-                        s[5][1] += words
-            out.append(Part(f"{section()}/{holder}", words, run, block, top[2], top[1]))
+            if top.article:
+                top.article.words += words
+            out.append(Part(f"{top.kind()}/{top.holder}", words, run, block, top.labelled, top.never))
         at = until
 
-    def section() -> str:
-        part = ""
-        for s in reversed(stack):
-            part = part or s[4]
-            if s[0] in SECTIONS:
-                return f"{s[0]}.{part}" if part else s[0]
-        return f".{part}" if part else ""
+    def close(depth: int) -> None:
+        nonlocal top
+        while len(stack) > depth:
+            places[stack.pop().name].pop()
+        top = stack[-1] if stack else _OUTSIDE
 
     scan = 0
-    while found := _TAG.search(page, scan):
-        scan = found.end()
-        if not found[2]:  # comments and declarations
-            text(found.start())
-            at = found.end()
+    while found := tags.find(scan):
+        start, scan, name, closing, attributes = found
+        text(start)
+        at = scan
+        if not name:
             continue
-        name, closing = found[2].lower(), bool(found[1])
-        text(found.start())
-        at = found.end()
         block += name in BLOCKS
         if name == "br":
-            out.append(Part("br", 0, "\n", block, bool(stack and stack[-1][2]), bool(stack and stack[-1][1])))
+            out.append(Part("br", 0, "\n", block, top.labelled, top.never))
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            if places.get(name):
+                close(places[name][-1])
         else:
-            for i in range(len(stack) - 1, -1, -1):
-                if name in CLOSED_BY.get(stack[i][0], ()):
-                    del stack[i:]
-                    break
-                if stack[i][0] in BLOCKS and stack[i][0] not in CLOSED_BY:
-                    break
-        above = stack[-1] if stack else outside
+            # The innermost one that this element closes, unless another block lies between.
+            closed = max((places[k][-1] for k in CLOSES.get(name, ()) if places.get(k)), default=-1)
+            if closed > top.barrier:
+                close(closed)
         if not closing and name not in VOID:
-            gone, named, part = _hidden(name, found[3])
-            named = named and found.start() not in spared
-            around = above[3] | {found.start()} if named else above[3]
-            entry = None
+            gone, named, part = _hidden(name, attributes)
+            named = named and start not in spared
+            around = (start, top.around) if named else top.around
+            article = top.article
             # An element that stays dropped for another reason holds no article.
-            if name in LABELS and not gone and (not above[1] or around):
-                entry = [around, 0]
-                labelled[name].append(entry)
-            stack.append((name, above[1] or gone or named, above[2] or name in LABELS, around, part, entry))
-        now = stack[-1] if stack else outside
-        out.append(Part(f"{section()}/{'end ' if closing else ''}{name}", 0, "", block, now[2], now[1]))
+            if name in LABELS and not gone and (not top.never or around):
+                article = _Article(around, 0, top.article)
+                articles.append(article)
+                labelled[name].append(article)
+            section = name in SECTIONS
+            barrier = len(stack) if name in BLOCKS and name not in CLOSED_BY else top.barrier
+            places.setdefault(name, []).append(len(stack))
+            top = _Open(
+                name, top.never or gone or named, top.labelled or name in LABELS, around, name if section else top.section,
+                part if section else part or top.part, name if name in BLOCKS else top.holder, article, barrier,
+            )
+            stack.append(top)
+        out.append(Part(f"{top.kind()}/{'end ' if closing else ''}{name}", 0, "", block, top.labelled, top.never))
         if name in RAW and not closing:
             end = re.compile(rf"</{re.escape(name)}[\s>/]", re.I).search(page, at)
             stop = end.start() if end else len(page)
@@ -183,6 +283,9 @@ def _parts(page: str, spared: frozenset[int]) -> tuple[list[Part], dict[str, lis
                 text(stop)
             scan = at = stop
     text(len(page))
+    for article in reversed(articles):
+        if article.outer:
+            article.outer.words += article.words
     return out, labelled
 
 
