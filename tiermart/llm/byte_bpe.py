@@ -1,23 +1,24 @@
 """Byte-level BPE encoding and decoding by a rank file.
 
-Every task cuts its documents into blocks of bounded size. A block lists its distinct
-words; over the whole corpus every distinct word is then encoded once, by Spark's
-higher-order functions: a fold merges the adjacent pieces of lowest rank until no pair
-has a rank. Ranks are a literal: an array of small maps, picked by the checksum of
-a piece, so that a look-up reads a few keys. Decoding concatenates the pieces' bytes.
-The encoded words go back to the blocks they came from, where texts are put together.
-What moves between tasks, texts and lists of words, is packed and compressed by block.
+Every task cuts its documents once, into blocks of bounded size. Texts are cut into words and
+words wherever no token spans two bytes, since no merge can cross such a place; so even very
+long words mostly fall into short ones, and the fold below serves all of them. A block keeps its distinct
+words and the numbers of the words in its texts.
+
+Blocks form ranges of about ``RANGE``, and the words of a range are dealt to ``RANGE`` shards, so that
+a group holds about the words of one block, and the rows moved grow with the blocks. In a group every distinct word is encoded once, by
+Spark's higher-order functions: a fold over the bytes' ids merges the adjacent pair of lowest
+rank until none is left. Ranks are a literal: buckets of pairs of ids with the id that they merge
+to. Decoding concatenates the ids' bytes. The encoded words go back to their blocks, where texts are put together.
 """
 
 from __future__ import annotations
 
 import base64
-import ctypes
 import hashlib
 import json
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm import words as W
+from tiermart.llm.common import give_back, stored
 
-BUCKETS = 16384
-BLOCK_BYTES = 16 << 20
-ROWS = 1000  # of a block at a time
-LONG = 256  # bytes; longer words are merged with a heap, since the fold is quadratic
+BUCKETS = 32768
+BLOCK_BYTES = 32 << 20
+RANGE = 64
+WIDTH = 1 << 17  # more than any id
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,21 +41,71 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
+def pairs_of(ranks: dict[bytes, int]) -> Iterator[tuple[int, int, int]]:
+    """Ids that may stand side by side and merge: the two and the id of both."""
+    for piece, rank in ranks.items():
+        for cut in range(1, len(piece)):
+            left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if left is not None and right is not None:
+                yield left, right, rank
+
+
+def apart(ranks: dict[bytes, int]) -> np.ndarray:
+    """For every two bytes (first * 256 + second) whether no token has them side by side."""
+    found = np.ones(1 << 16, bool)
+    for piece in ranks:
+        both = np.frombuffer(piece, np.uint8).astype(np.int64)
+        found[both[:-1] << 8 | both[1:]] = False
+    return found
+
+
+def _unreached(ranks: dict[bytes, int], merged: dict[tuple[int, int], int]) -> dict[str, int]:
+    """Tokens that merging does not arrive at; a word that is one of them is that token all the same."""
+    found = {}
+    for piece, rank in ranks.items():
+        ids = [ranks[bytes([b])] for b in piece]
+        while len(ids) > 1:
+            best = min((merged.get(pair, WIDTH), k) for k, pair in enumerate(zip(ids, ids[1:], strict=False)))
+            if best[0] == WIDTH:
+                found[piece.hex().upper()] = rank
+                break
+            ids[best[1] : best[1] + 2] = [best[0]]
+    return found
+
+
 class Vocabulary:
-    """Literal look-ups: the rank of a piece (null if none) and the bytes of an id."""
+    """Literal look-ups: the id of a byte, the id that two ids merge to (null if none) and the bytes of an id.
+
+    All 256 bytes have to be tokens.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
-        maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-        for piece, rank in ranks.items():
-            maps[zlib.crc32(piece) % BUCKETS][piece.hex().upper()] = rank
-        pieces = [""] * (max(ranks.values(), default=-1) + 1)
+        if any(bytes([b]) not in ranks for b in range(256)):
+            raise ValueError("a rank file with all single bytes is needed")
+        if max(ranks.values()) >= WIDTH:
+            raise ValueError(f"ids below {WIDTH} are needed")
+        buckets: list[tuple[list[int], list[int]]] = [([], []) for _ in range(BUCKETS)]
+        merged = {}
+        for left, right, rank in pairs_of(ranks):
+            keys, ids = buckets[(left * 31 + right) % BUCKETS]
+            keys.append(left * WIDTH + right)
+            ids.append(rank)
+            merged[left, right] = rank
+        pieces = [""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             pieces[rank] = piece.hex().upper()
-        self._maps = F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
+        self._pairs = F.from_json(F.lit(json.dumps([{"k": k, "v": v} for k, v in buckets])), "array<struct<k:array<bigint>,v:array<int>>>")
         self._pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+        self._bytes = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<int>")
+        self.unreached = _unreached(ranks, merged)
 
-    def rank(self, piece: Column) -> Column:
-        return F.try_element_at(F.get(self._maps, (F.crc32(piece) % BUCKETS).cast("int")), F.hex(piece))
+    def byte(self, value: Column) -> Column:
+        return F.get(self._bytes, value)
+
+    def merged(self, left: Column, right: Column) -> Column:
+        bucket = F.get(self._pairs, (left * 31 + right) % BUCKETS)
+        key = left.cast("long") * WIDTH + right
+        return _let(bucket, lambda b: F.get(b.v, (F.array_position(b.k, key) - 1).cast("int")))
 
     def decode(self, ids: Column) -> Column:
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._pieces, i)), ""))
@@ -64,45 +116,39 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
-    """Ids of a word given as bytes, null for no bytes."""
-    rank = vocabulary.rank
-    n = F.length(word)
-    singles = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: rank(F.substring(word, i, F.lit(2)))))
-    start = F.struct(singles.alias("p"), F.coalesce(pairs, F.array().cast("array<int>")).alias("r"))
+def encode_word(word: Column, data: Column, vocabulary: Vocabulary) -> Column:
+    """Ids of a word of one or more bytes, given as binary and as an array of its bytes."""
+    merged = vocabulary.merged
+    none = F.array().cast("array<int>")
+
+    def paired(p: Column) -> Column:
+        n = F.size(p)
+        r = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: merged(F.get(p, i - 1), F.get(p, i)))).otherwise(none)
+        return F.struct(p.alias("p"), r.alias("r"))
 
     def merge(state: Column, _: Column) -> Column:
         p, r = state.p, state.r
         size = F.size(p)
 
-        def at(k: Column) -> Column:
-            joined = F.concat(F.get(p, k - 1), F.get(p, k))
-            left = F.when(k > 1, F.array(rank(F.concat(F.get(p, k - 2), joined))))
-            right = F.when(k + 1 < size, F.array(rank(F.concat(joined, F.get(p, k + 1)))))
-            none = F.array().cast("array<int>")
+        def at(best: Column) -> Column:
+            # The leftmost pair of lowest rank; places count from 1.
+            k = F.array_position(r, best).cast("int")
+            left = F.when(k > 1, F.array(merged(F.get(p, k - 2), best))).otherwise(none)
+            right = F.when(k + 1 < size, F.array(merged(best, F.get(p, k + 1)))).otherwise(none)
             return F.struct(
-                F.concat(F.slice(p, F.lit(1), k - 1), F.array(joined), F.slice(p, k + 2, size)).alias("p"),
-                F.concat(
-                    F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), F.coalesce(left, none), F.coalesce(right, none), F.slice(r, k + 2, size)
-                ).alias("r"),
+                F.concat(F.slice(p, F.lit(1), k - 1), F.array(best), F.slice(p, k + 2, size)).alias("p"),
+                F.concat(F.slice(r, F.lit(1), F.greatest(k - 2, F.lit(0))), left, right, F.slice(r, k + 2, size)).alias("r"),
             )
 
-        # The leftmost pair of lowest rank; positions count from 1.
-        place = F.coalesce(F.array_position(r, F.array_min(r)), F.lit(0)).cast("int")
-        return _let(place, lambda k: F.when(k > 0, at(k)).otherwise(state))
+        return _let(F.array_min(r), lambda best: F.when(best.isNotNull(), at(best)).otherwise(state))
 
-    merges = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(merges, start, merge, lambda s: F.transform(s.p, rank))
-    return _let(rank(word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).when(n > 0, folded))
-
-
-def give_back() -> None:
-    """Freed memory goes back to the machine, since Python workers live on between tasks."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    start = _let(F.transform(data, vocabulary.byte), paired)
+    steps = F.when(F.size(data) > 1, F.sequence(F.lit(2), F.size(data))).otherwise(none)
+    folded = F.aggregate(steps, start, merge, lambda s: s.p)
+    if vocabulary.unreached:
+        known = F.from_json(F.lit(json.dumps(vocabulary.unreached)), "map<string,int>")
+        folded = _let(F.try_element_at(known, F.hex(word)), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded))
+    return folded
 
 
 def _pack(table: pa.Table) -> bytes:
@@ -116,85 +162,111 @@ def _unpack(packed: bytes) -> pa.Table:
     return pa.ipc.open_stream(packed).read_all()
 
 
-def _blocks(block_bytes: int):
-    """Rows (id, text) to rows (block, packed rows); a block holds about ``block_bytes`` of text."""
+class _Block:
+    """Texts of one block: their words as numbers, common words having small ones."""
+
+    def __init__(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids: list[pa.Array] = []
+        self.sizes: list[np.ndarray] = []
+        self.numbers: list[np.ndarray] = []
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(self, ids: pa.Array, texts: list[str], between: np.ndarray) -> None:
+        cut = W.cut(texts, between)
+        index = self.index
+        known = np.array([index.setdefault(w, len(index)) for w in cut.unique], np.int32)
+        self.ids.append(ids)
+        self.sizes.append(np.diff(cut.offsets))
+        self.numbers.append(known[cut.inverse])
+
+    def row(self, block: int) -> pa.RecordBatch:
+        numbers = np.concatenate(self.numbers)
+        order = np.argsort(-np.bincount(numbers, minlength=len(self.index)), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        words = np.array(list(self.index), object)[order].tolist()
+        texts = pa.table({"id": pa.chunked_array(self.ids), "n": pa.array(np.concatenate(self.sizes))})
+        packed = [texts, pa.table({"number": pa.array(place[numbers])}), pa.table({"word": pa.array([w.encode() for w in words], pa.binary())})]
+        return pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([_pack(t)], pa.binary()) for t in packed)], ["block", "texts", "numbers", "words"])
+
+
+def _blocks(block_bytes: int, between: np.ndarray):
+    """Rows (id, text) to blocks of about ``block_bytes`` of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = TaskContext.get().partitionId() << 24
-        held: list[pa.RecordBatch] = []
-        size = 0
+        held, size = _Block(), 0
         for batch in batches:
+            sizes = np.append(0, np.cumsum(pc.binary_length(batch.column("text")).to_numpy()))
             begin = 0
-            for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist(), 1):
-                size += n
-                if size >= block_bytes or i == batch.num_rows:
-                    held.append(batch.slice(begin, i - begin))
-                    begin = i
+            while begin < batch.num_rows:
+                # About as many bytes at a time as a chunk has.
+                end = max(begin + 1, int(np.searchsorted(sizes, sizes[begin] + min(W.CHUNK, block_bytes), "right")) - 1)
+                part = batch.slice(begin, end - begin)
+                held.add(part.column("id"), part.column("text").to_pylist(), between)
+                size += int(sizes[end] - sizes[begin])
+                begin = end
                 if size >= block_bytes:
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([_pack(pa.Table.from_batches(held))], pa.binary())], ["block", "packed"])
-                    name, held, size = name + 1, [], 0
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([_pack(pa.Table.from_batches(held))], pa.binary())], ["block", "packed"])
+                    yield held.row(name)
+                    held, size, name = _Block(), 0, name + 1
+        if held.ids:
+            yield held.row(name)
+        give_back()
+
+    return run
 
-    return pack
 
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of blocks, dealt to shards by checksum and sorted: (part, shard, block, packed words)."""
+    for batch in batches:
+        for part, block, packed in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "words")), strict=True):
+            words = _unpack(packed)["word"].combine_chunks()
+            shard = np.fromiter((zlib.crc32(w) % RANGE for w in words.to_pylist()), np.int64, len(words))
+            for k in range(RANGE):
+                mine = np.flatnonzero(shard == k)
+                if len(mine):
+                    chosen = pa.table({"word": words.take(pa.array(mine)), "number": pa.array(mine.astype(np.int32))}).sort_by("word")  # sorted words compress well
+                    yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([k], pa.int32()), pa.array([block]), pa.array([_pack(chosen)], pa.binary())], ["part", "shard", "block", "packed"])
+        give_back()
 
-def _block_words(shards: int):
-    """Distinct words of each block, dealt to shards by checksum: (shard, block, packed words)."""
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed").to_pylist(), strict=True):
-                seen: set[str] = set()
-                for rows in _unpack(packed).to_batches(max_chunksize=ROWS):
-                    texts = rows.column("text").to_pylist()
-                    for a, b in W.chunks(texts):
-                        seen.update(W.cut(texts[a:b]).unique)
-                dealt: list[list[bytes]] = [[] for _ in range(shards)]
-                while seen:
-                    word = seen.pop()
-                    data = word.encode("utf-8", "surrogatepass")
-                    if len(data) <= LONG:
-                        dealt[zlib.crc32(data) % shards].append(data)
-                for shard, words in enumerate(dealt):
-                    if words:
-                        part = pa.table({"word": pa.array(sorted(words), pa.binary())})
-                        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([block]), pa.array([_pack(part)], pa.binary())], ["shard", "block", "packed"])
-                give_back()
-
-    return listed
-
-
-def _merged_words(rows: pa.Table) -> pa.Table:
-    """Each distinct word of a shard with the blocks that have it."""
-    owners: dict[bytes, list[int]] = {}
-    for block, packed in zip(rows["block"].to_pylist(), rows["packed"].to_pylist(), strict=True):
-        for word in _unpack(packed)["word"].to_pylist():
-            owners.setdefault(word, []).append(block)
-    words = sorted(owners)  # sorted words compress well
+def _distinct(rows: pa.Table) -> pa.Table:
+    """Each distinct word of a shard of a range, with its bytes, the blocks that have it and its number there."""
+    packs = [_unpack(p) for p in rows["packed"].to_pylist()]
+    blocks = np.repeat(rows["block"].to_numpy(), [p.num_rows for p in packs])
+    whole = pa.concat_tables(packs).combine_chunks()
+    coded = whole["word"].combine_chunks().dictionary_encode()
+    which = coded.indices.to_numpy()
+    order = np.argsort(which, kind="stable")
+    bounds = pa.array(np.append(0, np.cumsum(np.bincount(which, minlength=len(coded.dictionary)))).astype(np.int32))
+    words = coded.dictionary
+    data = pa.array(np.frombuffer(b"".join(words.to_pylist()), np.uint8).astype(np.int32))
+    ends = pa.array(np.append(0, np.cumsum(pc.binary_length(words).to_numpy())).astype(np.int32))
+    owners = pa.ListArray.from_arrays(bounds, pa.array(blocks[order]))
+    numbers = pa.ListArray.from_arrays(bounds, pa.array(whole["number"].to_numpy()[order]))
     give_back()
-    return pa.table({"word": pa.array(words, pa.binary()), "blocks": pa.array([owners[w] for w in words], pa.list_(pa.int64()))})
+    return pa.table({"word": words, "data": pa.ListArray.from_arrays(ends, data), "blocks": owners, "numbers": numbers})
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Encoded words, packed for each block among some batches."""
-    names = ["word", "ids", "decoded"]
 
     def done(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(held)
-        blocks = rows["blocks"].combine_chunks()
+        rows = pa.Table.from_batches(held).combine_chunks()
+        blocks, numbers = rows["blocks"].combine_chunks(), rows["numbers"].combine_chunks().flatten()
         owner = np.repeat(np.arange(len(blocks)), pc.list_value_length(blocks).to_numpy(zero_copy_only=False))
         flat = blocks.flatten().to_numpy()
         order = np.argsort(flat, kind="stable")
         found, begin = np.unique(flat[order], return_index=True)
-        for block, part in zip(found.tolist(), np.split(owner[order], begin[1:]), strict=True):
-            packed = _pack(rows.select(names).take(pa.array(part)))
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packed], pa.binary())], ["block", "packed"])
+        coded = rows.select(["ids", "decoded"])
+        for block, part in zip(found.tolist(), np.split(order, begin[1:]), strict=True):
+            mine = coded.take(pa.array(owner[part])).append_column("number", numbers.take(pa.array(part)))
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_pack(mine)], pa.binary())], ["block", "packed"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
         held.append(batch)
-        if sum(b.num_rows for b in held) >= 100_000:
+        if sum(b.num_rows for b in held) >= 50_000:
             yield from done(held)
             held = []
     if sum(b.num_rows for b in held):
@@ -202,19 +274,9 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
-def encoded_words(words: DataFrame, ranks_path: str) -> DataFrame:
-    """Rows with a ``word`` with its ``ids`` and the ``decoded`` bytes."""
-    vocabulary = Vocabulary(read_ranks(ranks_path))
-    return words.withColumn("ids", encode_word(F.col("word"), vocabulary)).withColumn("decoded", vocabulary.decode(F.col("ids")))
-
-
-@cache
-def _heap_encoder(path: str):
-    """For the few words of more than ``LONG`` bytes: a word's ids, and the bytes of ids."""
-    import tiktoken
-
-    encoding = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=read_ranks(path), special_tokens={})
-    return lambda word: encoding.encode_ordinary(word.decode("utf-8")), encoding.decode_bytes
+def encoded_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Rows with a ``word`` and its bytes as array ``data``, with its ``ids`` and the ``decoded`` bytes."""
+    return words.withColumn("ids", encode_word(F.col("word"), F.col("data"), vocabulary)).withColumn("decoded", vocabulary.decode(F.col("ids")))
 
 
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, keep_ids: bool = True) -> DataFrame:
@@ -222,69 +284,63 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     One row per input row: the id, ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by
     commas), ``decoded_sha256`` and, with ``keep_ids``, ``ids`` and ``decoded``. A null text
-    counts as empty and has no ids. Repeated rows and ids give a row each.
+    counts as empty and has no ids. Repeated rows and ids give a row each, an empty table none.
     """
-    spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranks = read_ranks(ranks_path)
+    vocabulary = Vocabulary(ranks)
+    # Tokens that only stand for whole words need words to be whole.
+    between = apart(ranks) if not vocabulary.unreached else np.zeros(1 << 16, bool)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    # Blocks are of one size; both uses below read the same shuffle.
-    even = rows.mapInArrow(_blocks(block_bytes), "block long, packed binary").repartition(shards, "block")
-    listed = even.mapInArrow(_block_words(shards), "shard int, block long, packed binary")
-    words = listed.groupBy("shard").applyInArrow(_merged_words, "word binary, blocks array<long>")
-    coded = encoded_words(words, ranks_path).select(
+    # Stored, so that a block is never cut anew while its words are on their way.
+    blocks = stored(rows.mapInArrow(_blocks(block_bytes, between), "block long, texts binary, numbers binary, words binary"), "blocks")
+    ranges = max(1, -(-blocks.count() // RANGE))
+    part = F.pmod(F.xxhash64("block"), F.lit(ranges)).alias("part")
+    dealt = blocks.select(part, "block", "words").mapInArrow(_dealt, "part long, shard int, block long, packed binary")
+    words = dealt.groupBy("part", "shard").applyInArrow(_distinct, "word binary, data array<int>, blocks array<long>, numbers array<int>")
+    coded = encoded_words(words, vocabulary).select(
         "blocks",
-        "word",
+        "numbers",
         F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"),
         F.when(F.col("decoded") != F.col("word"), F.col("decoded")).alias("decoded"),  # null: as the word
     )
     back = coded.mapInArrow(_by_block, "block long, packed binary")
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if keep_ids else [])]
+    types = [None, pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.binary()]
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        known: dict[str, str] = {}
-        changed: dict[str, bytes] = {}  # words that decode to other bytes
-        for packed in right["packed"].to_pylist():
-            part = _unpack(packed)
-            words = part["word"].cast(pa.string()).to_pylist()
-            known.update(zip(words, part["ids"].to_pylist(), strict=True))
-            if part["decoded"].null_count < len(words):
-                changed.update((w, d) for w, d in zip(words, part["decoded"].to_pylist(), strict=True) if d is not None)
-
-        def look_up(word: str) -> tuple[str, bytes]:
-            ids = known.get(word)
-            if ids is None:  # long, or a lost block was cut anew from rows in another order
-                to_ids, to_bytes = _heap_encoder(ranks_path)
-                found = to_ids(word.encode())
-                return ",".join(map(str, found)), to_bytes(found)
-            return ids, changed[word] if word in changed else word.encode()
-
+        if not left.num_rows:
+            raise ValueError("words of a block that was not stored")
         out = []
-        for block in left["packed"].to_pylist():
-            for part in _unpack(block).to_batches(max_chunksize=ROWS):
-                texts = part.column("text").to_pylist()
-                ids_digest, text_digest, n_tokens, all_ids, all_text = [], [], [], [], []
-                for a, b in W.chunks(texts):
-                    cut = W.cut(texts[a:b])
-                    found = [look_up(w) for w in cut.unique]
-                    inverse = cut.inverse.tolist()
-                    for x, y in zip(cut.offsets[:-1].tolist(), cut.offsets[1:].tolist(), strict=True):
-                        words = [found[k] for k in inverse[x:y]]
-                        ids, decoded = ",".join([w[0] for w in words]), b"".join([w[1] for w in words])
-                        n_tokens.append(ids.count(",") + 1 if ids else 0)
-                        ids_digest.append(hashlib.sha256(ids.encode()).hexdigest())
-                        text_digest.append(hashlib.sha256(decoded).hexdigest())
-                        if keep_ids:
-                            all_ids.append([int(i) for i in ids.split(",") if i])
-                            all_text.append(decoded)
-                columns = {id_col: part.column("id"), "n_tokens": pa.array(n_tokens, pa.int64()), "ids_sha256": pa.array(ids_digest, pa.string()), "decoded_sha256": pa.array(text_digest, pa.string())}
+        for texts, numbers, packed in zip(*(left[c].to_pylist() for c in ("texts", "numbers", "words")), strict=True):
+            decoded = np.array(_unpack(packed)["word"].to_pylist(), object)
+            ids = np.empty(len(decoded), object)
+            for pack in right["packed"].to_pylist():
+                coded = _unpack(pack)
+                number = coded["number"].to_numpy()
+                ids[number] = coded["ids"].to_pylist()
+                other = np.flatnonzero(coded["decoded"].is_valid().to_numpy())
+                decoded[number[other]] = coded["decoded"].take(pa.array(other)).to_pylist()
+            tokens = np.fromiter((i.count(",") + 1 for i in ids), np.int64, len(ids))
+            number = _unpack(numbers)["number"].to_numpy()
+            listed = _unpack(texts)
+            found: list[list] = [[] for _ in names[1:]]
+            begin = 0
+            for n in listed["n"].to_pylist():
+                mine = number[begin : begin + n]
+                begin += n
+                joined, text = ",".join(ids[mine].tolist()), b"".join(decoded[mine].tolist())
+                row = (int(tokens[mine].sum()), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(text).hexdigest())
                 if keep_ids:
-                    columns |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(all_text, pa.binary())}
-                out.append(pa.table(columns))
-        known.clear()
+                    row += (np.fromstring(joined, np.int32, sep=",") if joined else np.zeros(0, np.int32), text)
+                for column, value in zip(found, row, strict=True):
+                    column.append(value)
+            out.append(pa.table([listed["id"], *(pa.array(c, t) for c, t in zip(found, types[1:], strict=False))], names=names))
         give_back()
-        return pa.concat_tables(out) if out else pa.table({})
+        return pa.concat_tables(out)
 
-    schema = f"`{id_col}` {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    # Blocks are never on the right side only, so that every group has a block.
-    return even.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(join, schema + (", ids array<int>, decoded binary" if keep_ids else ""))
+    schema = f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if keep_ids else "")
+    both = blocks.groupBy("block").cogroup(back.groupBy("block"))
+    return both.applyInArrow(join, schema).withColumnRenamed("id", id_col)

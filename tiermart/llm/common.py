@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +20,23 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name`` with as many marks before it as no column begins with, in any case of letters."""
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name = "_" + name
+    return name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once to a folder that all executors share and read from there."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Freed memory goes back to the machine, since Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

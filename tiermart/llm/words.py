@@ -35,14 +35,16 @@ def classes() -> np.ndarray:
     return found
 
 
+ODD = 0x9E3779B97F4A7C15
+STEP = 1 << 18
+
+
 @cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse, modulo 2^64."""
-    odd = 0x9E3779B97F4A7C15
-    inverse = pow(odd, -1, 1 << 64)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """``STEP`` powers of an odd number and of its inverse, modulo 2^64."""
     both = []
-    for base in (odd, inverse):
-        steps = np.full(n, base, np.uint64)
+    for base in (ODD, pow(ODD, -1, 1 << 64)):
+        steps = np.full(STEP, base, np.uint64)
         steps[0] = 1
         both.append(np.cumprod(steps, dtype=np.uint64))
     return tuple(both)
@@ -62,11 +64,25 @@ def _spread() -> np.ndarray:
 
 
 def segment_hashes(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A hash of each run of ``codes`` that begins at ``starts``; runs fill the array."""
-    size = 1 << max(16, int(len(codes)).bit_length())
-    up, down = _powers(size)
-    weighted = _spread()[codes] * up[: len(codes)]
-    return mixed(np.add.reduceat(weighted, starts) * down[starts])
+    """A hash of each run of ``codes`` that begins at ``starts``; runs fill the array.
+
+    The codes are taken in steps, so that the powers stay few however many codes there are.
+    """
+    up, down = _powers()
+    found = np.zeros(len(starts), np.uint64)
+    for begin in range(0, len(codes), STEP):
+        part = codes[begin : begin + STEP]
+        weighted = _spread()[part] * up[: len(part)]
+        first, last = np.searchsorted(starts, [begin, begin + len(part)])
+        inner = starts[first:last] - begin
+        # A run that began before goes on in this step.
+        own = first if len(inner) and inner[0] == 0 else first - 1
+        cuts = inner if own == first else np.append(0, inner)
+        found[own:last] += np.add.reduceat(weighted, cuts) * np.uint64(pow(ODD, begin, 1 << 64))
+    for begin in range(0, len(codes), STEP):
+        first, last = np.searchsorted(starts, [begin, begin + STEP])
+        found[first:last] *= down[starts[first:last] - begin] * np.uint64(pow(ODD, -begin, 1 << 64))
+    return mixed(found)
 
 
 @dataclass
@@ -78,6 +94,14 @@ class Words:
     offsets: np.ndarray
 
 
+@cache
+def _edges() -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last UTF-8 byte of every code point."""
+    point = np.arange(sys.maxunicode + 1)
+    first = np.select([point < 0x80, point < 0x800, point < 0x10000], [point, 0xC0 | point >> 6, 0xE0 | point >> 12], 0xF0 | point >> 18)
+    return first.astype(np.uint16), np.where(point < 0x80, point, 0x80 | point & 63).astype(np.uint16)
+
+
 def _starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where words begin. first: marks the first character of each text."""
     n = len(codes)
@@ -115,8 +139,11 @@ def _starts(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-def cut(texts: list[str]) -> Words:
-    """Words of all ``texts``, each different word once."""
+def cut(texts: list[str], apart: np.ndarray | None = None) -> Words:
+    """Words of all ``texts``, each different word once.
+
+    apart: for every pair of bytes (first * 256 + second), whether words are cut between them too.
+    """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(sizes)
     if not len(texts) or not ends[-1]:
@@ -126,6 +153,11 @@ def cut(texts: list[str]) -> Words:
     first = np.zeros(len(codes), bool)
     first[(ends - sizes)[sizes > 0]] = True
     starts = _starts(codes, first)
+    if apart is not None:
+        lead, trail = _edges()
+        between = apart[trail[codes[:-1]] << 8 | lead[codes[1:]]]
+        between[starts[1:] - 1] = True
+        starts = np.append(0, np.flatnonzero(between) + 1)
     stops = np.append(starts[1:], len(codes))
     _, where, inverse = np.unique(segment_hashes(codes, starts), return_index=True, return_inverse=True)
     unique = [joined[a:b] for a, b in zip(starts[where].tolist(), stops[where].tolist(), strict=True)]
