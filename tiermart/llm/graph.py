@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm.common import stored
+from tiermart.operators.joins import left_join_unique
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -17,7 +18,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn, each stored, until the edges stay the same: every
     node hangs its larger neighbours, then all its neighbours, on the smallest id it knows.
-    A node with many neighbours is reduced to its minimum before the shuffle.
+    A node with many neighbours is reduced to its minimum before the shuffle, and its edges join that
+    minimum over a shuffle of their own, which Spark can split.
     """
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
 
@@ -28,10 +30,10 @@ def components(edges: DataFrame) -> DataFrame:
     while last[0]:
         sym = _both(now)
         least = sym.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = sym.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = left_join_unique(sym, least, ["a"]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        small = left_join_unique(down, least, ["a"]).select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         now = stored(small.select("e.a", "e.b").filter("a <> b").distinct(), "edges")
         mine = mark(now)
         if mine == last:

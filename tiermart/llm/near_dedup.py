@@ -7,8 +7,9 @@ order of the signatures, each starting at another hash. Rows that share a prefix
 
 1. Within each sorted order, runs of neighbours with a longest common prefix of at
    least that depth are compared by their signatures, and only a spanning forest of the
-   likely links goes on. A region too large for one run is cut where the next hashes
-   change, so its depth adapts; neighbouring runs share a row.
+   likely links goes on. A region too large for one run is cut where the common prefix of neighbours is
+   shortest, deeper and deeper until every run fits, so its depth adapts; neighbouring
+   runs share a row.
 2. Regions that still hold several components compare all rows of different
    components, so that no link between them is lost. Rows of a small region do so by
    signatures, and likely pairs go on. Rows of a large region bring their sets and are
@@ -26,12 +27,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm import words as W
-from tiermart.llm.common import stored
+from tiermart.llm.common import fresh, give_back, stored
 from tiermart.llm.graph import components
+from tiermart.operators.joins import left_join_unique
 
 TREES = 24
 DEPTH = 4
@@ -41,9 +44,10 @@ LIKELY = 0.78
 RUN = 1024
 DENSE = 48  # rows of a region from which on sets are compared in place
 BLOCK = 2048  # rows of a tile, about: two blocks of half as many
+LABEL = 12  # further hashes by which a region is sorted
+ITEMS = 1 << 20  # shingles of a tile, about
 SHINGLE = 5
 SIMILAR = 80
-ID_BYTES = 5  # of each shingle hash kept for the confirmation
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -94,28 +98,41 @@ def _signature(found: np.ndarray) -> bytes:
 
 
 def _sketches(size: int):
+    """Rows (id, key, text) to rows (id, key, n, digest, sign)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             n, digest, sign = [], [], []
-            for a, b in W.chunks([t or "" for t in texts]):
-                for found in _sets(texts[a:b], size):
+            for part in _slices(batch, "text"):
+                for found in _sets(part.column("text").to_pylist(), size):
                     n.append(len(found))
                     digest.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                     sign.append(_signature(found) if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sign, pa.binary())], ["id", "n", "digest", "sign"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sign, pa.binary())], ["id", "key", "n", "digest", "sign"])
+            give_back()
 
     return run
 
 
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``W.CHUNK`` bytes in a column; a larger row stands alone."""
+    ends = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)))
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + W.CHUNK, "right")) - 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _packed_sets(size: int):
+    """Rows (id, text) to rows (id, items), the hashes of a text's shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            out = []
-            for a, b in W.chunks([t or "" for t in texts]):
-                out += [f.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :ID_BYTES].tobytes() for f in _sets(texts[a:b], size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "items"])
+            for part in _slices(batch, "text"):
+                out = [f.tobytes() for f in _sets(part.column("text").to_pylist(), size)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(out, pa.binary())], ["id", "items"])
+            give_back()
 
     return run
 
@@ -181,6 +198,39 @@ def _forest(ids: np.ndarray, signs: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield _pairs(np.array(a), np.array(b))
 
 
+def _common(labels: pa.ChunkedArray) -> np.ndarray:
+    """How many hashes each label begins with that the one before has too; the first row has none."""
+    hashes = np.frombuffer(b"".join(labels.to_pylist()), np.uint16).reshape(-1, LABEL)
+    same = np.cumprod(hashes[1:] == hashes[:-1], axis=1).sum(1)
+    return np.append(0, same)
+
+
+def _runs(common: np.ndarray, begin: int, end: int, depth: int = 0) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``RUN`` rows of one region in sorted order.
+
+    A longer stretch is cut where neighbours share no more than ``depth`` hashes and the parts go one
+    hash deeper; short parts side by side stay together. Rows with equal labels are cut evenly.
+    """
+    if end - begin <= RUN:
+        yield begin, end
+        return
+    if depth >= LABEL:
+        cuts = list(range(begin + RUN, end, RUN))
+    else:
+        cuts = (begin + 1 + np.flatnonzero(common[begin + 1 : end] <= depth)).tolist()
+    held = begin
+    edges = [begin, *cuts, end]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b - held > RUN and a > held:
+            yield held, a
+            held = a
+        if b - a > RUN:
+            yield from _runs(common, a, b, depth + 1)
+            held = b
+    if held < end:
+        yield held, end
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Likely links among rows (region, label, id, sign) in sorted order."""
     for table in _Rows(batches, ["region"]):
@@ -192,13 +242,15 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             likely = two[_agreement(signs[two], signs[two + 1]) >= LIKELY]
             if len(likely):
                 yield _pairs(ids[likely], ids[likely + 1])
+        large = end - begin > RUN
+        common = _common(table["label"]) if large.any() else None
         for x, y in zip(begin.tolist(), end.tolist(), strict=True):
             if y - x > 2:
-                # Runs end where the common prefix is short; each shares a row with the next.
-                while y - x > RUN:
-                    yield from _forest(ids[x : x + RUN], signs[x : x + RUN])
-                    x += RUN - 1
-                yield from _forest(ids[x:y], signs[x:y])
+                # A run also holds the last row of the run before.
+                for a, b in _runs(common, x, y) if y - x > RUN else [(x, y)]:
+                    a = max(a - 1, x)
+                    yield from _forest(ids[a:b], signs[a:b])
+    give_back()
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,9 +276,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _numbers(data: bytes) -> np.ndarray:
     """The shingle hashes of a packed set."""
-    wide = np.zeros((len(data) // ID_BYTES, 8), np.uint8)
-    wide[:, :ID_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, ID_BYTES)
-    return wide.view(">u8").ravel().astype(np.uint64)
+    return np.frombuffer(data, np.uint64)
 
 
 def _similar(both: np.ndarray | int, one: int, two: np.ndarray | int, percent: int) -> np.ndarray | bool:
@@ -286,6 +336,7 @@ def _dense(percent: int):
             for x, y in zip(begin.tolist(), [*begin[1:].tolist(), both.shape[1]], strict=True):
                 part = table.slice(x, y - x)
                 yield from links(part["id"].to_numpy(), part["component"].to_numpy(), part["major"].to_numpy(), part["side"].to_numpy(), part["items"].to_pylist())
+        give_back()
 
     return run
 
@@ -313,14 +364,19 @@ def _tiles(placed: DataFrame) -> DataFrame:
     """Rows (region, id, component) of mixed regions with each ``tile`` they go to and their ``side`` there.
 
     Any two rows of different components meet in one tile of their region, on different sides or in
-    a tile that has one side only. A region of up to ``BLOCK`` rows is one tile. In a larger one, rows of the
-    largest component and the others have blocks of their own, and no tile is for two blocks of the former.
+    a tile that has one side only. A region of up to ``BLOCK`` rows and ``ITEMS`` shingles is one tile. In a larger one,
+    rows of the largest component and the others have blocks of their own, and no tile is for two blocks of the former.
     """
-    counts = placed.groupBy("region", "component").agg(F.count("id").alias("n"))
-    mixed = counts.groupBy("region").agg(F.count("n").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("size")).filter("parts > 1")
-    half = max(1, BLOCK // 2)
-    minor_blocks, major_blocks = (F.ceil(n / half).cast("long") for n in (F.col("size") - F.col("most"), F.col("most")))
-    rows = placed.join(mixed.select("region", "major", "most", "size"), "region").withColumn("minor", F.col("component") != F.col("major"))
+    counts = placed.groupBy("region", "component").agg(F.count("id").alias("n"), F.sum("weight").alias("w"))
+    most = F.max(F.struct("n", "component", "w"))
+    mixed = counts.groupBy("region").agg(F.count("n").alias("parts"), most.alias("top"), F.sum("n").alias("size"), F.sum("w").alias("weigh")).filter("parts > 1")
+    mixed = mixed.select("region", F.col("top.component").alias("major"), F.col("top.n").alias("most"), F.col("top.w").alias("heavy"), "size", "weigh")
+
+    def blocks(rows: Column, items: Column) -> Column:
+        return F.greatest(F.ceil(rows / max(1, BLOCK // 2)), F.ceil(items / max(1, ITEMS // 2))).cast("long")
+
+    minor_blocks, major_blocks = blocks(F.col("size") - F.col("most"), F.col("weigh") - F.col("heavy")), blocks(F.col("most"), F.col("heavy"))
+    rows = left_join_unique(placed, mixed, ["region"]).filter("major IS NOT NULL").withColumn("minor", F.col("component") != F.col("major"))
     rows = rows.withColumn("minors", minor_blocks).withColumn("blocks", F.col("minors") + major_blocks)
     turn = F.xxhash64("id")
     rows = rows.withColumn("block", F.when(F.col("minor"), F.pmod(turn, F.col("minors"))).otherwise(F.col("minors") + F.pmod(turn, F.col("blocks") - F.col("minors"))))
@@ -331,44 +387,50 @@ def _tiles(placed: DataFrame) -> DataFrame:
         return F.struct(tile.alias("tile"), (F.col("block") > other).cast("int").alias("side"))
 
     whole = F.array(F.struct(F.lit(0).cast("long").alias("tile"), F.lit(0).alias("side")))
-    where = F.when(F.col("size") <= max(BLOCK, DENSE), whole).otherwise(F.transform(met, place))
+    one = (F.col("size") <= max(BLOCK, DENSE)) & ((F.col("weigh") <= ITEMS) | (F.col("size") <= DENSE))
+    where = F.when(one, whole).otherwise(F.transform(met, place))
     return rows.select("region", "size", "id", "component", "major", F.explode(where).alias("place")).select("region", "size", "id", "component", "major", "place.tile", "place.side")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = SIMILAR) -> DataFrame:
-    """One row per input row: the id, ``n_shingles``, ``component_id`` and ``kept``.
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """One row per input row: id, ``key`` of its text, ``n`` shingles, ``group`` and the smallest id in it.
 
-    Words are cut at ASCII white space and A-Z is lower-cased; a text of fewer words than a
-    shingle has is one shingle. Null and blank texts have none and are linked with nothing.
-    Two texts are linked if their sets' intersection is at least ``percent`` of the union;
-    ``component_id`` is the smallest id reachable over links. Ids are longs; rows that repeat
-    an id are taken for one document, and a row without an id stays alone and is kept.
+    A group is null for rows without an id or shingles. Nodes of the graph are sets of shingles, numbered, so that texts that share an id stay apart.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = stored(rows.mapInArrow(_sketches(shingle), "id long, n long, digest binary, sign binary"), "sketch")
+    rows = rows.select("id", F.xxhash64("text").alias("key"), "text")
+    sketch = stored(rows.mapInArrow(_sketches(shingle), "id long, key long, n long, digest binary, sign binary"), "sketch")
     known = sketch.filter("id IS NOT NULL AND n > 0")
-    classes = stored(known.groupBy("digest").agg(F.min("id").alias("node"), F.min("sign").alias("sign")), "classes")
-    nodes = classes.select(F.col("node").alias("id"), "sign")
+    # One text stands for each set; the number is fixed once it is stored.
+    sets_of = known.groupBy("digest").agg(F.min(F.struct("id", "key")).alias("text"), F.min("sign").alias("sign"), F.min("n").alias("n"))
+    classes = stored(sets_of.withColumn("node", F.monotonically_increasing_id()), "classes")
+    nodes = classes.select(F.col("node").alias("id"), "sign", F.col("n").alias("weight"))
 
     tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     prefix = F.substring("sign", F.col("tree") * 2 * DEPTH + 1, F.lit(2 * DEPTH))
-    entries = nodes.withColumn("tree", tree).select(F.xxhash64("tree", prefix).alias("region"), "tree", "id")
+    entries = nodes.withColumn("tree", tree).select(F.xxhash64("tree", prefix).alias("region"), "tree", "id", "weight")
     shared = entries.groupBy("region").agg(F.count("id").alias("size")).filter("size > 1")
-    members = stored(entries.join(shared, "region").select("region", "tree", "id", "size"), "members")
+    members = stored(left_join_unique(entries, shared, ["region"]).filter("size IS NOT NULL"), "members")
     active = members.select("id").distinct()
-    sets = stored(rows.join(active, "id", "left_semi").mapInArrow(_packed_sets(shingle), "id long, items binary"), "sets")
+    wanted = classes.join(active, F.col("node") == F.col("id"), "left_semi").select("node", "text.id", "text.key")
+    # Rows that repeat an id and a text give one set.
+    repeated = known.groupBy("id", "key").agg(F.count("id").alias("copies")).filter("copies > 1").select("id", "key")
+    single = rows.join(wanted.join(repeated, ["id", "key"], "left_anti"), ["id", "key"]).select("node", "text")
+    several = rows.join(wanted.join(repeated, ["id", "key"], "left_semi"), ["id", "key"]).select("node", "text").dropDuplicates(["node"])
+    whole = single.unionByName(several).select(F.col("node").alias("id"), "text")
+    sets = stored(whole.mapInArrow(_packed_sets(shingle), "id long, items binary"), "sets")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     turn = F.col("tree") * 2 * DEPTH + 2 * DEPTH
     label = F.concat(F.substring("sign", turn + 1, F.lit(2 * HASHES)), F.substring("sign", F.lit(1), turn))
-    signed = members.join(nodes, "id").withColumn("label", F.substring(label, 1, 24))
+    signed = members.select("region", "tree", "id").join(nodes, "id").withColumn("label", F.substring(label, 1, 2 * LABEL))
     order = ["region", "label", "id"]
     lines = signed.select("region", "label", "id", "sign").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     first = _confirmed(lines.mapInArrow(_neighbours, "a long, b long").distinct(), sets, percent)
     grown = components(first)
 
     own = F.coalesce("component", "id").alias("component")
-    placed = members.join(grown, "id", "left").select("region", "id", own)
+    placed = members.join(grown, "id", "left").select("region", "id", "weight", own)
     spread = stored(_tiles(placed), "mixed")
     few = spread.filter(F.col("size") <= DENSE).join(nodes, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
     many = spread.filter(F.col("size") > DENSE).join(sets, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
@@ -376,17 +438,42 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     third = stored(many.mapInArrow(_dense(percent), "a long, b long"), "links")
     final = components(first.unionByName(second).unionByName(third))
 
-    resolved = classes.join(final, classes.node == final.id, "left").select("digest", F.coalesce("component", "node").alias("component"))
-    smallest = resolved.select("digest", "component")
-    joined = sketch.join(smallest, "digest", "left")
+    least = classes.select(F.col("node").alias("id"), F.col("text.id").alias("least"))
+    smallest = final.join(least, "id").groupBy("component").agg(F.min("least").alias("smallest"))
+    linked = left_join_unique(final, smallest, ["component"]).select(F.col("id").alias("node"), "component", "smallest")
+    resolved = classes.join(linked, "node", "left").select("digest", F.coalesce("component", "node").alias("group"), F.coalesce("smallest", "text.id").alias("smallest"))
+    joined = sketch.select("id", "key", "n", "digest").join(resolved, "digest", "left")
     alone = F.col("id").isNull() | (F.col("n") == 0)
-    component = F.when(alone, F.col("id")).otherwise(F.col("component"))
-    return joined.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+    return joined.select("id", "key", "n", F.when(~alone, F.col("group")).alias("group"), F.when(alone, F.col("id")).otherwise(F.col("smallest")).alias("smallest"))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = SIMILAR) -> DataFrame:
+    """One row per input row: the id, ``n_shingles``, ``component_id`` and ``kept``.
+
+    Words are cut at ASCII white space and A-Z is lower-cased; a text of fewer words than a
+    shingle has is one shingle. Null and blank texts have none and are linked with nothing.
+    Two texts are linked if their sets' intersection is at least ``percent`` of the union;
+    ``component_id`` is the smallest id reachable over links. Ids are longs; rows that repeat an id
+    with another text are linked by their own texts, and a row without an id stays alone and is kept.
+    """
+    found = _grouped(docs, id_col, text_col, shingle, percent)
+    return found.select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("smallest").alias("component_id"), F.col("id").eqNullSafe(F.col("smallest")).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = SIMILAR) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id."""
-    lost = near_groups(docs, id_col, text_col, shingle, percent).filter("NOT kept").select(id_col)
-    return docs.join(lost, id_col, "left_anti")
+    """``docs`` with one row of each group, the one with the smallest id; ids may repeat.
+
+    Of a group's rows with that id one text stays, and of rows that repeat an id and a text one. Rows
+    without an id and blank texts are in no group; they stay, blank ones once for each id and text.
+    """
+    found = _grouped(docs, id_col, text_col, shingle, percent).filter("id IS NOT NULL")
+    best = found.filter("group IS NOT NULL").groupBy("group").agg(F.min(F.struct("id", "key")).alias("r")).select("r.id", "r.key")
+    blank = found.filter("group IS NULL").select("id", "key").distinct()
+    name = fresh(docs.columns, "near")
+    kept = best.unionByName(blank).select(F.col("id").alias(f"{name}_id"), F.col("key").alias(f"{name}_key"))
+    keys = [f"{name}_id", f"{name}_key"]
+    named = docs.select("*", F.col(id_col).cast("long").alias(keys[0]), F.xxhash64(F.col(text_col).cast("string")).alias(keys[1]))
+    chosen = named.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    return chosen.unionByName(docs.filter(F.col(id_col).isNull()))
