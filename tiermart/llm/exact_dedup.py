@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermart.llm.common import stored
+from tiermart.llm.common import fresh, stored
 
 PREFIX = 64
 OVERSAMPLE = 16
@@ -111,10 +111,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stay where the join needs them.
     """
 
+    name = fresh(docs.columns, "key")
+
     def key(sha: Column) -> Column:
-        return F.concat(sha, F.when(F.col(id_col).isNull(), "").otherwise(F.concat(F.lit("="), F.col(id_col).cast("string")))).alias("_key")
+        return F.concat(sha, F.when(F.col(id_col).isNull(), "").otherwise(F.concat(F.lit("="), F.col(id_col).cast("string")))).alias(name)
 
     kept = exact_groups(docs, id_col, text_col).filter("kept").select(key(F.col("text_sha256")))
     sha = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
-    single = docs.select("*", key(sha)).dropDuplicates(["_key"])
-    return single.join(kept, "_key", "left_semi").select(*docs.columns)
+    single = docs.select("*", key(sha)).dropDuplicates([name])
+    return single.join(kept, name, "left_semi").select(*docs.columns)
