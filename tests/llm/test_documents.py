@@ -154,7 +154,8 @@ def test_large_regions_are_compared_in_bounded_tiles(spark, monkeypatch):
     # 200 components of one row each and one of 60 rows.
     rows = [(7, i, i) for i in range(200)] + [(7, 1000 + i, 1000) for i in range(60)] + [(8, 1, 1), (8, 2, 1), (9, 5, 5), (9, 6, 6)]
     tiles = defaultdict(list)
-    for r in near_dedup._tiles(spark.createDataFrame(rows, "region long, id long, component long")).collect():
+    placed = spark.createDataFrame(rows, "region long, id long, component long").withColumn("weight", F.lit(1).cast("long"))
+    for r in near_dedup._tiles(placed).collect():
         tiles[r.region, r.tile].append(r)
     assert {region for region, _ in tiles} == {7, 9}
     assert max(map(len, tiles.values())) <= 2 * 40
@@ -169,6 +170,37 @@ def test_large_regions_are_compared_in_bounded_tiles(spark, monkeypatch):
     assert set(met) == expected and set(met.values()) == {1}
 
 
+def test_tiles_are_bounded_by_shingles_too(spark, monkeypatch):
+    for name, value in (("BLOCK", 1000), ("DENSE", 8), ("ITEMS", 200)):
+        monkeypatch.setattr(near_dedup, name, value)
+    placed = spark.createDataFrame([(7, i, i, 20) for i in range(60)], "region long, id long, component long, weight long")
+    tiles = defaultdict(int)
+    for r in near_dedup._tiles(placed).collect():
+        tiles[r.tile] += 20
+    assert len(tiles) > 1 and max(tiles.values()) <= 3 * 200
+
+
+def test_runs_grow_deeper_until_they_fit(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(near_dedup, "RUN", 8)
+    rng = np.random.default_rng(5)
+    for depths in (2, near_dedup.LABEL):
+        labels = np.array([tuple(rng.integers(0, 3, depths).tolist()) + (0,) * (near_dedup.LABEL - depths) for _ in range(100)], np.uint16)
+        labels = np.array(sorted(map(tuple, labels.tolist())), np.uint16)
+        import pyarrow as pa
+
+        common = near_dedup._common(pa.chunked_array([pa.array([r.tobytes() for r in labels], pa.binary())]))
+        assert common[0] == 0 and all(common[i] == next((k for k in range(near_dedup.LABEL) if labels[i][k] != labels[i - 1][k]), near_dedup.LABEL) for i in range(1, 100))
+        runs = list(near_dedup._runs(common, 0, 100))
+        assert [a for a, _ in runs] == [0, *(b for _, b in runs[:-1])] and runs[-1][1] == 100
+        assert max(b - a for a, b in runs) <= 8
+        # A cut lies where neighbours share less than those within the runs beside it, or where all are equal.
+        for (a, b), (c, d) in zip(runs, runs[1:], strict=False):
+            if common[c] < near_dedup.LABEL:
+                assert b == c and common[c] <= max([*common[a + 1 : b], *common[c + 1 : d], common[c]])
+
+
 def test_documents_with_a_common_passage(spark, monkeypatch):
     for name, value in (("RUN", 16), ("BLOCK", 24), ("DENSE", 8)):
         monkeypatch.setattr(near_dedup, name, value)
@@ -195,6 +227,64 @@ def test_near_groups_of_odd_ids(spark):
     assert found == [("7", "7", True), ("7", "7", True), ("9", "7", False), ("None", "None", True)]
 
 
+def test_texts_that_share_an_id_stay_apart(spark):
+    w, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "wu")
+    rows = [(3, w), (5, w + " "), (5, u), (8, u + " a b c d"), (9, "other words of another text here"), (9, "other words of another text here")]
+    rows += [(None, w), (None, w), (4, None), (4, None), (4, "  "), (6, "")]
+    docs = frame(spark, rows)
+    found = sorted((str(r.doc_id), r.text) for r in near_dedup.drop_near_copies(docs).collect() if r.text and r.text.strip())
+    assert found == sorted([("3", w), ("5", u), ("9", rows[4][1]), ("None", w), ("None", w)])
+    blank = sorted((r.doc_id, r.text) for r in near_dedup.drop_near_copies(docs).filter("trim(coalesce(text, '')) = ''").collect() if r.text is not None)
+    assert blank == [(4, "  "), (6, "")]
+    groups = {(r.doc_id, r.n_shingles): r.component_id for r in near_dedup.near_groups(docs).filter("doc_id = 5 OR doc_id = 8").collect()}
+    assert set(groups.values()) == {3, 5} and groups[8, 40] == 5
+    assert near_dedup.drop_near_copies(docs).columns == docs.columns
+
+
+def test_random_repeated_ids_keep_one_row_of_each_group(spark):
+    rng = random.Random(12)
+    rows = [(rng.randrange(60), text) for _, text in near_rows(6) if text and text.strip()]
+    rows += rng.sample(rows, 20)
+    # Texts are the nodes of the plain version.
+    texts = sorted({t for _, t in rows})
+    groups, _ = brute_components(list(enumerate(texts)), 5)
+    least = defaultdict(lambda: 10**9)
+    for i, t in rows:
+        least[groups[texts.index(t)]] = min(least[groups[texts.index(t)]], i)
+    found = near_dedup.drop_near_copies(frame(spark, rows)).collect()
+    assert sorted((groups[texts.index(r.text)], r.doc_id) for r in found) == sorted(least.items())
+    parts = {(r.doc_id, r.n_shingles, r.component_id) for r in near_dedup.near_groups(frame(spark, rows)).collect()}
+    assert parts == {(i, len(shingles(t, 5)), least[groups[texts.index(t)]]) for i, t in rows}
+
+
+def test_a_hub_of_the_graph_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        edges = spark.range(1, 60000, 1, 8).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+        sym = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = sym.groupBy("a").agg(F.min("b").alias("m"))
+        joined = graph.left_join_unique(sym, least, ["a"])
+        assert joined.count() == 2 * 59999
+        assert "skew=true" in _final_plan(joined)
+        found = graph.components(edges)
+        assert found.filter("component = 0").count() == 60000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).selectExpr("id as a", "id + 1 as b")
     found = {r.id: r.component for r in graph.components(edges).collect()}
@@ -271,6 +361,43 @@ def test_bpe_equals_the_library(spark):
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
 
 
+def test_long_words_go_through_the_same_fold(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = byte_bpe.read_ranks(path)
+    encoding = tiktoken.Encoding("own", pat_str=W.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCXYZé中") for _ in range(15_000)), "=" * 2_000, "the" * 500, "中文字符" * 800]
+    texts = [*words, " ".join(words)]
+    found = {r.doc_id: r for r in byte_bpe.encode(frame(spark, list(enumerate(texts))), path).collect()}
+    for i, text in enumerate(texts):
+        assert found[i].ids == encoding.encode_ordinary(text) and bytes(found[i].decoded).decode() == text
+
+
+def test_bpe_of_ranks_that_are_no_merges(spark, tmp_path):
+    """A token that merging cannot reach is used for the whole word only."""
+    import base64
+
+    pieces = [*(bytes([b]) for b in range(256)), b"ab", b"bc", b"xyz", b"abcd", b" a"]
+    path = str(tmp_path / "ranks")
+    with open(path, "wb") as out:
+        out.writelines(base64.b64encode(p) + b" %d\n" % i for i, p in enumerate(pieces))
+    encoding = tiktoken.Encoding("own", pat_str=W.PATTERN, mergeable_ranks=byte_bpe.read_ranks(path), special_tokens={})
+    texts = ["xyz", "xyzx abc abcd bcab", "abab ab", "xyz xyz"]
+    found = {r.doc_id: r.ids for r in byte_bpe.encode(frame(spark, list(enumerate(texts))), path).collect()}
+    assert found == {i: encoding.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
+def test_rows_of_bpe_grow_with_blocks(spark):
+    """What moves is at most one pack of words for each block and shard, whatever the number of partitions."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(200))) for i in range(60)]
+    between = byte_bpe.apart(byte_bpe.read_ranks(path))
+    blocks = frame(spark, rows).repartition(3).select(F.col("doc_id").alias("id"), "text").mapInArrow(byte_bpe._blocks(4000, between), "block long, texts binary, numbers binary, words binary")
+    found = blocks.select(F.lit(0).cast("long").alias("part"), "block", "words").mapInArrow(byte_bpe._dealt, "part long, shard int, block long, packed binary").groupBy("block").count().collect()
+    assert len(found) >= 8 and max(r["count"] for r in found) <= byte_bpe.RANGE
+
+
 def test_bpe_of_no_documents(spark):
     assert byte_bpe.encode(frame(spark, []), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).count() == 0
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiermart.llm import words as W
+from tiermart.llm.common import give_back
 
 DIM = 4096
 GRAMS = 3
@@ -178,6 +179,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", prefix: str
                 new = [pa.array(label, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([*batch.slice(begin, end - begin).columns, *new], [*batch.schema.names, *names])
                 begin = end
+            give_back()
 
     types = ("string", "double", "boolean")
     schema = docs.schema

@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm import words as W
-from tiermart.llm.common import stored
+from tiermart.llm.common import give_back, stored
 
 CAPACITY = 2048
 SLACK = 8
 GROUP = 20_000
 LOCAL = 200_000
-WORDS_HELD = 150_000
+WORDS_HELD = 60_000
 SEPARATOR = 0
 
 
@@ -127,6 +127,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                     columns.append(pa.array(kept, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+            give_back()
 
     schema = f"piece_key long, `{id_col}` {id_type}, piece int, start long, length long, ids_crc32 long"
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(cut, schema + (", ids array<int>" if keep_ids else ""))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiermart.llm import words as W
-from tiermart.llm.common import stored
+from tiermart.llm.common import give_back, stored
 
 DIM = 1 << 20
 DECAY = 0.5
@@ -387,6 +387,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "
             found = model.score(batch.column(place).to_pylist())
             new = [pa.array(found, pa.float64()), pa.array((found >= CUT).astype(np.int32), pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *names])
+            give_back()
 
     schema = T.StructType([*docs.schema.fields]).add(names[0], T.DoubleType()).add(names[1], T.IntegerType())
     return docs.mapInArrow(run, schema)
