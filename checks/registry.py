@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 from checks import shapes
 from tiermart.functions import fixed, names, sales, typing
-from tiermart.operators import changes, intervals
-from tiermart.plans import catalog, loads, sales_lines, sales_mart, shipments, shortages, suppliers
-from tiermart.sinks import ledger, tables
-from tiermart.sources import bronze, incremental
+from tiermart.operators import changes, intervals, overlaps
+from tiermart.plans import catalog, loads, sales_lines, sales_mart, shipments, shortages, suppliers, telemetry
+from tiermart.sinks import ledger, mart, tables
+from tiermart.sinks import sales_lines as stored_lines
+from tiermart.sinks import shortages as stored_shortages
+from tiermart.sources import bronze, incremental, variants
 from tiermart.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,9 +70,54 @@ def q35_file_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.select("id_deposito", "minsan", files.alias("delivery"), F.col("load_run").cast("int").alias("load_run"), "record_timestamp")
 
 
+PLAIN_CSV = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+@query
+def q36_catalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as comma-separated catalogue files with one column too many, loaded by name of column."""
+    root = tables.shared_folder(spark, "catalogue")
+    rows = shapes.catalog_rows(spark, sf_dir).withColumn("target_user", F.lit('adult, "plain"'))
+    names = [*reversed(fixed.CATALOG_COLUMNS), "unused"]
+    tables.write_named_files(rows.withColumn("unused", F.lit("x")).select(*names), f"{root}/in", "20240105_product_masterdata", suffix="_product_masterdata.csv", sep=",", **PLAIN_CSV)
+    loads.load_catalog(spark, f"{root}/in", f"{root}/rows", f"{root}/ledger")
+    loaded = ledger.open_loaded(spark, f"{root}/rows", f"{root}/ledger").drop("load_run")
+    return loaded.withColumn("record_date", F.col("record_date").cast("timestamp_ntz"))
+
+
+@query
+def q37_depot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as depot files of a fixed layout, renamed and trimmed."""
+    root = tables.shared_folder(spark, "depots")
+    rows = shapes.depot_rows(spark, sf_dir)
+    tables.write_named_files(rows.select(*fixed.DEPOT_COLUMNS), f"{root}/in", "supplier_a_depot_masterdata", sep=";", **PLAIN_CSV)
+    loads.load_depots(spark, f"{root}/in", f"{root}/rows", f"{root}/ledger", shapes.run_ts())
+    return ledger.open_loaded(spark, f"{root}/rows", f"{root}/ledger").select(*fixed.DEPOT_NAMES.values(), "record_timestamp")
+
+
 # Nested records
 
 
+@query
+def q38_drifting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text whose fields come, go and change their type, as typed columns; unreadable text is kept apart."""
+    records, unreadable = variants.parsed(shapes.drifting_json(spark, sf_dir), "text")
+    flat = variants.split_variants(variants.flat_records(records.drop("text")))
+    apart = unreadable.select("event_id", F.col("text").alias("unreadable"))
+    return flat.unionByName(apart, allowMissingColumns=True).select(
+        "event_id", "id", F.col("seen.n").alias("seen_n"), F.col("seen.page").alias("seen_page"),
+        "size_bigint", "size_object_h_string", "size_object_w_bigint", "size_string", "unreadable",
+    )
+
+
+@query
+def q39_observed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' properties with numbers, decimals and text in one field: a column for each."""
+    records, _ = variants.parsed(shapes.mixed_props(spark, sf_dir), "props")
+    flat = variants.split_variants(variants.flat_records(records.drop("props")))
+    return flat.withColumn("k_decimal", F.col("k_decimal").cast("double"))
+
+
 @query
 def q05_shipments_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shipments.flatten_shipments(shapes.shipment_records(spark, sf_dir))[0]
@@ -131,6 +179,19 @@ def q12_time_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.with_event_time(normal)
 
 
+@query
+def q40_marked_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load without some rows, then all rows: late ones and those equal to the mark come in, known ones do not."""
+    root = tables.shared_folder(spark, "marked")
+    reads = shapes.telemetry(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    first = reads.where((F.col("date") < "2024-01-20") & (number % 17 != 0))
+    for source in (first, reads, reads):
+        telemetry.load_with_mark(spark, source, root, overlap=dt.timedelta(days=60))
+    loaded = telemetry.open_loads(spark, root)
+    return loaded.withColumn("load_run", F.col("load_run").cast("int"))
+
+
 # Sales lines
 
 
@@ -170,6 +231,20 @@ def q17_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def q41_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on the stored, bucketed lines; the runs are merged between them and old folders dropped."""
+    root = tables.shared_folder(spark, "lines")
+    stored_lines.create_lines(shapes.prior_lines(spark, sf_dir), root)
+    active = tables.stage_once(shapes.active_lines(spark, sf_dir))
+    history = tables.stage_once(shapes.history_lines(spark, sf_dir))
+    stored_lines.run_upsert(active, history, root)
+    stored_lines.merge_runs(spark, root)
+    stored_lines.drop_merged_runs(spark, root)
+    stored_lines.run_upsert(active, history, root)
+    return stored_lines.open_lines(spark, root)
+
+
 # Shortage intervals
 
 
@@ -228,6 +303,14 @@ def q24_consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def q42_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New periods with every stored interval of their key that lies within the gap."""
+    return overlaps.overlapping(
+        shapes.shortage_news(spark, sf_dir), shapes.shortage_history(spark, sf_dir), shortages.KEYS, tolerance=shortages.GAP
+    )
+
+
 # Sales mart
 
 
@@ -276,6 +359,19 @@ def q30_sales_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def q43_refreshed_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart that lacks some channel rows, has others twice and is a month old, refreshed from the changes."""
+    root = tables.shared_folder(spark, "mart")
+    orders, channels = shapes.mart_orders(spark, sf_dir), shapes.channel_rows(spark, sf_dir)
+    number = F.substring("order_prog_id", 2, 20).cast("bigint") % 10
+    missing, twice = channels.where(number == 3), channels.where(number == 4)
+    mart.create_mart(orders, channels.where(number != 3).unionByName(twice), shapes.MART_AS_OF - dt.timedelta(days=31), root)
+    changed = missing.withColumn(mart.SIGN, F.lit(1)).unionByName(twice.withColumn(mart.SIGN, F.lit(-1)))
+    mart.refresh_mart(orders, changed, shapes.MART_AS_OF, root)
+    return mart.open_mart(spark, root).drop(mart.MONTH)
+
+
 # Table writes
 
 
@@ -375,3 +471,30 @@ def s03_shortage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("start_date").cast("timestamp_ntz").alias("start_date"),
         F.col("end_date").cast("timestamp_ntz").alias("end_date"),
     )
+
+
+@query
+def s04_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late reload by stored batches instead of state."""
+    root = tables.shared_folder(spark, "copies")
+    reads = _event_stream(spark, sf_dir).select("ts", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("date"))
+    for _ in range(2):
+        flows.append_first_copies(reads, ["user_id", "date"], "ts", f"{root}/rows", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/rows").select("user_id", "date")
+
+
+@query
+def s05_shortage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late snapshots consolidated into the stored history by a stream that is run twice."""
+    root = tables.shared_folder(spark, "runs")
+    stored_shortages.create_history(shapes.shortage_history(spark, sf_dir), root)
+    user = F.col("user_id")
+    seen = _event_stream(spark, sf_dir).where("ts >= '2024-01-24'").select(
+        (user % 10).alias("supplier_id"),
+        F.concat(F.lit("F"), user % 3).alias("facility_id"),
+        user.cast("string").alias("product_code"),
+        F.col("ts").cast("timestamp_ntz").alias("snapshot_timestamp"),
+    )
+    for _ in range(2):
+        stored_shortages.consolidate_stream(seen, root, f"{root}/state", shapes.SHORTAGES_AS_OF).awaitTermination()
+    return stored_shortages.open_history(spark, root).drop(stored_shortages.MONTH)

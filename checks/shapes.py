@@ -75,6 +75,40 @@ def missing_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def depot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Padded depot codes as a supplier file delivers them."""
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit(" M"), F.col("s_suppkey"), F.lit("  ")).alias("cod_ministeriale"),
+        F.concat(F.lit("  D"), F.col("s_nationkey")).alias("id_deposito_principale"),
+    )
+
+
+def drifting_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON text per event: ``size`` is a number, a text, an object, null or missing, and errors are cut off."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """CASE event_type
+            WHEN 'click' THEN '{"id": ' || event_id || ', "size": ' || user_id || '}'
+            WHEN 'view' THEN '{"id": ' || event_id || ', "size": "' || user_id || 'px", "seen": {"page": "p' || user_id % 3 || '"}}'
+            WHEN 'purchase' THEN '{"size": {"w": ' || user_id % 10 || ', "h": "tall"}, "id": ' || event_id || '}'
+            WHEN 'error' THEN '{"id": ' || event_id || ', "si'
+            ELSE '{"id": ' || event_id || ', "size": null, "seen": {"page": "s", "n": ' || user_id % 7 || '}}'
+        END AS text""",
+    )
+
+
+def mixed_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties of every event; the number is a text in errors and a decimal in purchases."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        r"""CASE event_type
+            WHEN 'error' THEN regexp_replace(props, '([0-9]+)', '"n$1"')
+            WHEN 'purchase' THEN regexp_replace(props, '([0-9]+)', '$1.25')
+            ELSE props
+        END AS props""",
+    )
+
+
 def _order_lines(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem")

@@ -80,8 +80,38 @@ ORACLES["q35_file_deliveries"] = """
            TIMESTAMP '2024-02-01 06:00:00' AS record_timestamp
     FROM events"""
 
+ORACLES["q36_catalog_files"] = _with(
+    _CATALOG,
+    select="""SELECT * EXCLUDE (file_date) REPLACE ('adult, "plain"' AS target_user),
+        TIMESTAMP '2024-01-05' AS record_date
+        FROM catalog""",
+)
+ORACLES["q37_depot_files"] = """
+    SELECT 'M' || s_suppkey AS codice_ministeriale, 'D' || s_nationkey AS id_deposito,
+           TIMESTAMP '2024-02-01 06:00:00' AS record_timestamp
+    FROM supplier"""
+
 # Nested records
 
+ORACLES["q38_drifting_records"] = """
+    SELECT event_id,
+           CASE WHEN event_type <> 'error' THEN event_id END AS id,
+           CASE WHEN event_type NOT IN ('click', 'view', 'purchase', 'error') THEN user_id % 7 END AS seen_n,
+           CASE WHEN event_type = 'view' THEN 'p' || (user_id % 3)
+                WHEN event_type NOT IN ('click', 'purchase', 'error') THEN 's' END AS seen_page,
+           CASE WHEN event_type = 'click' THEN user_id END AS size_bigint,
+           CASE WHEN event_type = 'purchase' THEN 'tall' END AS size_object_h_string,
+           CASE WHEN event_type = 'purchase' THEN user_id % 10 END AS size_object_w_bigint,
+           CASE WHEN event_type = 'view' THEN user_id || 'px' END AS size_string,
+           CASE WHEN event_type = 'error' THEN '{"id": ' || event_id || ', "si' END AS unreadable
+    FROM events"""
+ORACLES["q39_observed_types"] = """
+    SELECT event_id,
+           CASE WHEN event_type NOT IN ('error', 'purchase') THEN CAST(k AS BIGINT) END AS k_bigint,
+           CASE WHEN event_type = 'purchase' THEN CAST(k || '.25' AS DOUBLE) END AS k_decimal,
+           CASE WHEN event_type = 'error' THEN 'n' || k END AS k_string
+    FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)"""
+
 _PACKAGES = """packages AS (
     SELECT l_orderkey || '-' || l_linenumber AS package_id,
            CAST(l_orderkey AS VARCHAR) AS order_text,
@@ -165,12 +195,18 @@ ORACLES["q12_time_normalise"] = """
            strftime(ts, '%H:%M:%S') AS "time", event_type,
            date_trunc('second', ts) AS event_ts
     FROM events"""
+ORACLES["q40_marked_loads"] = """
+    SELECT event_id AS id, strftime(ts, '%Y-%m-%d') AS "date",
+           strftime(ts, '%H:%M:%S') AS "time", event_type,
+           CAST(CASE WHEN ts < TIMESTAMP '2024-01-20' AND event_id % 17 <> 0 THEN 1 ELSE 2 END AS INTEGER) AS load_run
+    FROM events"""
 ORACLES["s01_delta_stream"] = """
     SELECT event_id AS id, strftime(ts, '%Y-%m-%d') AS "date",
            strftime(ts, '%H:%M:%S') AS "time"
     FROM events"""
 ORACLES["s02_late_reload_stream"] = """
     SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') AS "date" FROM events"""
+ORACLES["s04_first_copies"] = ORACLES["s02_late_reload_stream"]
 
 # Sales lines
 
@@ -280,6 +316,14 @@ ORACLES["q33_audit_counts"] = _with(
         FROM active WHERE history_prog_id <> 0""",
 )
 
+# The second run adds the active lines that have a history id once more, and nothing else.
+ORACLES["q41_stored_upsert"] = _with(
+    *_ALL_LINES,
+    _unseen("swapped"),
+    select="""SELECT * FROM swapped UNION ALL SELECT * FROM unseen
+        UNION ALL SELECT * FROM active WHERE history_prog_id <> 0""",
+)
+
 # Shortage intervals
 
 _KEYS = "supplier_id, facility_id, product_code"
@@ -354,6 +398,17 @@ ORACLES["q24_consolidated"] = _with(
         UNION ALL SELECT * FROM added""",
 )
 
+ORACLES["s05_shortage_runs"] = ORACLES["q24_consolidated"]
+ORACLES["q42_overlaps"] = _with(
+    *_PAST,
+    *_NEWS,
+    select=f"""SELECT {_KEYS}, n.start_date, n.end_date,
+               p.start_date AS other_start_date, p.end_date AS other_end_date
+        FROM news n JOIN past p USING ({_KEYS})
+        WHERE n.start_date <= p.end_date + INTERVAL 13 HOUR
+          AND p.start_date <= n.end_date + INTERVAL 13 HOUR""",
+)
+
 # Sales mart
 
 _ORDER_KEYS = """'B' || (o_custkey % 10) AS branch_code,
@@ -479,6 +534,8 @@ ORACLES["q30_sales_extended"] = _with(
         FROM joined WHERE order_date >= TIMESTAMP '2000-07-31'""",
 )
 
+ORACLES["q43_refreshed_mart"] = ORACLES["q30_sales_extended"]
+
 # Mixed types
 
 ORACLES["q34_split_choice"] = """

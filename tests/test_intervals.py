@@ -246,7 +246,7 @@ def test_stored_history_follows_the_plan(spark, tmp_path):
         assert stored_rows(spark, root) == order(map(tuple, expected.collect()))
 
 
-def test_run_cut_short_is_finished(spark, tmp_path, monkeypatch):
+def test_run_cut_short_leaves_the_history(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     stored.create_history(intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")), root)
     new = spark.createDataFrame(
@@ -254,16 +254,21 @@ def test_run_cut_short_is_finished(spark, tmp_path, monkeypatch):
         SNAPSHOT.format("timestamp_ntz"),
     )
     untouched = stored_rows(spark, root)
-    finish = stored.finish_last_run
-    monkeypatch.setattr(stored, "finish_last_run", lambda *_: None)
-    assert stored.run_consolidation(new, root, dt.date(2024, 1, 10)) == 1
+
+    def cut(*_):
+        raise RuntimeError("cut short")
+
+    commit = stored.states.commit
+    monkeypatch.setattr(stored.states, "commit", cut)
+    with pytest.raises(RuntimeError):
+        stored.run_consolidation(new, root, dt.date(2024, 1, 10))
     assert stored_rows(spark, root) == untouched
-    for _ in range(2):
-        finish(spark, root)
-        assert stored_rows(spark, root) == order([
-            (1, "F1", "P1", at("2024-01-08"), at("2024-01-10 01:00")),
-            (2, "F1", "P1", at("2024-01-10 02:00"), at("2024-01-10 02:00")),
-        ])
+    monkeypatch.setattr(stored.states, "commit", commit)
+    assert stored.run_consolidation(new, root, dt.date(2024, 1, 10)) == 1
+    assert stored_rows(spark, root) == order([
+        (1, "F1", "P1", at("2024-01-08"), at("2024-01-10 01:00")),
+        (2, "F1", "P1", at("2024-01-10 02:00"), at("2024-01-10 02:00")),
+    ])
 
 
 def test_run_without_changes_writes_nothing(spark, tmp_path):
@@ -271,4 +276,4 @@ def test_run_without_changes_writes_nothing(spark, tmp_path):
     stored.create_history(intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")), root)
     none = spark.createDataFrame([], SNAPSHOT.format("timestamp_ntz"))
     assert stored.run_consolidation(none, root, dt.date(2024, 1, 10)) == 0
-    assert not (tmp_path / stored.CHANGES).exists()
+    assert stored.states.read_state(spark, f"{root}/{stored.HISTORY}").number == 1

@@ -22,8 +22,12 @@ def channel_totals(consolidated: DataFrame) -> DataFrame:
 
 def with_channel_totals(orders: DataFrame, consolidated: DataFrame) -> DataFrame:
     """Orders with their totals; ``_matched`` is NULL for an order without any."""
-    totals = channel_totals(consolidated).withColumn("_matched", F.lit(True))
-    return left_join_unique(orders, totals, fixed.ORDER_KEYS)
+    return with_totals(orders, channel_totals(consolidated))
+
+
+def with_totals(orders: DataFrame, totals: DataFrame) -> DataFrame:
+    """Orders with totals that are one row per order and channel already."""
+    return left_join_unique(orders, totals.withColumn("_matched", F.lit(True)), fixed.ORDER_KEYS)
 
 
 def channel_of_order() -> Column:
@@ -31,9 +35,14 @@ def channel_of_order() -> Column:
     return order_channel(ordered, F.col("order_channel"), F.col("_matched"))
 
 
+def first_day(as_of: dt.date) -> Column:
+    """Twelve months before the day before ``as_of``."""
+    return F.add_months(F.date_sub(F.lit(as_of), 1), -12)
+
+
 def trailing_year(orders: DataFrame, as_of: dt.date) -> DataFrame:
     """Orders dated from twelve months before the day before ``as_of``."""
-    since = F.add_months(F.date_sub(F.lit(as_of), 1), -12)
+    since = first_day(as_of)
     return orders.where(
         F.col("order_date") >= since.cast(orders.schema["order_date"].dataType)
     )
@@ -42,7 +51,12 @@ def trailing_year(orders: DataFrame, as_of: dt.date) -> DataFrame:
 def sales_orders_extended(
     orders: DataFrame, consolidated: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    joined = with_channel_totals(trailing_year(orders, as_of), consolidated)
+    return extended_with_totals(orders, channel_totals(consolidated), as_of)
+
+
+def extended_with_totals(orders: DataFrame, totals: DataFrame, as_of: dt.date) -> DataFrame:
+    """The mart's rows from totals that are one row per order and channel already."""
+    joined = with_totals(trailing_year(orders, as_of), totals)
     delivered = F.when(F.col("delivered_quantity") > 0, 1).otherwise(0)
     return joined.select(
         *_named(surrogate_keys()),

@@ -1,21 +1,27 @@
 """Stored sales lines: a replaced active part and an append-only history part.
 
-A swap rewrites only the active part. History, which only ever grows, is written
-once, one folder per run, and not touched again.
+A swap rewrites only the active part. History, which only ever grows, is written once, one folder
+per run, hashed by the line's keys; a run shuffles its feed once and finds the known keys
+in place. Runs are merged from time to time into one folder, which stands for all
+runs before it from the moment it is complete.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiermart.operators.changes import missing_rows
 from tiermart.plans.sales_lines import TARGET_KEYS, active_part, history_part
-from tiermart.sinks import tables
+from tiermart.sinks import bucketed, tables
 
 ACTIVE = "sales_lines_active"
 HISTORY = "sales_lines_history"
 VIEW = "sales_lines"
+# The column that most queries ask for comes first in every bucket.
+SORTED = ("customer_code", "branch_code", "order_prog_id", "order_line_id")
 
 
 def open_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -26,21 +32,43 @@ def open_lines(spark: SparkSession, root: str) -> DataFrame:
     return lines
 
 
+def open_history(spark: SparkSession, root: str) -> DataFrame:
+    """History lines of the last complete run, bucketed by the line's keys."""
+    return _parts(spark, root)[1]
+
+
 def _parts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, int]:
     """Active part, history part and number of the last complete run."""
     active = tables.open_table(spark, root, ACTIVE)
     run = tables.versions(spark, root, ACTIVE)[-1]
-    runs = tables.numbered(spark, f"{root}/{HISTORY}", "run")
-    written = [_history_path(root, n) for n, committed in runs if committed and n <= run]
-    return active, spark.read.parquet(*written), run
+    return active, bucketed.open_parts(spark, _folder(root), _current(spark, root, run), _layout(spark, root)), run
+
+
+def _current(spark: SparkSession, root: str, run: int) -> list[str]:
+    """Folders that hold the history up to ``run``: the last merged one and the runs behind it."""
+    merged = [n for n, committed in tables.numbered(spark, _folder(root), "merged") if committed and n <= run]
+    since = merged[-1] if merged else 0
+    runs = [n for n, committed in tables.numbered(spark, _folder(root), "run") if committed and since < n <= run]
+    return [*([f"{_folder(root)}/merged={since}"] if merged else []), *(_run(root, n) for n in runs)]
+
 
+def _folder(root: str) -> str:
+    return f"{root.rstrip('/')}/{HISTORY}"
 
-def _history_path(root: str, run: int) -> str:
-    """Runs are not versions: all of them count, and none is ever dropped as old."""
-    return f"{root.rstrip('/')}/{HISTORY}/run={run}"
 
+def _run(root: str, run: int) -> str:
+    """Runs are not versions: all of them count until they are merged."""
+    return f"{_folder(root)}/run={run}"
 
-def _write(lines: DataFrame, path: str) -> int:
+
+def _layout(spark: SparkSession, root: str) -> bucketed.Layout:
+    """The layout is fixed when a table is created; a mark tells the number of buckets."""
+    marks = [re.fullmatch(r"_BUCKETS-(\d+)", name) for name in tables.names_in(spark, _folder(root))]
+    buckets = next(int(found[1]) for found in marks if found)
+    return bucketed.Layout(tuple(TARGET_KEYS), SORTED, buckets)
+
+
+def _write_active(lines: DataFrame, path: str) -> int:
     """Sorted inside each file, so that filters on the branch skip row groups."""
     seen = Observation()
     counted = lines.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -48,10 +76,25 @@ def _write(lines: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def create_lines(lines: DataFrame, root: str) -> None:
-    """First run of a table, from existing lines."""
-    _write(history_part(lines), _history_path(root, 1))
-    _write(active_part(lines), tables.version_path(root, ACTIVE, 1))
+def create_lines(lines: DataFrame, root: str, buckets: int | None = None) -> None:
+    """First run of a table, from existing lines.
+
+    ``buckets`` should let a bucket of the grown history fit a task; it is the number of shuffle
+    partitions unless given.
+    """
+    spark = lines.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables.set_mark(spark, _folder(root), f"_BUCKETS-{count}")
+    bucketed.write_part(history_part(lines), _run(root, 1), _layout(spark, root))
+    _write_active(active_part(lines), tables.version_path(root, ACTIVE, 1))
+
+
+def unknown_history(history: DataFrame, known: DataFrame, active: DataFrame) -> DataFrame:
+    """Lines of ``history`` that neither the stored history ``known`` nor ``active`` holds.
+
+    ``known`` is joined where it lies; the feed moves to its buckets.
+    """
+    return missing_rows(history.join(known.select(*TARGET_KEYS), TARGET_KEYS, "left_anti"), active, TARGET_KEYS)
 
 
 def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, int]:
@@ -68,8 +111,7 @@ def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, in
         active.write.parquet(f"{folder}/active")
         active = spark.read.parquet(f"{folder}/active")
 
-        known = kept.select(*TARGET_KEYS).unionByName(active.select(*TARGET_KEYS))
-        missing = missing_rows(history, known, TARGET_KEYS)
+        missing = unknown_history(history, kept, active)
         lasting = history_part(active).withColumn("_active", F.lit(True))
         added = lasting.unionByName(missing.withColumn("_active", F.lit(False)))
         seen = Observation()
@@ -78,8 +120,8 @@ def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, in
             F.count_if("_active").alias("lasting"),
             F.count_if(F.col("_active") & (F.col("history_prog_id") != 0)).alias("piled_up"),
         ).drop("_active")
-        n_added = _write(counted, _history_path(root, run))
-        n_swapped = _write(active_part(active), tables.version_path(root, ACTIVE, run))
+        n_added = bucketed.write_part(counted.select(*kept.columns), _run(root, run), _layout(spark, root))
+        n_swapped = _write_active(active_part(active), tables.version_path(root, ACTIVE, run))
     open_lines(spark, root)
     counts = seen.get
     return {
@@ -88,3 +130,29 @@ def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, in
         "history_inserted": n_added - counts["lasting"],
         "active_with_history_id": counts["piled_up"],
     }
+
+
+def merge_runs(spark: SparkSession, root: str) -> int:
+    """Merge the history up to the last complete run into one folder, bucket by bucket; returns its rows.
+
+    Readers see the merged folder once it is complete, with the same rows. The folders it stands for stay
+    until ``drop_merged_runs``, for those who are reading them.
+    """
+    run = tables.versions(spark, root, ACTIVE)[-1]
+    parts = _current(spark, root, run)
+    into = f"{_folder(root)}/merged={run}"
+    if parts == [into]:
+        return spark.read.parquet(into).count()
+    return bucketed.merge_parts(spark, _folder(root), parts, into, _layout(spark, root))
+
+
+def drop_merged_runs(spark: SparkSession, root: str) -> int:
+    """Remove the folders that the last merged one stands for; returns how many."""
+    run = tables.versions(spark, root, ACTIVE)[-1]
+    current = _current(spark, root, run)
+    merged = [n for n, committed in tables.numbered(spark, _folder(root), "merged") if committed and n <= run]
+    old = [f"{_folder(root)}/{kind}={n}" for kind in ("run", "merged") for n, _ in tables.numbered(spark, _folder(root), kind) if merged and n <= merged[-1]]
+    gone = [path for path in old if path not in current]
+    for path in gone:
+        tables.delete_folder(spark, path)
+    return len(gone)

@@ -1,9 +1,7 @@
-"""Stored shortage history, of which a run rewrites only the months it changes.
+"""Stored shortage history, of which a run replaces only the months it changes, all of them in one commit.
 
-The new content of those months is written in full before it replaces them. A
-run that was cut short while replacing is completed at the start of the next.
-Readers may see some months replaced before others; publish the result of
-``shortages.consolidate`` instead where the whole table has to change at once.
+A run writes the new content of its months beside the old and commits it as the next state, so readers see a
+run as a whole. A run of a stream notes its batch with that commit and is skipped when it is repeated.
 """
 
 from __future__ import annotations
@@ -12,15 +10,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tiermart.operators.changes import set_end_dates
 from tiermart.plans import shortages
-from tiermart.sinks import tables
+from tiermart.sinks import states, tables
 
 HISTORY = "shortage_history"
-CHANGES = "shortage_changes"
 MONTH = "start_month"
-APPLIED = "_APPLIED"
 
 
 def _month(start: str) -> Column:
@@ -31,31 +28,23 @@ def _path(root: str) -> str:
     return f"{root.rstrip('/')}/{HISTORY}"
 
 
-def _by_month(intervals: DataFrame) -> DataFrame:
-    """Gathers each month into few files; months too large for a task are split."""
-    return intervals.withColumn(MONTH, _month("start_date")).hint("rebalance", MONTH)
+def _write(intervals: DataFrame, root: str) -> dict[str, str]:
+    return states.write_parts(intervals.withColumn(MONTH, _month("start_date")), _path(root), str, MONTH)[0]
 
 
 def create_history(history: DataFrame, root: str) -> None:
-    _by_month(history).write.partitionBy(MONTH).parquet(_path(root))
+    """First state of a history; an empty one keeps a folder without rows, which tells the columns."""
+    spark = history.sparkSession
+    folders = _write(history, root)
+    if not folders:
+        history.withColumn(MONTH, _month("start_date")).write.parquet(f"{_path(root)}/data/none")
+        folders = {"none": "data/none"}
+    states.commit(spark, _path(root), states.State(), folders)
 
 
 def open_history(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(_path(root))
-
-
-def finish_last_run(spark: SparkSession, root: str) -> None:
-    """Replace the months of the last run, unless that is done already."""
-    runs = tables.versions(spark, root, CHANGES)
-    if not runs:
-        return
-    changes = tables.version_path(root, CHANGES, runs[-1])
-    if tables.is_marked(spark, changes, APPLIED):
-        return
-    writer = spark.read.parquet(changes).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(MONTH)
-    writer.parquet(_path(root))
-    tables.set_mark(spark, changes, APPLIED)
+    """The rows of the newest state, with their ``start_month``."""
+    return states.open_parts(spark, _path(root), states.read_state(spark, _path(root)))
 
 
 def run_consolidation(
@@ -64,11 +53,19 @@ def run_consolidation(
     as_of: dt.date,
     gap: dt.timedelta = shortages.GAP,
     lookback: dt.timedelta = shortages.LOOKBACK,
+    batch: tuple[str, int] | None = None,
 ) -> int:
-    """Consolidate new snapshots into the stored history; returns the rows inserted."""
+    """Consolidate new snapshots into the stored history; returns the rows inserted.
+
+    ``batch`` names a stream and the number of its batch: what was committed for that batch or a later one is
+    not applied again. Fails with ``states.Conflict`` if another run commits meanwhile.
+    """
     spark = snapshots.sparkSession
-    finish_last_run(spark, root)
-    history = open_history(spark, root)
+    state = states.read_state(spark, _path(root))
+    if batch is not None and state.notes.get(batch[0], -1) >= batch[1]:
+        return 0
+    notes = {} if batch is None else {batch[0]: batch[1]}
+    history = states.open_parts(spark, _path(root), state)
 
     with tables.staging(spark, "shortages") as folder:
         # Matches and inserts are read several times, so they are stored once.
@@ -84,12 +81,39 @@ def run_consolidation(
             inserts.select(_month("start_date").alias(MONTH))
         )
         # At most one row per calendar month.
-        months = [row[MONTH] for row in starts.distinct().collect()]
+        months = {str(row[MONTH]) for row in starts.distinct().collect()}
         if months:
-            before = history.where(F.col(MONTH).isin(months)).drop(MONTH)
-            after = set_end_dates(before, extensions, shortages.KEYS).unionByName(
-                inserts, allowMissingColumns=True
-            )
-            tables.publish(_by_month(after), root, CHANGES, partition_by=[MONTH])
-            finish_last_run(spark, root)
+            # Months that are named in the state are read from their folders only.
+            before = states.open_parts(spark, _path(root), state, months.__contains__)
+            after = inserts
+            if before is not None:
+                kept = set_end_dates(before.drop(MONTH), extensions, shortages.KEYS)
+                after = kept.unionByName(inserts, allowMissingColumns=True)
+            states.commit(spark, _path(root), state, _write(after, root), notes)
+        elif notes:
+            states.commit(spark, _path(root), state, {}, notes)
         return inserts.count()
+
+
+def consolidate_stream(
+    snapshots: DataFrame,
+    root: str,
+    checkpoint: str,
+    as_of: dt.date | None = None,
+    gap: dt.timedelta = shortages.GAP,
+    lookback: dt.timedelta = shortages.LOOKBACK,
+    name: str = "shortages",
+) -> StreamingQuery:
+    """Consolidate a stream of snapshots into the stored history, each batch once however often it is run.
+
+    A batch is applied as ``run_consolidation`` applies its snapshots. "Today" is ``as_of`` or else the day of the batch's newest
+    snapshot. ``name`` tells streams apart that feed one history.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        day = as_of or batch.agg(F.max(F.to_date("snapshot_timestamp"))).first()[0]
+        if day is not None:
+            run_consolidation(batch, root, day, gap, lookback, (name, number))
+
+    writer = snapshots.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

@@ -60,7 +60,7 @@ def staging(spark: SparkSession, purpose: str) -> Iterator[str]:
         _delete(spark, folder)
 
 
-def write_named_files(df: DataFrame, folder: str, name: str, **options: str) -> None:
+def write_named_files(df: DataFrame, folder: str, name: str, suffix: str = ".csv", **options: str) -> None:
     """CSV files ``name_00000.csv``, ... in ``folder``, one for each task, as a supplier drops them."""
     spark = df.sparkSession
     parts = f"{folder.rstrip('/')}/_parts-{uuid.uuid4().hex}"
@@ -68,7 +68,7 @@ def write_named_files(df: DataFrame, folder: str, name: str, **options: str) ->
     fs, path = _folder(spark, parts)
     texts = sorted(s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().endswith(".csv"))
     for i, text in enumerate(texts):
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}_{i:05d}.csv")
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}_{i:05d}{suffix}")
         fs.rename(spark._jvm.org.apache.hadoop.fs.Path(text), target)
     fs.delete(path, True)
 
@@ -80,6 +80,11 @@ def stage_once(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if there is one."""
+    _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     fs, hadoop = _folder(spark, path)
     fs.delete(hadoop, True)
@@ -104,6 +109,12 @@ def numbered(spark: SparkSession, folder: str, prefix: str) -> list[tuple[int, b
     return sorted(found)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in ``folder``, sorted; none if it does not exist."""
+    fs, path = _folder(spark, folder)
+    return sorted(status.getPath().getName() for status in fs.listStatus(path)) if fs.exists(path) else []
+
+
 def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> None:
     """Remove all but the newest ``keep`` committed versions of a replaced table."""
     for version in versions(spark, root, name)[: -max(keep, 1)]:
@@ -193,13 +204,24 @@ def reload_staging(df: DataFrame, root: str, name: str) -> Published:
 def append_rows(df: DataFrame, path: str) -> int:
     """Append to the parquet table at ``path``; returns how many rows were added.
 
-    Without rows nothing is written.
+    The rows are written once, beside the table, and counted on the way; their files then move into it. Without
+    rows nothing is added.
     """
-    if df.isEmpty():
-        return 0
+    spark = df.sparkSession
+    beside = f"{path.rstrip('/')}/_append-{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.mode("append").parquet(path)
-    return seen.get["n_rows"]
+    try:
+        df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(beside)
+        n_rows = seen.get["n_rows"]
+        if n_rows:
+            fs, _ = _folder(spark, beside)
+            for name in names_in(spark, beside):
+                if name.endswith(".parquet"):
+                    fs.rename(*(spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{name}") for folder in (beside, path)))
+            set_mark(spark, path, COMMITTED)
+    finally:
+        _delete(spark, beside)
+    return n_rows
 
 
 def write_bucketed(

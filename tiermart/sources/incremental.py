@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,18 @@ def newer_than(
     return newer
 
 
+def days_since(source: DataFrame, mark: str | None, overlap: dt.timedelta, date: str = "date") -> DataFrame:
+    """Rows of the days from ``overlap`` before ``mark`` on, and rows without a date; all rows without a readable mark.
+
+    Compares days as text, which the scan can use to skip files and row groups.
+    """
+    found = re.match(r"\d{4}-\d{2}-\d{2}", mark or "")
+    if not found:
+        return source
+    day = dt.date.fromisoformat(found[0]) - overlap
+    return source.where((F.col(date) >= F.lit(day.isoformat())) | F.col(date).isNull())
+
+
 def normalise_time(df: DataFrame, tolerant: bool = False) -> DataFrame:
     """Numeric ``id`` and a bare ``HH:mm:ss`` ``time``."""
     return df.withColumns(

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -14,7 +15,7 @@ from pyspark.sql.types import StructType
 from tiermart.functions import fixed
 from tiermart.operators.latest import latest_by_key, oldest
 from tiermart.plans.shortages import known_facilities
-from tiermart.sinks.tables import first_version, numbered, version_path
+from tiermart.sinks.tables import delete_folder, first_version, names_in, set_mark, staging, version_path
 
 
 def stream_files(
@@ -82,38 +83,93 @@ def append_first_copies(
     checkpoint: str,
     delay: dt.timedelta = dt.timedelta(days=fixed.RELOAD_DAYS),
 ) -> StreamingQuery:
-    """Append rows whose key no stored row of the last ``delay`` before them has.
-
-    Each batch is first reduced to its earliest row per key, in every task before the
-    shuffle, and then compared with the stored rows of that time only, so a key that holds
-    most of the stream does not fill a task. The batch number names the folder a batch is
-    written to: a repeated batch writes it again and does not see itself. Rows lie
-    below ``root`` in folders ``batch=N``. NULL keys are equal to each other. As with
-    ``drop_late_copies``, a key gives at most one row in a batch.
+    """Append rows whose key no kept row within ``delay`` has, before or after them.
+
+    Each batch is first reduced to its earliest row per key, in every task before the shuffle, and
+    to the earliest row that lies more than ``delay`` behind it, and so on. What is left is compared with
+    the stored rows of that time: the span of every batch is noted when it is written, and only
+    batches whose span is near are opened. So a key that holds most of the stream does not fill a task. The batch number
+    names the folder a batch is written to: a repeated batch writes it again and does
+    not see itself. Rows lie below ``root`` in folders ``batch=N``. NULL keys are equal to each other; rows
+    without a time are kept once for each key and batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rest = [c for c in batch.columns if c not in (*keys, ts)]
-        first = latest_by_key(batch, list(keys), oldest(ts, *rest))
-        older = [b for b in numbered(spark, root, "batch") if b[0] < number and b[1]]
-        if older:
-            paths = [f"{root}/batch={n}" for n, _ in older]
-            span = first.agg(F.min(ts), F.max(ts)).first()
-            if span[0] is not None:
-                stored = spark.read.schema(batch.schema).parquet(*paths)
-                near = stored.where(F.col(ts).between(F.lit(span[0]) - F.lit(delay), F.lit(span[1])))
-                seen = near.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(ts).alias("_seen"))
+        with staging(spark, "first-copies") as folder:
+            first = _thinned(batch, keys, ts, delay, folder)
+            span = first.agg(*_span(ts)).first()
+            near = near_batches(spark, root, number, span, delay)
+            if near:
+                stored = spark.read.schema(batch.schema).parquet(*near)
+                seen = stored.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(ts).alias("_seen"))
                 # Few for each key, since stored rows of a key lie further apart than ``delay``.
                 same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-                apart = F.col("_seen").between(F.col(ts) - F.lit(delay), F.col(ts))
+                apart = F.col("_seen").between(F.col(ts) - F.lit(delay), F.col(ts) + F.lit(delay))
                 first = first.join(seen, [*same, apart], "left_anti")
-        first.write.mode("overwrite").parquet(f"{root}/batch={number}")
+            first.write.mode("overwrite").parquet(f"{root}/batch={number}")
+        for name in names_in(spark, f"{root}/{SPANS}"):
+            if name.startswith(f"{number}_"):
+                delete_folder(spark, f"{root}/{SPANS}/{name}")
+        set_mark(spark, f"{root}/{SPANS}", f"{number}_{span[0]}_{span[1]}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
+SPANS = "_spans"
+DAY_MICROS = 86_400_000_000
+
+
+def _span(ts: str) -> list[Column]:
+    """First and last time in microseconds."""
+    return [f(F.unix_micros(F.col(ts).cast("timestamp"))) for f in (F.min, F.max)]
+
+
+def near_batches(spark: SparkSession, root: str, number: int, span: tuple, delay: dt.timedelta) -> list[str]:
+    """Folders of complete batches before ``number`` with times that lie within ``delay`` of ``span``.
+
+    One listing tells all spans. They are taken a day wider, since times without a zone may shift against each other.
+    """
+    if span[0] is None:
+        return []
+    room = delay // dt.timedelta(microseconds=1) + DAY_MICROS
+    found = []
+    for name in names_in(spark, f"{root}/{SPANS}"):
+        known = re.fullmatch(r"(\d+)_(-?\d+)_(-?\d+)", name)
+        if known and int(known[1]) < number and int(known[2]) - room <= span[1] and int(known[3]) + room >= span[0]:
+            found.append(int(known[1]))
+    return [f"{root}/batch={n}" for n in sorted(found)]
+
+
+def _thinned(batch: DataFrame, keys: Sequence[str], ts: str, delay: dt.timedelta, folder: str) -> DataFrame:
+    """The earliest row per key, the earliest that is more than ``delay`` later, and so on.
+
+    As many rounds as the batch's times hold delays; mostly one.
+    """
+    spark = batch.sparkSession
+    rest = [c for c in batch.columns if c not in (*keys, ts)]
+    left, kept = batch, []
+    while True:
+        path = f"{folder}/kept-{len(kept)}"
+        latest_by_key(left, list(keys), oldest(ts, *rest)).write.parquet(path)
+        first = spark.read.schema(batch.schema).parquet(path)
+        kept.append(path)
+        low, high = batch.agg(*_span(ts)).first() if len(kept) == 1 else (None, None)
+        if len(kept) == 1 and (low is None or high - low <= delay // dt.timedelta(microseconds=1)):
+            break
+        # A hash of the keys comes first, so that Spark can split a key of many rows.
+        names = {k: f"_{k}" for k in keys} | {ts: "_kept"}
+        before = first.select(*names).withColumnsRenamed(names).withColumn("_hash", F.xxhash64(*[f"_{k}" for k in keys]))
+        same = [F.col("_spread") == F.col("_hash"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]]
+        later = left.withColumn("_spread", F.xxhash64(*keys)).join(before, same).where(F.col(ts) > F.col("_kept") + F.lit(delay))
+        later.select(*batch.columns).write.parquet(f"{folder}/left-{len(kept)}")
+        left = spark.read.schema(batch.schema).parquet(f"{folder}/left-{len(kept)}")
+        if left.isEmpty():
+            break
+    return spark.read.schema(batch.schema).parquet(*kept)
+
+
 def stream_shortages(snapshots: DataFrame, delay: dt.timedelta | None = None) -> DataFrame:
     """Shortage periods of a stream of snapshots, of known facilities as in the batch plan."""
     late = {} if delay is None else {"delay": delay}
