@@ -6,20 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tiermart.llm import exact_dedup, language, near_dedup, packing, toxicity
-from tiermart.llm.common import stored, table
+from tiermart.llm.common import fresh, stored, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those that the classifier rejects go."""
     model = language.fit(table(spark, sf_dir, "documents"))
-    return language.identify(docs, model, prefix="_").filter("NOT _rejected").select(*docs.columns)
+    prefix = fresh(docs.columns, "_")
+    return language.identify(docs, model, prefix=prefix).filter(f"NOT {prefix}rejected").select(*docs.columns)
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not score as toxic."""
     texts = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(toxicity.sampled(table(spark, sf_dir, "labels"), texts))
-    return toxicity.score(docs, model, prefix="_").filter("_predicted = 0").select(*docs.columns)
+    prefix = fresh(docs.columns, "_")
+    return toxicity.score(docs, model, prefix=prefix).filter(f"{prefix}predicted = 0").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
