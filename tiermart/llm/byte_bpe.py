@@ -23,12 +23,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm import words as W
-from tiermart.llm.common import give_back, stored
+from tiermart.llm.common import give_back
 
 BUCKETS = 32768
 BLOCK_BYTES = 32 << 20
@@ -179,22 +180,33 @@ class _Block:
         self.sizes.append(np.diff(cut.offsets))
         self.numbers.append(known[cut.inverse])
 
-    def row(self, block: int) -> pa.RecordBatch:
+    def row(self, place: int) -> pa.RecordBatch:
         numbers = np.concatenate(self.numbers)
         order = np.argsort(-np.bincount(numbers, minlength=len(self.index)), kind="stable")
-        place = np.empty(len(order), np.int32)
-        place[order] = np.arange(len(order), dtype=np.int32)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         words = np.array(list(self.index), object)[order].tolist()
         texts = pa.table({"id": pa.chunked_array(self.ids), "n": pa.array(np.concatenate(self.sizes))})
-        packed = [texts, pa.table({"number": pa.array(place[numbers])}), pa.table({"word": pa.array([w.encode() for w in words], pa.binary())})]
-        return pa.RecordBatch.from_arrays([pa.array([block]), *(pa.array([_pack(t)], pa.binary()) for t in packed)], ["block", "texts", "numbers", "words"])
+        packed = [_pack(texts), _planes(rank[numbers]), _pack(pa.table({"word": pa.array([w.encode() for w in words], pa.binary())}))]
+        name = xxhash.xxh64_intdigest(b"".join([place.to_bytes(8, "little"), *packed])) >> 1
+        return pa.RecordBatch.from_arrays([pa.array([name]), *(pa.array([p], pa.binary()) for p in packed)], ["block", "texts", "numbers", "words"])
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers by their first bytes, second bytes and so on, which compress by themselves."""
+    return pa.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def _numbers(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def _blocks(block_bytes: int, between: np.ndarray):
     """Rows (id, text) to blocks of about ``block_bytes`` of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = TaskContext.get().partitionId() << 24
+        place = TaskContext.get().partitionId() << 24
         held, size = _Block(), 0
         for batch in batches:
             sizes = np.append(0, np.cumsum(pc.binary_length(batch.column("text")).to_numpy()))
@@ -207,10 +219,10 @@ def _blocks(block_bytes: int, between: np.ndarray):
                 size += int(sizes[end] - sizes[begin])
                 begin = end
                 if size >= block_bytes:
-                    yield held.row(name)
-                    held, size, name = _Block(), 0, name + 1
+                    yield held.row(place)
+                    held, size, place = _Block(), 0, place + 1
         if held.ids:
-            yield held.row(name)
+            yield held.row(place)
         give_back()
 
     return run
@@ -294,9 +306,10 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    # Stored, so that a block is never cut anew while its words are on their way.
-    blocks = stored(rows.mapInArrow(_blocks(block_bytes, between), "block long, texts binary, numbers binary, words binary"), "blocks")
-    ranges = max(1, -(-blocks.count() // RANGE))
+    # Both uses below read the same shuffle.
+    blocks = rows.mapInArrow(_blocks(block_bytes, between), "block long, texts binary, numbers binary, words binary").repartition(parts, "block")
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(1, -(-n_bytes // (RANGE * block_bytes)))
     part = F.pmod(F.xxhash64("block"), F.lit(ranges)).alias("part")
     dealt = blocks.select(part, "block", "words").mapInArrow(_dealt, "part long, shard int, block long, packed binary")
     words = dealt.groupBy("part", "shard").applyInArrow(_distinct, "word binary, data array<int>, blocks array<long>, numbers array<int>")
@@ -312,7 +325,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            raise ValueError("words of a block that was not stored")
+            raise ValueError("a block was cut anew from other rows; run again on a stored table")
         out = []
         for texts, numbers, packed in zip(*(left[c].to_pylist() for c in ("texts", "numbers", "words")), strict=True):
             decoded = np.array(_unpack(packed)["word"].to_pylist(), object)
@@ -323,9 +336,11 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
                 ids[number] = coded["ids"].to_pylist()
                 other = np.flatnonzero(coded["decoded"].is_valid().to_numpy())
                 decoded[number[other]] = coded["decoded"].take(pa.array(other)).to_pylist()
+            if any(i is None for i in ids):
+                raise ValueError("a block was cut anew from other rows; run again on a stored table")
             tokens = np.fromiter((i.count(",") + 1 for i in ids), np.int64, len(ids))
-            number = _unpack(numbers)["number"].to_numpy()
             listed = _unpack(texts)
+            number = _numbers(numbers, pc.sum(listed["n"]).as_py() or 0)
             found: list[list] = [[] for _ in names[1:]]
             begin = 0
             for n in listed["n"].to_pylist():
