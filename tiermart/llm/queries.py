@@ -64,8 +64,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = mtree.whole_vectors(table(spark, sf_dir, "embeddings"))
-    pages, shards, top = mtree.index(vectors)
-    return mtree.search(pages, shards, top, vectors.filter("vec_id % 100 = 0"))
+    pages, tops, top = mtree.index(vectors)
+    return mtree.search(pages, tops, top, vectors.filter("vec_id % 100 = 0"))
 
 
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
