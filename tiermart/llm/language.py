@@ -21,11 +21,11 @@ from tiermart.llm import words as W
 from tiermart.llm.common import give_back
 
 DIM = 4096
-GRAMS = 3
+GRAMS = 2  # short runs of letters are what invented and natural texts of a language share
 CENTROIDS = 4
 SAMPLE = 600  # labelled rows of each language at most, in the mean
-SAMPLE_ALL = 4800  # and of all languages together
-FAR = 0.7  # of the lowest usual similarity
+SAMPLE_ALL = 4800  # and of all languages together, but one row of each
+FAR = 0.5  # of the lowest usual similarity
 USUAL = 0.01  # share of training rows below the lowest usual similarity
 LONG = 128  # letters from which on the similarity of a text no longer depends much on its length
 GROWTH = 0.4  # power of the number of letters with which it grows before
@@ -70,7 +70,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return _unit(np.log1p(counts) * idf)
+    return _unit(np.sqrt(counts) * idf)
 
 
 @dataclass
@@ -124,11 +124,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    each = min(sample, max(8, SAMPLE_ALL // max(1, len(sizes))))
+    each = min(sample, max(1, SAMPLE_ALL // max(1, len(sizes))))
     scale = 1 << 20
-    bar = F.lit(0)
-    for lang, n in sizes.items():
-        bar = F.when(F.col("lang") == lang, min(scale, int(scale * each / n) + 1)).otherwise(bar)
+    bars = labelled.sparkSession.createDataFrame([(lang, min(scale, int(scale * each / n) + 1)) for lang, n in sizes.items()], "lang string, bar int")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +137,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 kept = part.filter(pa.array(lettered))
                 yield pa.RecordBatch.from_arrays([kept.column("lang"), pa.array([np.minimum(c, 60_000).astype(np.float16).tobytes() for c in counts[lettered]], pa.binary()), pa.array(letters[lettered], pa.int64())], ["lang", "counts", "letters"])
 
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(scale)) < bar)
+    # One row for each language.
+    chosen = rows.join(F.broadcast(bars), "lang").filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(scale)) < F.col("bar")).select("id", "text", "lang")
     found = chosen.mapInArrow(vectors, "lang string, counts binary, letters long").toArrow().sort_by([("lang", "ascending"), ("counts", "ascending")])
     names = found["lang"].to_pylist()
     languages = sorted(set(names))
