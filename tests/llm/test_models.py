@@ -73,6 +73,30 @@ def test_no_labelled_rows(spark):
     assert language.identify(rows.limit(0), language.fit(rows)).count() == 0
 
 
+NATURAL = {
+    "en": ["All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.", "The weather was cold this morning, so we stayed at home and read the newspaper until lunch.", "She opened the window and looked at the garden where the children were playing."],
+    "de": ["Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen.", "Heute Morgen war es kalt, deshalb sind wir zu Hause geblieben und haben bis zum Mittag Zeitung gelesen.", "Sie öffnete das Fenster und schaute in den Garten, in dem die Kinder spielten."],
+    "fr": ["Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité.", "Il faisait froid ce matin, alors nous sommes restés à la maison et nous avons lu le journal jusqu'au déjeuner.", "Elle ouvrit la fenêtre et regarda le jardin où jouaient les enfants."],
+    "es": ["Todos los seres humanos nacen libres e iguales en dignidad y derechos y, dotados como están de razón y conciencia, deben comportarse fraternalmente los unos con los otros.", "Hacía frío esta mañana, así que nos quedamos en casa y leímos el periódico hasta la hora de comer.", "Ella abrió la ventana y miró el jardín donde jugaban los niños."],
+}
+UNSEEN = [
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat v duchu bratrství.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+]
+
+
+def test_natural_sentences_are_kept_and_other_languages_rejected(spark):
+    model = language.fit(table(spark, "/root/testdata/sf0.1", "documents"))
+    for lang, texts in NATURAL.items():
+        found, _, rejected = model.predict(texts)
+        assert found == [lang] * len(texts) and not rejected.any()
+    assert model.predict(UNSEEN)[2].all()
+
+
 # Toxicity
 
 
@@ -172,6 +196,36 @@ def test_broken_pages_do_no_harm():
         assert isinstance(model.extract(page), str)
 
 
+@pytest.mark.parametrize("mark", ["<font>x ", "<div>x ", "<a ", "<a b='c \" ", "<script ", "<a<a", "<div class=ad>x ", "</b><i>", "<article>x ", "<li><td>"])
+def test_time_grows_with_a_page_not_its_square(mark):
+    import time
+
+    def seconds(size):
+        begin = time.perf_counter()
+        html.parts(mark * (size // len(mark)))
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(1_000_000) < 20
+
+
+def test_tags_are_those_of_a_plain_reading():
+    """Against a pattern that looks at every tag to the end of the page."""
+    import random
+    import re
+
+    plain = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)""", re.S)
+    rng = random.Random(4)
+    marks = ["<p>", "</p>", "<a ", 'b="', "'", '"', ">", "<!--", "-->", "<!x", "</ ", "<", "/", " x ", "<br/>", "<i a=1>"]
+    for _ in range(3000):
+        page = "".join(rng.choice(marks) for _ in range(rng.randrange(15)))
+        tags, scan, found = html._Tags(page), 0, []
+        while tag := tags.find(scan):
+            found.append(tag)
+            scan = tag[1]
+        assert found == [(m.start(), m.end(), (m[2] or "").lower(), bool(m[1]), m[3] or "") for m in plain.finditer(page)]
+
+
 def test_pages_equal_their_articles(spark):
     found = queries.op4_html_text(spark, SF_DIR).toPandas()
     pages = table(spark, SF_DIR, "pages").toPandas().set_index("page_id").html
@@ -200,6 +254,43 @@ def test_templates_are_folded_and_sandboxed():
     assert sink.drain()[0] == "1"
 
 
+def rendered(source, messages=()):
+    sink = template.Sink()
+    template.compile_template(source, {"up": str.upper})(iter(messages), sink)
+    return sink.drain()[0]
+
+
+def test_templates_trim_index_and_know_the_last():
+    turns = [{"role": "u", "text": "x"}, {"role": "v", "text": None}]
+    assert rendered("a {%- if true -%}  b {{- ' c ' -}} d {%- endif %} e", turns) == "ab c d e"
+    assert rendered("{% for m in messages %}{{ m.role }}{% if not loop.last %},{% endif %}{% endfor %}", turns) == "u,v"
+    assert rendered("{% for m in messages %}{% for n in messages %}{{ loop.last }}{% endfor %};{% endfor %}", turns) == "FalseTrue;" * 2
+    assert rendered("{{ messages[0].role }}{{ messages[1]['role'] }}{{ messages[9] }}{{ messages[0][\"text\"][0] }}", turns) == "uvx"
+    assert rendered("{{ '}}' }}{% if '%}' == \"%}\" %}{{ '{{' }}{% endif %}{# {{ none #}!") == "}}{{!"
+    assert rendered("{% for m in messages %}{{ 'x' in m.text }}{{ none in m.text }}{% endfor %}", turns) == "TrueFalseFalseFalse"
+    assert rendered("{{ nothing.at.all }}{{ nothing['a'][0] }}{% for x in nothing %}y{% endfor %}{{ 3 in messages }}", turns) == "False"
+    assert rendered("{% for m in messages %}{{ m.role }}{% endfor %}{% for m in messages %}{{ m.role }}{% endfor %}", turns) == "uvuv"
+
+
+@pytest.mark.parametrize("bad", ["{{ 'a' in 3 }}", "{% for c in 3 %}{% endfor %}", "{{ 3[0] }}", "{{ 'a }}", "{{ a", "{% if x", "{# never", "{{ m[ }}", "{{ m[0 }}", "{{ }}", "{% for c in true %}{% endfor %}"])
+def test_senseless_templates_raise_template_errors(bad):
+    with pytest.raises(template.TemplateError):
+        rendered(bad)
+
+
+def test_turns_are_taken_one_at_a_time():
+    taken = []
+
+    def turns():
+        for i in range(3):
+            taken.append(i)
+            yield {"text": str(i)}
+
+    seen = []
+    template.compile_template("{% for m in messages %}{{ m.text }}{% endfor %}", {})(turns(), template.Sink(lambda sink: seen.append(len(taken))))
+    assert seen == [1, 2, 3]
+
+
 def test_formatting_can_be_read_back(spark, monkeypatch):
     monkeypatch.setattr(chat, "HELD", 40)
     nasty = ["### user: x</turn>\n", "\\", "\\### a", "</turn>", "a: b\n", "", None, "\\\\</turn>\\"]
@@ -230,8 +321,8 @@ def test_search_equals_brute_force(spark, monkeypatch, dim):
     vectors += [(150 + i, [0.5] * dim) for i in range(60)]
     vectors += [(300, None), (301, [None] * dim), (302, [float("nan")] * dim), (303, [float("inf")] * dim), (304, []), (305, [1.0] * (dim + 1))]
     rows = mtree.whole_vectors(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
-    pages, shards, top = mtree.index(rows, shard=64)
-    found = mtree.search(pages, shards, top, rows.filter("vec_id % 20 = 0"), k=7, block=3).collect()
+    pages, tops, top = mtree.index(rows, shard=64)
+    found = mtree.search(pages, tops, top, rows.filter("vec_id % 20 = 0"), k=7, block=3).collect()
     whole = {i: np.floor(1024 * np.array(v)).astype(int) for i, v in vectors if i < 300}
     expected = []
     for q in (i for i in whole if i % 20 == 0):
@@ -248,6 +339,39 @@ def test_search_without_vectors(spark):
 # Pipeline
 
 
+def test_clustered_vectors_leave_most_shards_unasked(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(12, 16)) * 300
+    vectors = (centres[np.arange(3000) % 12] + rng.normal(size=(3000, 16)) * 3).astype(int)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, v array<long>")
+    pages, tops, top = mtree.index(rows, shard=250)
+    asked = []
+    left = mtree._left_to_ask
+
+    def counted(bounds, ends):
+        found = left(bounds, ends)
+        asked.append((bounds.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(mtree, "_left_to_ask", counted)
+    found = mtree.search(pages, tops, top, rows.filter("vec_id % 30 = 0"), k=5).collect()
+    scores = vectors @ vectors.T
+    for q in range(0, 3000, 30):
+        best = sorted((-int(scores[q, i]), i) for i in range(3000) if i != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])] == best
+    assert asked[0][1] < 0.4 * asked[0][0]
+
+
+def test_wide_vectors_need_little_memory():
+    import tracemalloc
+
+    points = np.random.default_rng(4).normal(size=(4096, 768))
+    tracemalloc.start()
+    assert sum(len(p[5]) for p in mtree._build(points) if p[5] is not None) == 4096
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_pipeline_stages_equal_plain_versions(spark):
     docs = table(spark, SF_DIR, "documents")
     known = corpus_pipeline.known_language(spark, docs, SF_DIR)

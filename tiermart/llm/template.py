@@ -1,17 +1,18 @@
 """A sandboxed template language, compiled to Python closures.
 
-``{{ expression }}`` writes a value and ``{% ... %}`` holds ``for``/``endfor``,
+``{{ expression }}`` writes a value, ``{# ... #}`` is a comment, and ``{% ... %}`` holds ``for``/``endfor``,
 ``if``/``elif``/``else``/``endif`` and ``generation``/``endgeneration``, which mark what a model
-should learn to write. Expressions have strings, integers, ``true``, ``false``, ``none``,
-names, ``a.b`` on mappings, ``== != in + and or not``, parentheses and filters ``a | name``.
-There are no calls, no attributes of Python objects and no names from outside, so a template
+should learn to write. A ``-`` inside a mark takes away the white space beside it. Expressions have
+strings, integers, ``true``, ``false``, ``none``, names, ``a.b`` and ``a['b']`` on mappings, ``a[0]`` on
+lists, ``== != in + and or not``, parentheses and filters ``a | name``. Inside a loop ``loop`` has ``index``, ``first`` and ``last``.
+What is missing is none, none holds nothing, and what makes no sense, such as a loop over a number, is a ``TemplateError``. There are no calls, no attributes of Python objects and no names from outside, so a template
 can only arrange what it is given. Constant parts are folded when it is compiled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -61,6 +62,12 @@ class Item:
     name: str
 
 
+@dataclass
+class At:
+    of: Any
+    key: Any
+
+
 @dataclass
 class Apply:
     work: str
@@ -89,8 +96,10 @@ class Marked:
     body: list[Any]
 
 
-_TOKEN = re.compile(r"""\s*(?:(?P<text>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<sign>==|!=|[|.()+]))""")
-_PIECE = re.compile(r"\{\{(.*?)\}\}|\{%-?\s*(.*?)\s*-?%\}", re.S)
+_TOKEN = re.compile(r"""\s*(?:(?P<text>"(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*')|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<sign>==|!=|[|.()+\[\]]))""")
+_OPEN = re.compile(r"\{[{%#]")
+_QUOTED = re.compile(r""""(?:\\.|[^"\\])*"|'(?:\\.|[^'\\])*'""", re.S)
+_CLOSE = {"{{": "}}", "{%": "%}", "{#": "#}"}
 _ESCAPES = {"n": "\n", "t": "\t"}
 _WORDS = {"true": True, "false": False, "none": None}
 
@@ -98,7 +107,7 @@ _WORK: dict[str, Callable[..., Any]] = {
     "==": lambda a, b: a == b,
     "!=": lambda a, b: a != b,
     "+": lambda a, b: _text(a) + _text(b),
-    "in": lambda a, b: a in b,
+    "in": lambda a, b: _holds(b, a),
     "not": lambda a: not a,
     "and": lambda a, b: a and b,
     "or": lambda a, b: a or b,
@@ -109,6 +118,61 @@ def _text(value: Any) -> str:
     return "" if value is None else str(value)
 
 
+def _holds(whole: Any, part: Any) -> bool:
+    if whole is None or (part is None and isinstance(whole, str)):
+        return False
+    if isinstance(whole, str):
+        return _text(part) in whole
+    if isinstance(whole, (list, tuple, dict)):
+        return part in whole
+    raise TemplateError(f"nothing can be in {whole!r}")
+
+
+def _at(owner: Any, key: Any) -> Any:
+    if isinstance(owner, dict):
+        return owner.get(key) if isinstance(key, (str, int)) else None
+    if owner is None:
+        return None
+    if isinstance(owner, (list, tuple, str)) and isinstance(key, int):
+        return owner[key] if -len(owner) <= key < len(owner) else None
+    raise TemplateError(f"{owner!r} has no {key!r}")
+
+
+def _things(value: Any) -> Iterable[Any]:
+    if value is None:
+        return ()
+    if isinstance(value, (bool, int)):
+        raise TemplateError(f"cannot go over {value!r}")
+    return value
+
+
+def _pieces(source: str) -> Iterator[tuple[str, str]]:
+    """Plain text ("", text) and marks (their opening, what they hold) in order, white space beside a ``-`` gone."""
+    at, trim = 0, False
+    while True:
+        found = _OPEN.search(source, at)
+        plain = source[at : found.start() if found else len(source)]
+        if trim:
+            plain = plain.lstrip()
+        if not found:
+            yield "", plain
+            return
+        opening, end = found[0], found.end()
+        close = _CLOSE[opening]
+        while not source.startswith(close, end):
+            if end >= len(source):
+                raise TemplateError(f"{opening} is not closed")
+            # A mark does not end inside a string.
+            quoted = _QUOTED.match(source, end) if opening != "{#" else None
+            end = quoted.end() if quoted else end + 1
+        held = source[found.end() : end]
+        yield "", plain.rstrip() if held.startswith("-") else plain
+        trim = held.endswith("-") and len(held) > 0
+        if opening != "{#":
+            yield opening, held.removeprefix("-").removesuffix("-").strip()
+        at = end + 2
+
+
 class _Expression:
     """Recursive descent over the tokens of one expression."""
 
@@ -160,7 +224,12 @@ class _Expression:
 
     def _filtered(self) -> Any:
         node = self._atom()
-        while sign := self._take("|", "."):
+        while sign := self._take("|", ".", "["):
+            if sign == "[":
+                node = At(node, self._or())
+                if not self._take("]"):
+                    raise TemplateError("missing ]")
+                continue
             if self.at >= len(self.tokens) or self.tokens[self.at][0] != "name":
                 raise TemplateError(f"a name must follow {sign!r}")
             name = self.tokens[self.at][1]
@@ -206,16 +275,16 @@ def parse(source: str, filters: Mapping[str, Callable[[str], str]]) -> list[Any]
         open_.append((kind, node))
         bodies.append(inner)
 
-    at = 0
-    for piece in _PIECE.finditer(source):
+    for opening, held in _pieces(source):
         body = bodies[-1]
-        if piece.start() > at:
-            body.append(Write(Const(source[at : piece.start()])))
-        at = piece.end()
-        if piece[1] is not None:
-            body.append(Write(expression(piece[1])))
+        if not opening:
+            if held:
+                body.append(Write(Const(held)))
             continue
-        word, _, rest = piece[2].partition(" ")
+        if opening == "{{":
+            body.append(Write(expression(held)))
+            continue
+        word, _, rest = held.partition(" ")
         if word == "for":
             found = re.fullmatch(r"([A-Za-z_]\w*)\s+in\s+(.+)", rest.strip(), re.S)
             if not found:
@@ -239,11 +308,9 @@ def parse(source: str, filters: Mapping[str, Callable[[str], str]]) -> list[Any]
             open_.pop()
             bodies.pop()
         else:
-            raise TemplateError(f"unexpected {{% {piece[2]} %}}")
+            raise TemplateError(f"unexpected {{% {held} %}}")
     if open_:
         raise TemplateError(f"{open_[-1][0]} is not closed")
-    if at < len(source):
-        root.append(Write(Const(source[at:])))
     return root
 
 
@@ -253,6 +320,9 @@ def fold(nodes: list[Any], filters: Mapping[str, Callable[[str], str]]) -> list[
     def value(node: Any) -> Any:
         if isinstance(node, Item):
             return Item(value(node.of), node.name)
+        if isinstance(node, At):
+            of, key = value(node.of), value(node.key)
+            return Const(_at(of.value, key.value)) if isinstance(of, Const) and isinstance(key, Const) else At(of, key)
         if isinstance(node, Apply):
             args = [value(a) for a in node.args]
             if all(isinstance(a, Const) for a in args):
@@ -308,6 +378,9 @@ def _evaluator(node: Any, filters: Mapping[str, Callable[[str], str]]) -> Callab
             return owner.get(name) if isinstance(owner, dict) else None
 
         return item
+    if isinstance(node, At):
+        of, key = _evaluator(node.of, filters), _evaluator(node.key, filters)
+        return lambda env: _at(of(env), key(env))
     args = [_evaluator(a, filters) for a in node.args]
     if node.work in filters:
         work, only = filters[node.work], args[0]
@@ -320,6 +393,30 @@ def _evaluator(node: Any, filters: Mapping[str, Callable[[str], str]]) -> Callab
     return lambda env: plain(*[a(env) for a in args])
 
 
+_END = object()
+
+
+def _parts_of(node: Any) -> Iterator[Any]:
+    """A node and all below it."""
+    yield node
+    if isinstance(node, Branch):
+        below = [x for test, body in node.cases for x in (test, *body)]
+    elif isinstance(node, (Loop, Marked)):
+        below = [*node.body, *([node.over] if isinstance(node, Loop) else [])]
+    else:
+        below = [node.of] if isinstance(node, Item) else [node.of, node.key] if isinstance(node, At) else node.args if isinstance(node, Apply) else [node.value] if isinstance(node, Write) else []
+    for x in below:
+        yield from _parts_of(x)
+
+
+def _mentions(nodes: Iterable[Any], wanted: Callable[[Any], bool]) -> int:
+    return sum(wanted(x) for node in nodes for x in _parts_of(node))
+
+
+def _is_last(node: Any) -> bool:
+    return isinstance(node, (Item, At)) and node.of == Name("loop") and (isinstance(node, At) or node.name == "last")
+
+
 def _writer(nodes: list[Any], filters: Mapping[str, Callable[[str], str]], outer: bool) -> Callable[[Env, Sink], None]:
     steps: list[Callable[[Env, Sink], None]] = []
     for node in nodes:
@@ -348,13 +445,18 @@ def _writer(nodes: list[Any], filters: Mapping[str, Callable[[str], str]], outer
             steps.append(branch)
         else:
 
-            def loop(env: Env, sink: Sink, name=node.name, over=_evaluator(node.over, filters), body=_writer(node.body, filters, False)) -> None:
+            def loop(env: Env, sink: Sink, name=node.name, ahead=_mentions(node.body, _is_last) > 0, over=_evaluator(node.over, filters), body=_writer(node.body, filters, False)) -> None:
                 before = {k: env.get(k) for k in (name, "loop")}
-                for i, thing in enumerate(over(env) or ()):
-                    env[name], env["loop"] = thing, {"index": i + 1, "first": i == 0}
+                things = iter(_things(over(env)))
+                i, thing = 0, next(things, _END)
+                while thing is not _END:
+                    # The next thing is only asked for early where the template wants to know.
+                    after = next(things, _END) if ahead else None
+                    env[name], env["loop"] = thing, {"index": i + 1, "first": i == 0, "last": after is _END if ahead else None}
                     body(env, sink)
                     if outer and sink.pause:
                         sink.pause(sink)
+                    i, thing = i + 1, after if ahead else next(things, _END)
                 env.update(before)
 
             steps.append(loop)
@@ -368,5 +470,9 @@ def _writer(nodes: list[Any], filters: Mapping[str, Callable[[str], str]], outer
 
 def compile_template(source: str, filters: Mapping[str, Callable[[str], str]]) -> Callable[[Iterable[dict], Sink], None]:
     """A function that renders messages (mappings) to a sink, one message at a time."""
-    run = _writer(fold(parse(source, filters), filters), filters, True)
-    return lambda messages, sink: run({"messages": messages}, sink)
+    tree = fold(parse(source, filters), filters)
+    run = _writer(tree, filters, True)
+    # Messages are taken one at a time unless the template looks at them in another way than by one loop.
+    loops = sum(isinstance(n, Loop) and n.over == Name("messages") for n in tree)
+    held = _mentions(tree, lambda n: n == Name("messages")) != loops or loops > 1
+    return lambda messages, sink: run({"messages": list(messages) if held else messages}, sink)
