@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tiermart.operators.intervals import island_rows, islands, not_contained
@@ -271,6 +272,19 @@ def test_run_cut_short_leaves_the_history(spark, tmp_path, monkeypatch):
     ])
 
 
+def test_a_dense_key_leaves_no_task_with_more_than_a_second(spark, plan_of):
+    """Half a million microsecond steps of one key: rows per task of each window stay those of an hour's seconds."""
+    step = F.lit(at("2024-01-08")) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id").cast("decimal(18,6)") * F.lit(0.0001).cast("decimal(18,6)"))
+    dense = spark.range(200_000).select(F.lit(1).alias("supplier_id"), F.lit("F1").alias("facility_id"), F.lit("P").alias("product_code"), step.cast("timestamp_ntz").alias("snapshot_timestamp"))
+    detail = island_rows(dense, KEYS, "snapshot_timestamp", GAP)
+    before = F.lag("snapshot_timestamp").over(Window.orderBy("snapshot_timestamp"))
+    wrong = detail.withColumn("expected", before).where("NOT previous_timestamp <=> expected OR period_group_id <> 1")
+    assert detail.count() == 200_000 and wrong.isEmpty()
+    plan = plan_of(detail)
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and not any("snapshot_timestamp" in line.split("windowspecdefinition")[1].split("specifiedwindowframe")[0] for line in windows if "windowspecdefinition" in line)
+
+
 def test_run_without_changes_writes_nothing(spark, tmp_path):
     root = str(tmp_path)
     stored.create_history(intervals(spark, ("2024-01-08 00:00", "2024-01-10 00:00")), root)

@@ -17,6 +17,7 @@ from tiermart.operators.slices import SLICE, is_after, time_slice
 
 COPIES_PER_TASK_ROW = 100_000
 ROW_SLICE = dt.timedelta(hours=1)
+SECOND = dt.timedelta(seconds=1)
 
 
 def _slice_heads(
@@ -65,34 +66,52 @@ def island_rows(
 
     Adds ``previous_timestamp``, ``is_new_period_start`` (0 or 1) and
     ``period_group_id`` (1, 2, … per key). Equal snapshots are counted before
-    the shuffle and written out again at the end.
+    the shuffle and written out again at the end. Times are gathered by second, seconds by hour and
+    hours by key, and each level carries in what came before it: no task holds more of a key than
+    the times of one second, the seconds of an hour or the hours of the key.
     """
     width = min(gap, ROW_SLICE)
     heads = _slice_heads(df, keys, ts, gap, width).withColumn(
         "_island", _running(F.col("_opens"), keys)
     )
-    instants = df.groupBy(
-        *keys, time_slice(df, ts, width).alias(SLICE), F.col(ts)
-    ).agg(F.count("*").alias("_copies"))
+    instants = df.groupBy(*keys, F.col(ts)).agg(F.count("*").alias("_copies"))
+    seconds = instants.groupBy(
+        *keys,
+        time_slice(instants, ts, width).alias(SLICE),
+        time_slice(instants, ts, SECOND).alias("_second"),
+    ).agg(F.array_sort(F.collect_list(F.struct(ts, "_copies"))).alias("_times"))
     head_rows = heads.select(*keys, SLICE, "_previous", "_opens", "_island")
-    lined_up = instants.unionByName(head_rows, allowMissingColumns=True)
+    lined_up = seconds.unionByName(head_rows, allowMissingColumns=True)
 
-    # The head of a slice is its only row without copies and sorts first.
+    # The head of a slice is its only row without times and sorts first.
     in_slice = Window.partitionBy(*keys, SLICE).orderBy(
-        F.col("_copies").isNotNull(), F.col(ts)
+        F.col("_times").isNotNull(), F.col("_second")
     )
     of_head = {c: F.first(c).over(in_slice) for c in ("_previous", "_opens", "_island")}
-    within = F.lag(ts).over(in_slice)
-    placed = (
+    within = F.lag(F.element_at("_times", -1)[ts]).over(in_slice)
+    first_second = F.col("_within").isNull()
+    in_order = (
         lined_up.withColumns({**of_head, "_within": within})
-        .where(F.col("_copies").isNotNull())
+        .where(F.col("_times").isNotNull())
         .withColumns(
             {
                 "_previous": F.coalesce("_within", "_previous"),
-                "_opens": F.when(F.col("_within").isNull(), F.col("_opens")).otherwise(0),
+                "_opens": F.when(first_second, F.col("_opens")).otherwise(0),
             }
         )
     )
+    # Times of one second follow each other; only its first one looks back.
+    placed = in_order.select(
+        *keys, SLICE, "_previous", "_opens", "_island", "_times", F.posexplode("_times").alias("_at", "_time")
+    ).select(
+        *keys,
+        SLICE,
+        F.col("_time")[ts].alias(ts),
+        F.col("_time._copies").alias("_copies"),
+        F.when(F.col("_at") == 0, F.col("_previous")).otherwise(F.get("_times", F.col("_at") - 1)[ts]).alias("_previous"),
+        F.when(F.col("_at") == 0, F.col("_opens")).otherwise(0).alias("_opens"),
+        "_island",
+    )
     copies = _repeat(placed, [*keys, SLICE, ts])
 
     # Among equal times only the first opens a run. Each snapshot without a time
