@@ -155,7 +155,7 @@ def test_large_regions_are_compared_in_bounded_tiles(spark, monkeypatch):
     rows = [(7, i, i) for i in range(200)] + [(7, 1000 + i, 1000) for i in range(60)] + [(8, 1, 1), (8, 2, 1), (9, 5, 5), (9, 6, 6)]
     tiles = defaultdict(list)
     placed = spark.createDataFrame(rows, "region long, id long, component long").withColumn("weight", F.lit(1).cast("long"))
-    for r in near_dedup._tiles(placed).collect():
+    for r in near_dedup._tiles(placed, near_dedup._mixed(placed)).collect():
         tiles[r.region, r.tile].append(r)
     assert {region for region, _ in tiles} == {7, 9}
     assert max(map(len, tiles.values())) <= 2 * 40
@@ -175,7 +175,7 @@ def test_tiles_are_bounded_by_shingles_too(spark, monkeypatch):
         monkeypatch.setattr(near_dedup, name, value)
     placed = spark.createDataFrame([(7, i, i, 20) for i in range(60)], "region long, id long, component long, weight long")
     tiles = defaultdict(int)
-    for r in near_dedup._tiles(placed).collect():
+    for r in near_dedup._tiles(placed, near_dedup._mixed(placed)).collect():
         tiles[r.tile] += 20
     assert len(tiles) > 1 and max(tiles.values()) <= 3 * 200
 
@@ -214,6 +214,48 @@ def test_documents_with_a_common_passage(spark, monkeypatch):
     assert found == expected and len(set(expected.values())) == 120
 
 
+def test_refined_regions_keep_similar_rows_together(spark):
+    rng = random.Random(13)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage, *(f"w{rng.randrange(10**6)}" for _ in range(40))]) for _ in range(150)]
+    texts += [t + " a b c" for t in texts[::10]] + ["short one here now ok", "short one here now ok then"]
+    found = [sorted(set(x)) for x in (list(near_dedup._sets([t], 4))[0].tolist() for t in texts)]
+    import numpy as np
+
+    rows = [(i, i, len(x), np.array(x, np.uint64).tobytes()) for i, x in enumerate(found)]
+    whole = spark.createDataFrame(rows, "id long, component long, weight long, items binary")
+    finer = near_dedup._refined(whole.drop("items"), whole.select("id", "items"), 80)
+    regions = defaultdict(set)
+    for r in finer.collect():
+        regions[r.region].add(r.id)
+    met = {(i, j) for ids in regions.values() for i in ids for j in ids if i < j}
+    similar = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 100 * len(set(found[i]) & set(found[j])) >= 80 * len(set(found[i]) | set(found[j]))}
+    assert len(similar) >= 15 and similar <= met
+    # Rows that only share the passage part.
+    assert len(met) < 3 * len(similar) and max(map(len, regions.values())) < 10
+
+
+@pytest.mark.parametrize("size", [400, 800])
+def test_rows_of_a_shared_passage_grow_in_proportion(spark, monkeypatch, size):
+    for name, value in (("RUN", 16), ("BLOCK", 24), ("DENSE", 8)):
+        monkeypatch.setattr(near_dedup, name, value)
+    rng = random.Random(14)
+    passage = [f"p{i}" for i in range(90)]
+    rows = [(i, " ".join([*passage, *(f"w{rng.randrange(10**7)}" for _ in range(60))])) for i in range(size)]
+    rows += [(size + i, rows[i][1] + " more words") for i in range(5)]
+    made, tiles = [], near_dedup._all_tiles
+
+    def counted(*arguments):
+        found = near_dedup.stored(tiles(*arguments), "counted")
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "_all_tiles", counted)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame(spark, rows), shingle=4).collect()}
+    assert found == {i: i if i < size else i - size for i, _ in rows}
+    assert made[0] < 3 * size
+
+
 def test_a_pair_that_shares_one_region_is_linked(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "TREES", 1)
     words = [f"w{i}" for i in range(200)]

@@ -11,8 +11,10 @@ order of the signatures, each starting at another hash. Rows that share a prefix
    shortest, deeper and deeper until every run fits, so its depth adapts; neighbouring
    runs share a row.
 2. Regions that still hold several components compare all rows of different
-   components, so that no link between them is lost. Rows of a small region do so by
-   signatures, and likely pairs go on. Rows of a large region bring their sets and are
+   components, so that no link between them is lost. A region too large for that is
+   refined: its rows are dealt anew by their rarest shingles, of which two similar sets always share one. So
+   documents that share a passage but are not alike part, and what stays together is small. Rows of a small region
+   are compared by signatures, and likely pairs go on. Rows of a larger one bring their sets and are
    dealt to blocks; each tile of two blocks is one group, so that a task holds no more,
    and only the confirmed links that join components go on.
 
@@ -46,6 +48,7 @@ DENSE = 48  # rows of a region from which on sets are compared in place
 BLOCK = 2048  # rows of a tile, about: two blocks of half as many
 LABEL = 12  # further hashes by which a region is sorted
 ITEMS = 1 << 20  # shingles of a tile, about
+COUNTERS = 1 << 18  # of shingles, to tell rare ones
 SHINGLE = 5
 SIMILAR = 80
 
@@ -360,23 +363,75 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), "links")
 
 
-def _tiles(placed: DataFrame) -> DataFrame:
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles fall into each counter."""
+    total = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for items in batch.column("items").to_pylist():
+            total += np.bincount((_numbers(items) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["counter", "n"])
+    give_back()
+
+
+def _rarest(often: np.ndarray, percent: int):
+    """Rows (id, component, weight, items) to one row for each of the rarest shingles that a similar set cannot lack all of.
+
+    All rows order shingles alike, by their counter and then by value; which order that is does not matter for the result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                picked = []
+                for items in part.column("items").to_pylist():
+                    found = _numbers(items)
+                    rank = np.lexsort((found, often[(found % np.uint64(COUNTERS)).astype(np.int64)]))
+                    picked.append(found[rank[: len(found) - -(-percent * len(found) // 100) + 1]])
+                rows = pa.array(np.repeat(np.arange(part.num_rows), [len(p) for p in picked]))
+                token = pa.array(np.concatenate(picked).view(np.int64)) if picked else pa.array([], pa.int64())
+                yield pa.RecordBatch.from_arrays([token, *(part.column(c).take(rows) for c in ("id", "component", "weight"))], ["token", "id", "component", "weight"])
+            give_back()
+
+    return run
+
+
+def _refined(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (id, component, weight) in smaller regions, one for each rare shingle; similar rows still meet."""
+    whole = stored(rows.join(sets, "id"), "refined")
+    often = np.zeros(COUNTERS, np.int64)
+    for r in whole.mapInArrow(_counts, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n")).toLocalIterator():
+        often[r.counter] = r.n
+    dealt = whole.select("id", "component", "weight", "items").mapInArrow(_rarest(often, percent), "token long, id long, component long, weight long")
+    return stored(dealt.select(F.xxhash64(F.lit("shingle"), "token").alias("region"), "id", "component", "weight"), "refined")
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """Regions with rows of several components: the largest one, its rows and shingles, and those of the region."""
+    counts = placed.groupBy("region", "component").agg(F.count("id").alias("n"), F.sum("weight").alias("w"))
+    most = F.max(F.struct("n", "component", "w"))
+    mixed = counts.groupBy("region").agg(F.count("n").alias("parts"), most.alias("top"), F.sum("n").alias("size"), F.sum("w").alias("weigh")).filter("parts > 1")
+    return stored(mixed.select("region", F.col("top.component").alias("major"), F.col("top.n").alias("most"), F.col("top.w").alias("heavy"), "size", "weigh"), "mixed")
+
+
+def _one_tile() -> Column:
+    return (F.col("size") <= max(BLOCK, DENSE)) & ((F.col("weigh") <= ITEMS) | (F.col("size") <= DENSE))
+
+
+def _tiles(placed: DataFrame, mixed: DataFrame) -> DataFrame:
     """Rows (region, id, component) of mixed regions with each ``tile`` they go to and their ``side`` there.
 
     Any two rows of different components meet in one tile of their region, on different sides or in
     a tile that has one side only. A region of up to ``BLOCK`` rows and ``ITEMS`` shingles is one tile. In a larger one,
     rows of the largest component and the others have blocks of their own, and no tile is for two blocks of the former.
     """
-    counts = placed.groupBy("region", "component").agg(F.count("id").alias("n"), F.sum("weight").alias("w"))
-    most = F.max(F.struct("n", "component", "w"))
-    mixed = counts.groupBy("region").agg(F.count("n").alias("parts"), most.alias("top"), F.sum("n").alias("size"), F.sum("w").alias("weigh")).filter("parts > 1")
-    mixed = mixed.select("region", F.col("top.component").alias("major"), F.col("top.n").alias("most"), F.col("top.w").alias("heavy"), "size", "weigh")
 
     def blocks(rows: Column, items: Column) -> Column:
         return F.greatest(F.ceil(rows / max(1, BLOCK // 2)), F.ceil(items / max(1, ITEMS // 2))).cast("long")
 
     minor_blocks, major_blocks = blocks(F.col("size") - F.col("most"), F.col("weigh") - F.col("heavy")), blocks(F.col("most"), F.col("heavy"))
-    rows = left_join_unique(placed, mixed, ["region"]).filter("major IS NOT NULL").withColumn("minor", F.col("component") != F.col("major"))
+    rows = left_join_unique(placed.select("region", "id", "component"), mixed, ["region"]).filter("major IS NOT NULL").withColumn("minor", F.col("component") != F.col("major"))
     rows = rows.withColumn("minors", minor_blocks).withColumn("blocks", F.col("minors") + major_blocks)
     turn = F.xxhash64("id")
     rows = rows.withColumn("block", F.when(F.col("minor"), F.pmod(turn, F.col("minors"))).otherwise(F.col("minors") + F.pmod(turn, F.col("blocks") - F.col("minors"))))
@@ -387,11 +442,22 @@ def _tiles(placed: DataFrame) -> DataFrame:
         return F.struct(tile.alias("tile"), (F.col("block") > other).cast("int").alias("side"))
 
     whole = F.array(F.struct(F.lit(0).cast("long").alias("tile"), F.lit(0).alias("side")))
-    one = (F.col("size") <= max(BLOCK, DENSE)) & ((F.col("weigh") <= ITEMS) | (F.col("size") <= DENSE))
-    where = F.when(one, whole).otherwise(F.transform(met, place))
+    where = F.when(_one_tile(), whole).otherwise(F.transform(met, place))
     return rows.select("region", "size", "id", "component", "major", F.explode(where).alias("place")).select("region", "size", "id", "component", "major", "place.tile", "place.side")
 
 
+def _all_tiles(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Tiles of all mixed regions, those of rows in too large ones being made of refined regions."""
+    mixed = _mixed(placed)
+    large = mixed.filter(~_one_tile()).select("region")
+    tiles = _tiles(placed, mixed.filter(_one_tile()))
+    if large.isEmpty():
+        return tiles
+    rows = stored(placed.join(large, "region", "left_semi").select("id", "component", "weight").distinct(), "large")
+    finer = _refined(rows, sets, percent)
+    return tiles.unionByName(_tiles(finer, _mixed(finer)))
+
+
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
     """One row per input row: id, ``key`` of its text, ``n`` shingles, ``group`` and the smallest id in it.
 
@@ -431,7 +497,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent:
 
     own = F.coalesce("component", "id").alias("component")
     placed = members.join(grown, "id", "left").select("region", "id", "weight", own)
-    spread = stored(_tiles(placed), "mixed")
+    spread = stored(_all_tiles(placed, sets, percent), "tiles")
     few = spread.filter(F.col("size") <= DENSE).join(nodes, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
     many = spread.filter(F.col("size") > DENSE).join(sets, "id").repartition(parts, "region", "tile").sortWithinPartitions("region", "tile")
     second = _confirmed(few.mapInArrow(_across, "a long, b long").distinct(), sets, percent)
