@@ -8,8 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiermart.sinks.bucketed import settings
 from tiermart.sinks.tables import shared_folder
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = 2000  # of a batch that goes to Python and back
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,9 +33,13 @@ def fresh(columns: list[str], name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once to a folder that all executors share and read from there."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    # Texts and sets make rows long: small batches keep the memory outside the heap small.
+    held = int(spark.conf.get(BATCH))
+    with settings(spark, {BATCH: str(ROWS if held <= 0 else min(held, ROWS))}):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def give_back() -> None:
