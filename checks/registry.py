@@ -399,9 +399,9 @@ def q32_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q33_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_lines.upsert_audit(
-        shapes.prior_lines(spark, sf_dir),
+        shapes.prior_keys(spark, sf_dir),
         shapes.active_lines(spark, sf_dir),
-        shapes.history_lines(spark, sf_dir),
+        shapes.history_keys(spark, sf_dir),
         tables.stage_once,
     )
 

@@ -296,16 +296,29 @@ def active_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    past = sales_feed(spark, sf_dir).where("src_hist_id = 1")
-    return sales_lines.history_lines(past, tie_breaks())
+    return sales_lines.history_lines(_past_feed(spark, sf_dir), tie_breaks())
+
+
+def _past_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_feed(spark, sf_dir).where("src_hist_id = 1")
+
+
+def _prior_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    early = F.col("record_timestamp") < ntz("1998-01-01 00:00:00")
+    return sales_feed(spark, sf_dir).where(early)
 
 
 def prior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target before the run: what was current at the start of 1998."""
-    early = sales_feed(spark, sf_dir).where(
-        F.col("record_timestamp") < ntz("1998-01-01 00:00:00")
-    )
-    return sales_lines.history_lines(early, tie_breaks())
+    return sales_lines.history_lines(_prior_feed(spark, sf_dir), tie_breaks())
+
+
+def prior_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_lines.line_keys(_prior_feed(spark, sf_dir))
+
+
+def history_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_lines.line_keys(_past_feed(spark, sf_dir))
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,6 +279,28 @@ def test_mart_follows_orders_and_the_window(spark, tmp_path, monkeypatch):
     assert mart.open_mart(spark, root, [202407]).count() == 1
 
 
+# Scratch
+
+
+def test_intermediate_tables_go_with_their_run(spark, tmp_path):
+    out = str(tmp_path / "out")
+    with tables.scratch(spark) as folder:
+        once = tables.stage_once(spark.range(5))
+        assert any("stage-" in n for n in tables.names_in(spark, folder))
+        once.write.parquet(out)
+    assert tables.names_in(spark, folder) == []
+    assert spark.read.parquet(out).count() == 5
+    other = tables.shared_folder(spark, "later")
+    assert not other.startswith(folder)
+
+
+def test_audit_needs_keys_only(spark):
+    prior, past = (shapes.prior_keys(spark, SF_DIR), shapes.history_keys(spark, SF_DIR))
+    active = tables.stage_once(shapes.active_lines(spark, SF_DIR))
+    whole = sales_lines.upsert_audit(shapes.prior_lines(spark, SF_DIR), active, shapes.history_lines(spark, SF_DIR))
+    assert rows(sales_lines.upsert_audit(prior, active, past)) == rows(whole)
+
+
 # Loads
 
 

@@ -52,6 +52,11 @@ def history_lines(feed: DataFrame, tie_breaks: Sequence[Column] = ()) -> DataFra
     return conform_lines(feed, fixed.HISTORY_KEYS, tie_breaks)
 
 
+def line_keys(feed: DataFrame) -> DataFrame:
+    """Keys of the lines that ``history_lines`` would keep; counts need no more, and only keys move."""
+    return feed.select(*fixed.HISTORY_KEYS).withColumnsRenamed(fixed.SALES_LINE_NAMES).distinct()
+
+
 def upsert_steps(
     target: DataFrame,
     active: DataFrame,
@@ -98,7 +103,11 @@ def upsert_audit(
     history: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """``step`` and ``n_rows`` of an upsert, without writing it."""
+    """``step`` and ``n_rows`` of an upsert, without writing it.
+
+    Only keys are looked at, so ``target`` and ``history`` may be ``line_keys``.
+    """
+    target, active, history = (df.select(*TARGET_KEYS) for df in (target, active, history))
     deleted = active_part(target).withColumn("_step", F.lit(ACTIVE_DELETED))
     columns = ["_step", "history_prog_id"]
     steps = upsert_steps(target, active, history, stage).select(*columns)

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,13 +37,30 @@ def _folder(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables made meanwhile lie below one shared folder, which is removed at the end.
+
+    Results are read lazily, so they have to be written before the end.
+    """
+    with staging(spark, "scratch") as folder:
+        before = _SCRATCH.set(folder)
+        try:
+            yield folder
+        finally:
+            _SCRATCH.reset(before)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared one the cluster names.
+    """A new folder below the shared one the cluster names, or below that of ``scratch``.
 
     Only a local master may do without one and then gets a temporary folder, since on a
     cluster every machine would have its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = _SCRATCH.get() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
