@@ -435,11 +435,19 @@ def test_rows_of_bpe_grow_with_blocks(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(200))) for i in range(60)]
     between = byte_bpe.apart(byte_bpe.read_ranks(path))
-    blocks = frame(spark, rows).repartition(3).select(F.col("doc_id").alias("id"), "text").mapInArrow(byte_bpe._blocks(4000, between), "block long, texts binary, numbers binary, words binary")
-    found = blocks.select(F.lit(0).cast("long").alias("part"), "block", "words").mapInArrow(byte_bpe._dealt, "part long, shard int, block long, packed binary").groupBy("block").count().collect()
+    blocks = frame(spark, rows).repartition(3).select(F.col("doc_id").alias("id"), "text").mapInArrow(byte_bpe._blocks(4000, between), "block long, packed binary")
+    found = blocks.select(F.lit(0).cast("long").alias("part"), "block", "packed").mapInArrow(byte_bpe._dealt, "part long, shard int, block long, packed binary").groupBy("block").count().collect()
     assert len(found) >= 8 and max(r["count"] for r in found) <= byte_bpe.RANGE
 
 
+def test_blocks_are_cut_once(spark, plan_of):
+    plan = plan_of(byte_bpe.encode(frame(spark, [(1, "a b")]), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    exchanges = [line.split("[plan_id")[0].split("Exchange hashpartitioning")[1] for line in plan.splitlines() if "Exchange hashpartitioning(block" in line and "REPARTITION_BY_NUM" in line]
+    # Both readers of the blocks ask for the same shuffle, which Spark then makes once.
+    assert len(exchanges) == 2 and plan.count("packed#") > 2
+    assert "texts" not in plan
+
+
 def test_bpe_of_no_documents(spark):
     assert byte_bpe.encode(frame(spark, []), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")).count() == 0
 

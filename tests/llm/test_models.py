@@ -134,6 +134,52 @@ def test_odd_texts_are_not_toxic(spark):
     assert toxicity.score(rows.limit(0), model).count() == 0
 
 
+def plain_subsequences(word):
+    """Weight of each subsequence of a marked word, by gaps."""
+    marked = chr(toxicity.EDGE) + word + chr(toxicity.EDGE)
+    found = {}
+    for gaps in toxicity.GAPS:
+        steps = [0, *np.cumsum([g + 1 for g in gaps]).tolist()]
+        for i in range(len(marked) - steps[-1]):
+            key = "".join(marked[i + s] for s in steps)
+            found.setdefault((gaps, key), 0)
+            found[gaps, key] += 1
+    grouped = {}
+    for (gaps, key), n in found.items():
+        grouped.setdefault(key, []).extend([toxicity.DECAY ** sum(gaps)] * n)
+    return grouped
+
+
+def plain_kernel(a, b):
+    """Gap-weighted common subsequences, scaled by the weights of both words."""
+    x, y = plain_subsequences(a), plain_subsequences(b)
+    both = sum(sum(x[k]) * sum(y[k]) for k in x.keys() & y.keys())
+    size = [sum(w * w for ws in z.values() for w in ws) ** 0.5 for z in (x, y)]
+    return both / (size[0] * size[1])
+
+
+def test_the_folded_machine_is_the_kernel_machine():
+    marks = ["blockhead", "dumbo", "erinth", "anerin"]
+    words = ["blockhead", "block-head", "bloxckhead", "dumbos", "other", "an", "xyzzy"]
+    landmarks = toxicity.Landmarks(marks)
+    plain = np.array([[plain_kernel(w, m) for m in marks] for w in words])
+    assert np.allclose(landmarks.kernel(words), plain, atol=2e-3)
+    # Any weights of the landmarks fold into one weight for each subsequence.
+    alpha = np.array([0.5, -1.0, 2.0, 0.25])
+    weights = np.zeros(toxicity.DIM, np.float32)
+    weights[landmarks.places] = landmarks.rows[:-1] @ alpha
+    model = toxicity.Model(weights, 0.125, (2.0, 2.0, 0.0))
+    assert np.allclose(model.words(words), plain @ alpha + 0.125, atol=5e-3)
+
+
+def test_held_out_labels_are_predicted(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    found = queries.op2_toxicity(spark, sf_dir).filter("held_out").join(table(spark, sf_dir, "labels"), "doc_id").select("predicted", "toxic").toPandas()
+    toxic = found[found.toxic == 1].predicted
+    assert len(toxic) > 50 and toxic.mean() >= 0.85
+    assert found[found.toxic == 0].predicted.mean() <= 0.01
+
+
 def test_one_label_only(spark):
     rows = toxic_corpus(spark).filter("toxic = 0")
     assert toxicity.score(rows, toxicity.fit(rows)).filter("predicted = 1").count() == 0

@@ -159,8 +159,8 @@ def _pack(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _unpack(packed: bytes) -> pa.Table:
-    return pa.ipc.open_stream(packed).read_all()
+def _unpack(packed: bytes | memoryview) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(packed)).read_all()
 
 
 class _Block:
@@ -187,9 +187,18 @@ class _Block:
         rank[order] = np.arange(len(order), dtype=np.int32)
         words = np.array(list(self.index), object)[order].tolist()
         texts = pa.table({"id": pa.chunked_array(self.ids), "n": pa.array(np.concatenate(self.sizes))})
-        packed = [_pack(texts), _planes(rank[numbers]), _pack(pa.table({"word": pa.array([w.encode() for w in words], pa.binary())}))]
-        name = xxhash.xxh64_intdigest(b"".join([place.to_bytes(8, "little"), *packed])) >> 1
-        return pa.RecordBatch.from_arrays([pa.array([name]), *(pa.array([p], pa.binary()) for p in packed)], ["block", "texts", "numbers", "words"])
+        parts = [_pack(texts), _planes(rank[numbers]), _pack(pa.table({"word": pa.array([w.encode() for w in words], pa.binary())}))]
+        # One column, so that both readers of a block want the same and share its shuffle.
+        whole = b"".join([*(len(p).to_bytes(8, "little") for p in parts), *parts])
+        name = xxhash.xxh64_intdigest(place.to_bytes(8, "little") + whole) >> 1
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([whole], pa.binary())], ["block", "packed"])
+
+
+def _opened(whole: bytes) -> list[memoryview]:
+    """Texts, numbers and words of a packed block."""
+    ends = np.cumsum([24, *(int.from_bytes(whole[a : a + 8], "little") for a in (0, 8, 16))]).tolist()
+    view = memoryview(whole)
+    return [view[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -197,8 +206,8 @@ def _planes(numbers: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
 
 
-def _numbers(packed: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(packed, 4 * n, "zstd"), np.uint8).reshape(4, n)
+def _numbers(packed: bytes | memoryview, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(pa.py_buffer(packed), 4 * n, "zstd"), np.uint8).reshape(4, n)
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
@@ -231,8 +240,8 @@ def _blocks(block_bytes: int, between: np.ndarray):
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct words of blocks, dealt to shards by checksum and sorted: (part, shard, block, packed words)."""
     for batch in batches:
-        for part, block, packed in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "words")), strict=True):
-            words = _unpack(packed)["word"].combine_chunks()
+        for part, block, packed in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "packed")), strict=True):
+            words = _unpack(_opened(packed)[2])["word"].combine_chunks()
             shard = np.fromiter((zlib.crc32(w) % RANGE for w in words.to_pylist()), np.int64, len(words))
             for k in range(RANGE):
                 mine = np.flatnonzero(shard == k)
@@ -307,11 +316,11 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     # Both uses below read the same shuffle.
-    blocks = rows.mapInArrow(_blocks(block_bytes, between), "block long, texts binary, numbers binary, words binary").repartition(parts, "block")
+    blocks = rows.mapInArrow(_blocks(block_bytes, between), "block long, packed binary").repartition(parts, "block")
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-n_bytes // (RANGE * block_bytes)))
     part = F.pmod(F.xxhash64("block"), F.lit(ranges)).alias("part")
-    dealt = blocks.select(part, "block", "words").mapInArrow(_dealt, "part long, shard int, block long, packed binary")
+    dealt = blocks.select(part, "block", "packed").mapInArrow(_dealt, "part long, shard int, block long, packed binary")
     words = dealt.groupBy("part", "shard").applyInArrow(_distinct, "word binary, data array<int>, blocks array<long>, numbers array<int>")
     coded = encoded_words(words, vocabulary).select(
         "blocks",
@@ -327,8 +336,8 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         if not left.num_rows:
             raise ValueError("a block was cut anew from other rows; run again on a stored table")
         out = []
-        for texts, numbers, packed in zip(*(left[c].to_pylist() for c in ("texts", "numbers", "words")), strict=True):
-            decoded = np.array(_unpack(packed)["word"].to_pylist(), object)
+        for texts, numbers, words in map(_opened, left["packed"].to_pylist()):
+            decoded = np.array(_unpack(words)["word"].to_pylist(), object)
             ids = np.empty(len(decoded), object)
             for pack in right["packed"].to_pylist():
                 coded = _unpack(pack)
