@@ -227,7 +227,6 @@ def q17_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.prior_lines(spark, sf_dir),
         shapes.active_lines(spark, sf_dir),
         shapes.history_lines(spark, sf_dir),
-        tables.stage_once,
     )
 
 
@@ -402,7 +401,6 @@ def q33_audit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         shapes.prior_keys(spark, sf_dir),
         shapes.active_lines(spark, sf_dir),
         shapes.history_keys(spark, sf_dir),
-        tables.stage_once,
     )
 
 

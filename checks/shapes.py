@@ -282,9 +282,14 @@ def _expressions(columns: Mapping[str, str]) -> list[str]:
 
 
 def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales-line staging rows, with ``l_partkey`` and ``l_suppkey`` to break ties."""
-    lines = _order_lines(spark, sf_dir, "inner")
-    return lines.selectExpr(*_expressions(SALES_FEED), "l_partkey", "l_suppkey")
+    """Sales-line staging rows, with ``l_partkey`` and ``l_suppkey`` to break ties.
+
+    Orders and lines meet by the order's id as the feed writes it, so the rows come gathered by ``src_order_id``.
+    """
+    orders = table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem")
+    joined = orders.join(lines, F.expr("'O' || o_orderkey = 'O' || l_orderkey"))
+    return joined.selectExpr(*_expressions(SALES_FEED), "l_partkey", "l_suppkey")
 
 
 def tie_breaks() -> list[Column]:
@@ -296,29 +301,28 @@ def active_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_lines.history_lines(_past_feed(spark, sf_dir), tie_breaks())
+    return sales_lines.history_lines(past_feed(sales_feed(spark, sf_dir)), tie_breaks())
 
 
-def _past_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_feed(spark, sf_dir).where("src_hist_id = 1")
+def past_feed(feed: DataFrame) -> DataFrame:
+    return feed.where("src_hist_id = 1")
 
 
-def _prior_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    early = F.col("record_timestamp") < ntz("1998-01-01 00:00:00")
-    return sales_feed(spark, sf_dir).where(early)
+def prior_feed(feed: DataFrame) -> DataFrame:
+    return feed.where(F.col("record_timestamp") < ntz("1998-01-01 00:00:00"))
 
 
 def prior_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target before the run: what was current at the start of 1998."""
-    return sales_lines.history_lines(_prior_feed(spark, sf_dir), tie_breaks())
+    return sales_lines.history_lines(prior_feed(sales_feed(spark, sf_dir)), tie_breaks())
 
 
 def prior_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_lines.line_keys(_prior_feed(spark, sf_dir))
+    return sales_lines.line_keys(prior_feed(sales_feed(spark, sf_dir)))
 
 
 def history_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_lines.line_keys(_past_feed(spark, sf_dir))
+    return sales_lines.line_keys(past_feed(sales_feed(spark, sf_dir)))
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:

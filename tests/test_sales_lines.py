@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import QUERIES
 from tiermart.functions import fixed
+from tiermart.operators.changes import missing_rows
 from tiermart.operators.latest import latest_by_key, newest, oldest
 from tiermart.operators.joins import without_matches
 from tiermart.plans import sales_lines
@@ -157,3 +159,22 @@ def test_null_order(spark):
     rows = spark.createDataFrame([(1, None), (1, 5)], "k int, v int")
     assert latest_by_key(rows, ["k"], newest("v")).first()["v"] is None
     assert latest_by_key(rows, ["k"], oldest("v")).first()["v"] == 5
+
+
+@pytest.mark.parametrize("name", ["q15_active_swap", "q16_history_append", "q17_upsert", "q33_audit_counts"])
+def test_a_feed_gathered_by_order_is_not_shuffled_again(spark, plan_of, name):
+    """Both sides of the feed's joins are shuffled, and no wide row after that."""
+    plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved
+    assert all("hashpartitioning(concat(O, cast(" in line for line in moved)
+
+
+def test_missing_rows_take_each_key_as_a_join_does(spark):
+    nan = float("nan")
+    feed = spark.createDataFrame([(1, 1.0, "a"), (1, 1.0, "b"), (2, nan, "c"), (3, None, "d"), (4, 0.0, "e"), (4, 2.0, "f")], "k int, x double, v string")
+    target = spark.createDataFrame([(2, nan), (2, nan), (3, None), (4, -0.0), (9, 9.0)], "k int, x double")
+    left = missing_rows(feed, target, ["k", "x"])
+    assert left.columns == feed.columns
+    assert sorted(r.v for r in left.collect()) == ["a", "b", "d", "f"]
+    assert sorted(r.v for r in without_matches(feed, target, ["k", "x"]).collect()) == ["a", "b", "d", "f"]

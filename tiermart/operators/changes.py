@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermart.operators.joins import without_matches
-
 
 def drop_where(table: DataFrame, condition: Column) -> DataFrame:
     """Rows a delete by ``condition`` leaves, including those where it is NULL."""
@@ -29,8 +29,16 @@ def swap_active(target: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def missing_rows(feed: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``feed`` whose key ``target`` does not hold yet."""
-    return without_matches(feed, target, keys)
+    """Rows of ``feed`` whose key ``target`` does not hold yet; NULL never matches.
+
+    A join would gather both sides by all keys. A window takes rows where they lie if they are gathered by
+    some of the keys, such as the order, and a rank needs no more than a row at a time.
+    """
+    complete = reduce(and_, (F.col(key).isNotNull() for key in keys))
+    known = target.select(*keys).where(complete).distinct().withColumn("_known", F.lit(True))
+    both = feed.withColumn("_known", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    rank = F.rank().over(Window.partitionBy(*keys).orderBy(F.col("_known").desc()))
+    return both.withColumn("_rank", rank).where("_rank = 1 AND NOT _known").select(*feed.columns)
 
 
 def append_missing(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,18 +58,14 @@ def line_keys(feed: DataFrame) -> DataFrame:
 
 
 def upsert_steps(
-    target: DataFrame,
-    active: DataFrame,
-    history: DataFrame,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    target: DataFrame, active: DataFrame, history: DataFrame
 ) -> DataFrame:
     """Next target with the ``_step`` every row came from.
 
     ``active`` and ``history`` are conformed lines. History is matched against
     the target after the swap, and rows already there are never updated. Active lines are both
-    written and matched; ``stage`` may store them, so that they are reduced once.
+    written and matched; where they come gathered by order, both share the shuffles below.
     """
-    active = stage(active)
     swapped = swap_active(
         target.withColumn("_step", F.lit(KEPT)),
         active.withColumn("_step", F.lit(ACTIVE_INSERTED)),
@@ -79,12 +75,9 @@ def upsert_steps(
 
 
 def upsert_sales_lines(
-    target: DataFrame,
-    active: DataFrame,
-    history: DataFrame,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    target: DataFrame, active: DataFrame, history: DataFrame
 ) -> DataFrame:
-    return upsert_steps(target, active, history, stage).drop("_step")
+    return upsert_steps(target, active, history).drop("_step")
 
 
 def step_counts() -> list[Column]:
@@ -98,10 +91,7 @@ def step_counts() -> list[Column]:
 
 
 def upsert_audit(
-    target: DataFrame,
-    active: DataFrame,
-    history: DataFrame,
-    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
+    target: DataFrame, active: DataFrame, history: DataFrame
 ) -> DataFrame:
     """``step`` and ``n_rows`` of an upsert, without writing it.
 
@@ -110,7 +100,7 @@ def upsert_audit(
     target, active, history = (df.select(*TARGET_KEYS) for df in (target, active, history))
     deleted = active_part(target).withColumn("_step", F.lit(ACTIVE_DELETED))
     columns = ["_step", "history_prog_id"]
-    steps = upsert_steps(target, active, history, stage).select(*columns)
+    steps = upsert_steps(target, active, history).select(*columns)
     counts = steps.unionByName(deleted.select(*columns)).agg(*step_counts())
     names = [ACTIVE_DELETED, ACTIVE_INSERTED, HISTORY_INSERTED, ACTIVE_WITH_HISTORY_ID]
     return counts.unpivot([], names, "step", "n_rows")

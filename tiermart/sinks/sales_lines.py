@@ -13,7 +13,7 @@ import re
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tiermart.operators.changes import missing_rows
+from tiermart.operators.joins import without_matches
 from tiermart.plans.sales_lines import TARGET_KEYS, active_part, history_part
 from tiermart.sinks import bucketed, tables
 
@@ -94,7 +94,7 @@ def unknown_history(history: DataFrame, known: DataFrame, active: DataFrame) ->
 
     ``known`` is joined where it lies; the feed moves to its buckets.
     """
-    return missing_rows(history.join(known.select(*TARGET_KEYS), TARGET_KEYS, "left_anti"), active, TARGET_KEYS)
+    return without_matches(history.join(known.select(*TARGET_KEYS), TARGET_KEYS, "left_anti"), active, TARGET_KEYS)
 
 
 def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, int]:
