@@ -12,7 +12,7 @@ from checks import shapes
 from tiermart.functions import fixed, names, sales, typing
 from tiermart.operators import changes, intervals, overlaps
 from tiermart.plans import catalog, loads, sales_lines, sales_mart, shipments, shortages, suppliers, telemetry
-from tiermart.sinks import ledger, mart, tables
+from tiermart.sinks import bucketed, ledger, mart, tables
 from tiermart.sinks import sales_lines as stored_lines
 from tiermart.sinks import shortages as stored_shortages
 from tiermart.sources import bronze, incremental, variants
@@ -234,13 +234,16 @@ def q17_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q41_stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs on the stored, bucketed lines; the runs are merged between them and old folders dropped."""
     root = tables.shared_folder(spark, "lines")
-    stored_lines.create_lines(shapes.prior_lines(spark, sf_dir), root)
-    active = tables.stage_once(shapes.active_lines(spark, sf_dir))
-    history = tables.stage_once(shapes.history_lines(spark, sf_dir))
-    stored_lines.run_upsert(active, history, root)
+    # All feeds come from one, so its rows are gathered by order once.
+    by_order = bucketed.Layout(("src_order_id",), ("src_order_id", "src_line_id"), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    feed, ties = bucketed.stage(shapes.sales_feed(spark, sf_dir), by_order), shapes.tie_breaks()
+    stored_lines.create_lines(sales_lines.history_lines(shapes.prior_feed(feed), ties), root, by=["order_prog_id"])
+    active = stored_lines.stage_lines(sales_lines.active_lines(feed, ties), root)
+    history = stored_lines.stage_lines(sales_lines.history_lines(shapes.past_feed(feed), ties), root)
+    stored_lines.run_upsert(active, history, root, staged=True)
     stored_lines.merge_runs(spark, root)
     stored_lines.drop_merged_runs(spark, root)
-    stored_lines.run_upsert(active, history, root)
+    stored_lines.run_upsert(active, history, root, staged=True)
     return stored_lines.open_lines(spark, root)
 
 

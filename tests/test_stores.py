@@ -346,3 +346,30 @@ def test_append_writes_once_and_nothing_for_no_rows(spark, tmp_path):
     assert runs.value == 2  # a plan without rows has no task
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 0, 1, 1, 2]
     assert not [n for n in tables.names_in(spark, path) if n.startswith("_append")]
+
+
+def test_lines_staged_by_order_stay_in_their_buckets(spark, tmp_path, plan_of):
+    root = str(tmp_path)
+    feed = bucketed.stage(shapes.sales_feed(spark, SF_DIR), bucketed.Layout(("src_order_id",), ("src_order_id",), 4))
+    ties = shapes.tie_breaks()
+    target = sales_lines.history_lines(shapes.prior_feed(feed), ties)
+    stored_lines.create_lines(target, root, buckets=4, by=["order_prog_id"])
+    active = stored_lines.stage_lines(sales_lines.active_lines(feed, ties), root)
+    history = stored_lines.stage_lines(sales_lines.history_lines(shapes.past_feed(feed), ties), root)
+    with bucketed.settings(spark, bucketed.IN_PLACE):
+        for lines in (sales_lines.active_lines(feed, ties), target):
+            assert "Exchange" not in plan_of(lines)
+        missing = stored_lines.unknown_history(history, stored_lines.open_history(spark, root), active)
+        assert "Exchange" not in plan_of(missing)
+    expected = target
+    for _ in range(2):
+        counts = {r.step: r.n_rows for r in sales_lines.upsert_audit(expected, active, history).collect()}
+        assert stored_lines.run_upsert(active, history, root, staged=True) == counts
+        expected = tables.stage_once(sales_lines.upsert_sales_lines(expected, active, history))
+        assert rows(stored_lines.open_lines(spark, root)) == rows(expected)
+        stored_lines.merge_runs(spark, root)
+    # A bucket is one file, so nothing was scattered on the way.
+    files = [f for f in tables.names_in(spark, f"{root}/{stored_lines.HISTORY}/merged=3") if f.endswith(".parquet")]
+    assert len(files) <= 4
+    with pytest.raises(ValueError):
+        stored_lines.create_lines(target, f"{root}/other", by=["uom"])

@@ -23,6 +23,12 @@ from pyspark.sql.types import StructType
 from tiermart.sinks import tables
 
 PART = "_part"
+# Joins on more columns than rows are hashed by find them in place too, and so do unions of parts.
+IN_PLACE = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # A scan keeps its buckets although nothing right above it asks for them.
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+}
 
 
 @dataclass(frozen=True)
@@ -38,6 +44,10 @@ class Layout:
     sort_by: tuple[str, ...]
     buckets: int
 
+    def gathered(self, df: DataFrame) -> DataFrame:
+        """The rows of a bucket in one task; no shuffle if ``df`` is hashed like that already."""
+        return df.repartition(self.buckets, *self.keys)
+
     def clause(self) -> str:
         def quoted(names: Sequence[str]) -> str:
             return ", ".join(f"`{n}`" for n in names)
@@ -69,14 +79,14 @@ def write_part(df: DataFrame, path: str, layout: Layout, gathered: bool = False)
     """Write ``df`` as the part at ``path``, in place of what is there; returns its rows.
 
     Rows are gathered by bucket first, unless they come ``gathered`` as scans of parts are. A
-    bucket too large for a task is then written by several.
+    bucket too large for a task is then written by several. Files are compressed by zstd, as each run writes wide rows.
     """
     spark = df.sparkSession
     name = f"tiermart_part_{uuid.uuid4().hex}"
     tables.delete_folder(spark, path)
     seen = Observation()
     rows = df if gathered else df.hint("rebalance", layout.buckets, *layout.keys)
-    spark.sql(f"CREATE TABLE {name} ({', '.join(_fields(df.schema))}) USING parquet {layout.clause()} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({', '.join(_fields(df.schema))}) USING parquet OPTIONS (compression 'zstd') {layout.clause()} LOCATION '{path}'")
     try:
         rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").insertInto(name)
     finally:
@@ -100,8 +110,16 @@ def open_parts(spark: SparkSession, root: str, paths: Sequence[str], layout: Lay
     return spark.table(name).drop(PART)
 
 
+def stage(df: DataFrame, layout: Layout) -> DataFrame:
+    """``df`` written once to the shared folder as a part of its own, for plans that read it several times in place."""
+    spark = df.sparkSession
+    root = tables.shared_folder(spark, "gathered")
+    with settings(spark, IN_PLACE):
+        write_part(layout.gathered(df), f"{root}/part", layout, gathered=True)
+    return open_parts(spark, root, [f"{root}/part"], layout)
+
+
 def merge_parts(spark: SparkSession, root: str, paths: Sequence[str], into: str, layout: Layout) -> int:
     """Write the rows of ``paths`` as one part; each task reads and writes one bucket."""
-    # A scan keeps its buckets although nothing above it asks for them.
-    with settings(spark, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}):
+    with settings(spark, IN_PLACE):
         return write_part(open_parts(spark, root, paths, layout), into, layout, gathered=True)

@@ -1,14 +1,15 @@
 """Stored sales lines: a replaced active part and an append-only history part.
 
 A swap rewrites only the active part. History, which only ever grows, is written once, one folder
-per run, hashed by the line's keys; a run shuffles its feed once and finds the known keys
-in place. Runs are merged from time to time into one folder, which stands for all
+per run, hashed by the line's keys or some of them; a run shuffles its feed once and finds the known keys
+in place. A feed that was staged in the table's layout is not shuffled. Runs are merged from time to time into one folder, which stands for all
 runs before it from the moment it is complete.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,31 +63,45 @@ def _run(root: str, run: int) -> str:
 
 
 def _layout(spark: SparkSession, root: str) -> bucketed.Layout:
-    """The layout is fixed when a table is created; a mark tells the number of buckets."""
-    marks = [re.fullmatch(r"_BUCKETS-(\d+)", name) for name in tables.names_in(spark, _folder(root))]
-    buckets = next(int(found[1]) for found in marks if found)
-    return bucketed.Layout(tuple(TARGET_KEYS), SORTED, buckets)
+    """The layout is fixed when a table is created; a mark tells the number of buckets, and the keys if not all."""
+    marks = [re.fullmatch(r"_BUCKETS-(\d+)(?:-(.+))?", name) for name in tables.names_in(spark, _folder(root))]
+    buckets, keys = next((int(found[1]), found[2]) for found in marks if found)
+    return bucketed.Layout(tuple(keys.split(",")) if keys else tuple(TARGET_KEYS), SORTED, buckets)
 
 
 def _write_active(lines: DataFrame, path: str) -> int:
     """Sorted inside each file, so that filters on the branch skip row groups."""
     seen = Observation()
     counted = lines.observe(seen, F.count(F.lit(1)).alias("n"))
-    counted.sortWithinPartitions("branch_code").write.mode("overwrite").parquet(path)
+    # Lines of an order side by side compress well.
+    ordered = counted.sortWithinPartitions("branch_code", *(c for c in SORTED if c != "branch_code"))
+    ordered.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return seen.get["n"]
 
 
-def create_lines(lines: DataFrame, root: str, buckets: int | None = None) -> None:
+def create_lines(lines: DataFrame, root: str, buckets: int | None = None, by: Sequence[str] = ()) -> None:
     """First run of a table, from existing lines.
 
     ``buckets`` should let a bucket of the grown history fit a task; it is the number of shuffle
-    partitions unless given.
+    partitions unless given. Lines are hashed by all their keys, or ``by`` some of them: lines and feeds that come
+    gathered by order need no shuffle in a table hashed by order.
     """
     spark = lines.sparkSession
     count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tables.set_mark(spark, _folder(root), f"_BUCKETS-{count}")
-    bucketed.write_part(history_part(lines), _run(root, 1), _layout(spark, root))
-    _write_active(active_part(lines), tables.version_path(root, ACTIVE, 1))
+    unknown = set(by) - set(TARGET_KEYS)
+    if unknown:
+        raise ValueError(f"not keys of a line: {sorted(unknown)}")
+    tables.set_mark(spark, _folder(root), "-".join([f"_BUCKETS-{count}", *([",".join(by)] if by else [])]))
+    layout = _layout(spark, root)
+    history = history_part(lines)
+    with bucketed.settings(spark, bucketed.IN_PLACE):
+        bucketed.write_part(layout.gathered(history) if by else history, _run(root, 1), layout, gathered=bool(by))
+        _write_active(active_part(lines), tables.version_path(root, ACTIVE, 1))
+
+
+def stage_lines(lines: DataFrame, root: str) -> DataFrame:
+    """Conformed lines of a feed, written once in the table's layout, for runs with ``staged``."""
+    return bucketed.stage(lines, _layout(lines.sparkSession, root))
 
 
 def unknown_history(history: DataFrame, known: DataFrame, active: DataFrame) -> DataFrame:
@@ -97,19 +112,22 @@ def unknown_history(history: DataFrame, known: DataFrame, active: DataFrame) ->
     return without_matches(history.join(known.select(*TARGET_KEYS), TARGET_KEYS, "left_anti"), active, TARGET_KEYS)
 
 
-def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, int]:
+def run_upsert(active: DataFrame, history: DataFrame, root: str, staged: bool = False) -> dict[str, int]:
     """Swap and append conformed lines; returns the rows per step.
 
+    Both feeds may come ``staged`` by ``stage_lines``; their rows then stay in their buckets all the way.
+
     The active version commits the run: until it is complete readers see the
     state before, and a history folder without it is ignored and rewritten.
     """
     spark = active.sparkSession
     old_active, kept, last_run = _parts(spark, root)
     run = last_run + 1
-    with tables.staging(spark, "sales-lines") as folder:
-        # The active lines are read three times, so they are stored once.
-        active.write.parquet(f"{folder}/active")
-        active = spark.read.parquet(f"{folder}/active")
+    with tables.staging(spark, "sales-lines") as folder, bucketed.settings(spark, bucketed.IN_PLACE):
+        if not staged:
+            # The active lines are read three times, so they are stored once.
+            active.write.parquet(f"{folder}/active")
+            active = spark.read.parquet(f"{folder}/active")
 
         missing = unknown_history(history, kept, active)
         lasting = history_part(active).withColumn("_active", F.lit(True))
@@ -120,7 +138,7 @@ def run_upsert(active: DataFrame, history: DataFrame, root: str) -> dict[str, in
             F.count_if("_active").alias("lasting"),
             F.count_if(F.col("_active") & (F.col("history_prog_id") != 0)).alias("piled_up"),
         ).drop("_active")
-        n_added = bucketed.write_part(counted.select(*kept.columns), _run(root, run), _layout(spark, root))
+        n_added = bucketed.write_part(counted.select(*kept.columns), _run(root, run), _layout(spark, root), gathered=staged)
         n_swapped = _write_active(active_part(active), tables.version_path(root, ACTIVE, run))
     open_lines(spark, root)
     counts = seen.get
