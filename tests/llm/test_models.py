@@ -439,3 +439,26 @@ def test_pipeline_stages_equal_plain_versions(spark):
     assert kept == sorted(i for i, c in expected.items() if i == c)
     packed = corpus_pipeline.packed(spark, apart, SF_DIR)
     assert sorted(r.doc_id for r in packed.filter("piece = 0").select("doc_id").collect()) == kept
+
+
+def test_fits_hold_few_copies_on_the_driver():
+    """Peak memory of the two largest steps that run on the driver."""
+    import tracemalloc
+
+    counts = np.random.default_rng(1).integers(0, 9, (2000, language.DIM)).astype(np.float32)
+    idf = np.linspace(1, 2, language.DIM, dtype=np.float32)
+    plain = np.sqrt(counts) * idf
+    plain /= np.maximum(np.linalg.norm(plain, axis=1, keepdims=True), 1e-12)
+    words = [f"word{i:04d}ending{i * 7919 % 997}" for i in range(1200)]
+    marks = toxicity.Landmarks(words[:360])
+    tracemalloc.start()
+    try:
+        vectors = language._weighted(counts, idf)
+        assert tracemalloc.get_traced_memory()[1] < counts.nbytes
+        tracemalloc.reset_peak()
+        kernel = marks.kernel(words)
+        assert tracemalloc.get_traced_memory()[1] < 4 * kernel.nbytes + 20e6
+    finally:
+        tracemalloc.stop()
+    assert (vectors == plain).all()
+    assert np.allclose(kernel[:360], marks.gram(), atol=1e-4)

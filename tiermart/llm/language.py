@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,7 +71,24 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return _unit(np.sqrt(counts) * idf)
+    """The TF-IDF vectors of ``counts``, which they replace: no second table of that size is needed."""
+    for a in range(0, len(counts), TEXTS):
+        part = counts[a : a + TEXTS]
+        np.sqrt(part, out=part)
+        part *= idf
+        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-12)
+    return counts
+
+
+def _table(found: pa.Table) -> np.ndarray:
+    """Counts of all rows, decoded row by row."""
+    counts = np.empty((found.num_rows, DIM), np.float32)
+    at = 0
+    for chunk in found["counts"].chunks:
+        for value in chunk:
+            counts[at] = np.frombuffer(value.as_buffer(), np.float16)
+            at += 1
+    return counts
 
 
 @dataclass
@@ -139,18 +157,26 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     # One row for each language.
     chosen = rows.join(F.broadcast(bars), "lang").filter(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(scale)) < F.col("bar")).select("id", "text", "lang")
-    found = chosen.mapInArrow(vectors, "lang string, counts binary, letters long").toArrow().sort_by([("lang", "ascending"), ("counts", "ascending")])
-    names = found["lang"].to_pylist()
+    found = chosen.mapInArrow(vectors, "lang string, counts binary, letters long").toArrow()
+    order = pc.sort_indices(found, sort_keys=[("lang", "ascending"), ("counts", "ascending")]).to_numpy()
+    names = found["lang"].to_numpy()[order].tolist()
     languages = sorted(set(names))
     if not languages:
         return Model(np.ones(DIM, np.float32), np.zeros((0, DIM), np.float32), np.zeros(0, int), [], np.zeros(0))
-    counts = np.stack([np.frombuffer(b, np.float16) for b in found["counts"].to_pylist()]).astype(np.float32)
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
+    counts, letters = _table(found), found["letters"].to_numpy()[order]
+    # The driver holds one copy of the sample at a time.
+    del found
+    give_back()
+    idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
     rows_, rng = _weighted(counts, idf), np.random.default_rng(seed)
     label = np.array([languages.index(x) for x in names])
-    parts = [_clusters(rows_[label == i], CENTROIDS, rng) for i in range(len(languages))]
-    reach = _reach(found["letters"].to_numpy())
-    floor = [np.full(len(p), FAR * np.quantile(_apart(rows_[label == i], p) / reach[label == i], USUAL)) for i, p in enumerate(parts)]
+    # Rows of one language at a time, in the order of their counts.
+    rows_of = [order[label == i] for i in range(len(languages))]
+    parts = [_clusters(rows_[own], CENTROIDS, rng) for own in rows_of]
+    reach = _reach(letters)
+    floor = [np.full(len(p), FAR * np.quantile(_apart(rows_[rows_of[i]], p) / reach[label == i], USUAL)) for i, p in enumerate(parts)]
+    del counts, rows_
+    give_back()
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     return Model(idf, np.concatenate(parts).astype(np.float32), owner, languages, np.concatenate(floor))
 

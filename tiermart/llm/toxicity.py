@@ -38,6 +38,7 @@ EDGE = 1  # stands before and after each word
 MARKS = ".,;:!?\"'()[]{}<>|*#$%&+=/\\~_-"
 CUT = 0.7
 WORDS = 4096  # scored at a time
+LINES = 32  # of the kernel at a time: each word needs one number for each subsequence and landmark
 
 
 def _spread(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -113,8 +114,8 @@ class Landmarks:
     def kernel(self, words: list[str]) -> np.ndarray:
         """Kernel of each word with each landmark."""
         out = [np.zeros((0, self.rows.shape[1]), np.float32)]
-        for a in range(0, len(words), 200):
-            part = words[a : a + 200]
+        for a in range(0, len(words), LINES):
+            part = words[a : a + LINES]
             owner, place, weight = _features(part)
             order = np.argsort(owner, kind="stable")
             sums = np.zeros((len(part), self.rows.shape[1]), np.float32)
@@ -345,6 +346,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
         hard = list(dict.fromkeys([*[r.word for r in found], *hard]))
         negative |= {r.word: r.clean for r in found}
         model = _trained(positive, negative, hard, np.random.default_rng(seed))
+        give_back()
 
     held = model
 
@@ -356,6 +358,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
     # Three numbers for each text of the bounded sample.
     ends = chosen.select("text", "label").mapInArrow(worst, "first double, second double, label int").toPandas()
     curve = _logistic(ends[["first", "second"]].to_numpy(), ends["label"].to_numpy().astype(float))
+    del toxic, shared, few, others, counted
+    give_back()
     return Model(model.weights, model.offset, curve)
 
 
